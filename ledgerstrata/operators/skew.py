@@ -1,0 +1,89 @@
+"""Joins and broadcasts that stay safe when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A key holding more than 1/3000 of the rows is found for certain with this many counters.
+_TRACKED = 4096
+# Upper bound on the rows of heavy_keys(), which makes it safe to broadcast.
+_MAX_HEAVY = 1000
+# Sketches are merged in this many groups first, so the last merge sees few of them.
+_MERGE_GROUPS = 64
+
+
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def heavy_keys(df: DataFrame, key: str, parts: int) -> DataFrame:
+    """Keys that alone outweigh an even share of ``parts`` shuffle partitions.
+
+    One scan of the key column; frequent-item sketches of fixed size are merged in two steps, so
+    neither the shuffle nor the result grows with the data. The list only steers where rows are
+    processed. Results do not depend on it.
+    """
+    partial = (
+        df.where(F.col(key).isNotNull())
+        .groupBy((F.spark_partition_id() % _MERGE_GROUPS).alias("_group"))
+        .agg(
+            F.expr(f"approx_top_k_accumulate(`{key}`, {_TRACKED})").alias("_sketch"),
+            F.count("*").alias("_rows"),
+        )
+    )
+    merged = partial.agg(
+        F.expr("approx_top_k_combine(_sketch)").alias("_sketch"),
+        F.sum("_rows").alias("_rows"),
+    ).where("_rows > 0")
+    return (
+        merged.select(
+            "_rows", F.explode(F.expr(f"approx_top_k_estimate(_sketch, {_MAX_HEAVY})")).alias("_top")
+        )
+        .where(F.col("_top.count") * parts > F.col("_rows"))
+        .select(F.col("_top.item").alias(key), F.lit(True).alias("_heavy"))
+    )
+
+
+def skew_join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
+    """Join (inner, left, left_semi or left_anti) whose left side may hold hot or NULL keys.
+
+    Rows of a hot key, and rows whose key is NULL, are spread over all shuffle partitions by the
+    number of the task that read them; that number is the same when a lost task runs again, and it
+    also separates exact copies of a row. The right rows of hot keys are repeated once per spread
+    value. All other keys take the ordinary shuffle join. The right side should hold few rows per
+    key; repeated keys there still give right results.
+    """
+    parts = shuffle_partitions(left)
+    heavy = F.broadcast(heavy_keys(left, key, parts))  # at most _MAX_HEAVY rows
+    spread = left.join(heavy, key, "left").withColumn(
+        "_salt",
+        F.when(F.col("_heavy") | F.col(key).isNull(), F.spark_partition_id() % parts).otherwise(0),
+    )
+    repeated = (
+        right.where(F.col(key).isNotNull())
+        .join(heavy, key, "left")
+        .withColumn(
+            "_salt",
+            F.explode(
+                F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(
+                    F.array(F.lit(0))
+                )
+            ),
+        )
+        .drop("_heavy")
+    )
+    keep = left.columns
+    if how in ("inner", "left"):
+        keep = keep + [c for c in right.columns if c != key]
+    return spread.drop("_heavy").join(repeated, [key, "_salt"], how).select(*keep)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Mark ``df`` for broadcast only after counting that it has at most ``max_rows`` rows.
+
+    The count stops at ``max_rows`` + 1. Beyond the bound the plain DataFrame is returned, and the
+    join that uses it shuffles. Give it a cheap input, such as a checkpointed aggregate.
+    """
+    small = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if small else df
