@@ -24,6 +24,8 @@ def local_session(cpus: int = 8, name: str = "ledgerstrata") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        # Recording the Python call site of every Column costs more than planning small queries.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

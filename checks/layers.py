@@ -8,11 +8,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgerstrata.plans.jobs import build_gold, clean_silver
-from ledgerstrata.sources.schemas import MONEY
 
 # Transaction type of each event type.
 TYPE_OF_EVENT = {
@@ -24,14 +22,6 @@ TYPE_OF_EVENT = {
 }
 
 
-def _every(divisor: int, remainder: int, number: str = "event_id") -> Column:
-    return F.col(number) % divisor == remainder
-
-
-def _date(text: str) -> Column:
-    return F.lit(text).cast("date")
-
-
 @dataclass(frozen=True)
 class SampleLayers:
     spark: SparkSession
@@ -40,46 +30,41 @@ class SampleLayers:
     @cached_property
     def _events(self) -> DataFrame:
         """Events with their transaction type; chosen ones come twice."""
-        events = self.spark.read.parquet(f"{self.sf_dir}/events.parquet")
-        mapped = F.lit(None).cast("string")
-        for event_type, transaction_type in TYPE_OF_EVENT.items():
-            mapped = F.when(F.col("event_type") == event_type, transaction_type).otherwise(mapped)
-        copies = F.when(_every(197, 29), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-        return events.select(
-            "event_id", "ts", mapped.alias("type"), F.col("value").cast(MONEY).alias("v"),
-            F.explode(copies).alias("copy"),
+        kinds = " ".join(f"WHEN '{event}' THEN '{kind}'" for event, kind in TYPE_OF_EVENT.items())
+        return self.spark.read.parquet(f"{self.sf_dir}/events.parquet").selectExpr(
+            "event_id AS e",
+            "ts",
+            f"CASE event_type {kinds} END AS kind",
+            "CAST(value AS DECIMAL(18,2)) AS v",
+            "explode(IF(event_id % 197 = 29, array(1, 2), array(1))) AS copy",
         )
 
     @cached_property
     def bronze(self) -> DataFrame:
-        e, type_, v = F.col("event_id"), F.col("type"), F.col("v")
-        number = F.lpad(e.cast("string"), 10, "0")
-        return self._events.select(
-            F.when(~_every(211, 13), F.concat(F.lit("T"), number)).alias("transaction_id"),
-            F.when(~_every(223, 17), F.col("ts")).alias("booked_at"),
-            F.when(_every(229, 23), None)
-            .when(_every(233, 31), F.lit("0.00").cast(MONEY))
-            .when(_every(239, 37), F.lit("9999999.99").cast(MONEY))
-            .when((type_ == "deposit") | ((type_ == "transfer") & (e % 2 == 0)), v)
-            .otherwise(-v)
-            .cast(MONEY)
-            .alias("amount"),
-            F.when(_every(227, 19), None)
-            .when(_every(53, 5), F.upper(type_))
-            .otherwise(type_)
-            .alias("transaction_type"),
-            F.col("ts").cast("date").alias("booked_date"),
+        amount = """
+            CASE WHEN e % 229 = 23 THEN NULL
+                 WHEN e % 233 = 31 THEN 0
+                 WHEN e % 239 = 37 THEN 9999999.99
+                 WHEN kind = 'deposit' OR (kind = 'transfer' AND e % 2 = 0) THEN v
+                 ELSE -v END"""
+        return self._events.selectExpr(
+            "IF(e % 211 = 13, NULL, concat('T', lpad(CAST(e AS STRING), 10, '0'))) AS transaction_id",
+            "IF(e % 223 = 17, NULL, ts) AS booked_at",
+            f"CAST({amount} AS DECIMAL(18,2)) AS amount",
+            "CASE WHEN e % 227 = 19 THEN NULL WHEN e % 53 = 5 THEN upper(kind) ELSE kind END"
+            " AS transaction_type",
+            "CAST(ts AS DATE) AS booked_date",
         )
 
     @cached_property
     def raw(self) -> DataFrame:
         """Bronze as text, before typing: blank ids, and amounts that are no numbers."""
-        return self.bronze.select(
-            F.coalesce("transaction_id", F.lit(" ")).alias("transaction_id"),
-            F.col("booked_at").cast("string").alias("booked_at"),
-            F.coalesce(F.col("amount").cast("string"), F.lit("n/a")).alias("amount"),
+        return self.bronze.selectExpr(
+            "coalesce(transaction_id, ' ') AS transaction_id",
+            "CAST(booked_at AS STRING) AS booked_at",
+            "coalesce(CAST(amount AS STRING), 'n/a') AS amount",
             "transaction_type",
-            F.col("booked_date").cast("string").alias("booked_date"),
+            "CAST(booked_date AS STRING) AS booked_date",
         )
 
     @cached_property
@@ -93,36 +78,33 @@ class SampleLayers:
     @cached_property
     def silver(self) -> DataFrame:
         """Silver with a missing date, shifted amounts and lost amounts."""
-        numbered = self.silver_clean.withColumn(
-            "n", F.substr("transaction_id", F.lit(2)).cast("bigint")
-        )
-        amount = (
-            F.when(_every(251, 43, "n"), None)
-            .when(_every(241, 41, "n"), F.col("amount") + F.lit("0.01").cast(MONEY))
-            .otherwise(F.col("amount"))
-        )
-        return (
-            numbered.where(F.col("booked_date") != _date("2024-01-20"))
-            .withColumn("amount", amount.cast(MONEY))
-            .drop("n")
+        number = "CAST(substr(transaction_id, 2) AS BIGINT)"
+        amount = f"""
+            CASE WHEN {number} % 251 = 43 THEN NULL
+                 WHEN {number} % 241 = 41 THEN amount + 0.01
+                 ELSE amount END"""
+        return self.silver_clean.where("booked_date <> DATE '2024-01-20'").selectExpr(
+            "transaction_id",
+            "booked_at",
+            f"CAST({amount} AS DECIMAL(18,2)) AS amount",
+            "transaction_type",
+            "amount_valid",
+            "booked_date",
         )
 
     @cached_property
     def gold(self) -> DataFrame:
         """Gold with two missing dates, one wrong total and one row that Silver does not have."""
-        wrong = (F.col("booked_date") == _date("2024-01-05")) & (
-            F.col("transaction_type") == "deposit"
-        )
+        wrong = "booked_date = DATE '2024-01-05' AND transaction_type = 'deposit'"
         damaged = self.gold_clean.where(
-            ~F.col("booked_date").isin(_date("2024-01-10"), _date("2024-01-20"))
-        ).withColumn(
-            "daily_total",
-            F.when(wrong, F.col("daily_total") + 1).otherwise(F.col("daily_total")).cast(MONEY),
+            "booked_date NOT IN (DATE '2024-01-10', DATE '2024-01-20')"
+        ).selectExpr(
+            "transaction_type",
+            f"CAST(daily_total + IF({wrong}, 1, 0) AS DECIMAL(18,2)) AS daily_total",
+            "record_count",
+            "booked_date",
         )
-        extra = self.spark.range(1).select(
-            F.lit("deposit").alias("transaction_type"),
-            F.lit("100.00").cast(MONEY).alias("daily_total"),
-            F.lit(1).cast("bigint").alias("record_count"),
-            _date("2024-02-01").alias("booked_date"),
+        extra = self.spark.range(1).selectExpr(
+            "'deposit'", "CAST(100 AS DECIMAL(18,2))", "CAST(1 AS BIGINT)", "DATE '2024-02-01'"
         )
         return damaged.union(extra)

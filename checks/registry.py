@@ -19,19 +19,24 @@ from ledgerstrata.sources.layers import layer_files, read_layer, write_layer
 from ledgerstrata.sources.scratch import scratch_path
 
 
-def _partition_dirs(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Store a layer and list its files, reduced to what does not vary from run to run."""
+def _stored(df: DataFrame, schema: T.StructType) -> DataFrame:
     path = scratch_path(df.sparkSession, "layer")
     write_layer(df, path)
-    files = layer_files(read_layer(df.sparkSession, path, schema))
+    return read_layer(df.sparkSession, path, schema)
+
+
+def _partition_dirs(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Store a layer and list its files, reduced to what does not vary from run to run."""
     directory = F.regexp_extract("file_path", "/([^/]+)/[^/]+$", 1)
+    files = layer_files(_stored(df, schema))
     return files.select("booked_date", directory.alias("directory")).distinct()
 
 
-def _stored(df: DataFrame, schema: T.StructType) -> DataFrame:
-    path = scratch_path(df.sparkSession, "layer")
-    write_layer(df, path)
-    return read_layer(df.sparkSession, path, schema)
+def _quality_report(t: SampleLayers) -> DataFrame:
+    """Silver and Gold serve several rules each, so they are stored once."""
+    return quality_report(
+        t.bronze, _stored(t.silver, schemas.SILVER), _stored(t.gold, schemas.GOLD)
+    )
 
 
 def _compacted(bronze: DataFrame) -> DataFrame:
@@ -95,12 +100,14 @@ QUERIES: dict[str, Callable[[SampleLayers], DataFrame]] = {
     "gold_build": lambda t: t.gold_clean,
     "layer_round_trip": lambda t: _stored(t.silver_clean, schemas.SILVER),
     "compaction": lambda t: _compacted(t.bronze),
-    "quality_report": lambda t: quality_report(t.bronze, t.silver, t.gold),
+    "quality_report": _quality_report,
 }
 
 
 def with_double_money(df: DataFrame) -> DataFrame:
     """Decimals as doubles, the form in which the comparison takes them."""
+    if not any(isinstance(f.dataType, T.DecimalType) for f in df.schema):
+        return df
     return df.select(
         *[
             F.col(f.name).cast("double").alias(f.name)

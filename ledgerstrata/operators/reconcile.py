@@ -16,6 +16,7 @@ from ledgerstrata.columns import DEFAULT, Columns
 from ledgerstrata.functions.exprs import asc, desc, money
 from ledgerstrata.operators.analytics import daily_totals
 from ledgerstrata.operators.skew import skew_join
+from ledgerstrata.sources.scratch import cut_lineage
 
 
 def _counts(df: DataFrame, name: str, *keys: str) -> DataFrame:
@@ -25,9 +26,9 @@ def _counts(df: DataFrame, name: str, *keys: str) -> DataFrame:
 def recon_layer_counts(bronze: DataFrame, silver: DataFrame, c: Columns = DEFAULT) -> DataFrame:
     """Distinct ids per Bronze date, and how many of them Silver does not hold on any date."""
     ids = bronze.select(c.date, c.id).distinct()
-    kept = silver.select(F.col(c.id), F.col(c.id).alias("_kept")).where(F.col(c.id).isNotNull())
+    kept = silver.where(F.col(c.id).isNotNull()).select(c.id).distinct()
     return (
-        ids.join(kept.distinct(), c.id, "left")
+        ids.join(kept.withColumn("_kept", F.lit(1)), c.id, "left")
         .groupBy(c.date)
         .agg(F.count(c.id).alias("bronze_count"), F.count("_kept").alias("silver_count"))
         .withColumn("dropped_in_silver", F.col("bronze_count") - F.col("silver_count"))
@@ -199,28 +200,33 @@ def medallion_journey(
     """The first ``n`` Bronze rows beside their Silver rows and the Silver total of date and type.
 
     Every row of the outer join comes from one Bronze row and sorts by Bronze columns first, so the
-    first n Bronze rows are enough to find the result. Their groups alone are then totalled.
+    first n Bronze rows are enough to find the result. They are found once and stored; then only
+    their groups are totalled, reading only their dates.
     """
-    first = (
+    keys = asc(c.date, c.type, c.id, "bronze_amount")
+    first = cut_lineage(
         bronze.select(c.id, c.date, c.type, F.col(c.amount).alias("bronze_amount"))
-        .orderBy(*asc(c.date, c.type, c.id, "bronze_amount"))
+        .orderBy(*keys)
         .limit(n)
     )
     wanted_ids = F.broadcast(first.select(c.id).distinct())  # at most n rows
     found = silver.join(wanted_ids, c.id, "left_semi").select(
         c.id, F.col(c.valid).alias("silver_valid"), F.col(c.amount).alias("silver_amount")
     )
-    rows = (
-        first.join(found, c.id, "left")
-        .orderBy(*asc(c.date, c.type, c.id, "bronze_amount", "silver_amount", "silver_valid"))
-        .limit(n)
-    )
+    order = keys + asc("silver_amount", "silver_valid")
+    rows = first.join(found, c.id, "left").orderBy(*order).limit(n)
 
     groups = F.broadcast(  # at most n rows
         first.select(F.col(c.date).alias("_date"), F.col(c.type).alias("_type")).distinct()
     )
     same_group = F.col(c.date).eqNullSafe(F.col("_date")) & F.col(c.type).eqNullSafe(F.col("_type"))
-    in_groups = bronze.where(F.col(c.id).isNotNull()).join(groups, same_group, "left_semi")
+    dates = [row[0] for row in first.select(c.date).distinct().collect()]  # at most n
+    in_dates = F.col(c.date).isin([d for d in dates if d is not None])
+    if None in dates:
+        in_dates = in_dates | F.col(c.date).isNull()
+    in_groups = bronze.where(in_dates & F.col(c.id).isNotNull()).join(
+        groups, same_group, "left_semi"
+    )
     per_id = silver.where(F.col(c.id).isNotNull()).groupBy(c.id).agg(F.sum(c.amount).alias("_sum"))
     totals = (
         _counts(in_groups, "_before", c.id, c.date, c.type)
@@ -234,7 +240,7 @@ def medallion_journey(
             c.id, c.date, c.type, "bronze_amount", "silver_valid", "silver_amount",
             "daily_type_total",
         )
-        .orderBy(*asc(c.date, c.type, c.id, "bronze_amount", "silver_amount", "silver_valid"))
+        .orderBy(*order)
     )
 
 

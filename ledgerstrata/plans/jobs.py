@@ -79,7 +79,9 @@ def _latest_per_id(bronze: DataFrame, c: Columns) -> DataFrame:
         F.col(c.date).desc_nulls_last(),
     )
     return (
-        bronze.where(_missing(c).isNull())
+        bronze.where(
+            F.col(c.id).isNotNull() & F.col(c.booked_at).isNotNull() & F.col(c.type).isNotNull()
+        )
         .withColumn("_place", F.row_number().over(latest_first))
         .where("_place = 1")
         .drop("_place")
