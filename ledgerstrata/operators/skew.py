@@ -32,10 +32,10 @@ def heavy_keys(df: DataFrame, key: str, parts: int) -> DataFrame:
             F.count("*").alias("_rows"),
         )
     )
-    merged = partial.agg(
-        F.expr("approx_top_k_combine(_sketch)").alias("_sketch"),
-        F.sum("_rows").alias("_rows"),
-    ).where("_rows > 0")
+    # A grouped aggregate, because the combining function fails where there is nothing to combine.
+    merged = partial.groupBy(F.lit("all")).agg(
+        F.expr("approx_top_k_combine(_sketch)").alias("_sketch"), F.sum("_rows").alias("_rows")
+    )
     return (
         merged.select(
             "_rows", F.explode(F.expr(f"approx_top_k_estimate(_sketch, {_MAX_HEAVY})")).alias("_top")

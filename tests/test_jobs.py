@@ -1,0 +1,117 @@
+from pyspark.sql import functions as F
+
+from ledgerstrata.operators import reconcile
+from ledgerstrata.plans import jobs
+from ledgerstrata.plans.quality import quality_report
+from ledgerstrata.sources import schemas
+from ledgerstrata.sources.layers import read_layer
+
+from .conftest import rows
+
+DAY = "2024-01-01"
+
+
+def test_ingest_keeps_rows_that_do_not_parse(spark):
+    raw = spark.createDataFrame(
+        [
+            (" T1 ", "2024-01-01 10:00:00", "12.345", "deposit"),
+            ("", "yesterday", "n/a", " "),
+            (None, None, None, None),
+        ],
+        "transaction_id string, booked_at string, amount string, transaction_type string",
+    )
+    bronze = jobs.ingest_bronze(raw)
+    assert bronze.schema.simpleString() == schemas.BRONZE.simpleString()
+    assert rows(bronze) == [
+        ("T1", "2024-01-01T10:00:00", 12.35, "deposit", DAY),
+        (None, None, None, None, None),
+        (None, None, None, None, None),
+    ]
+
+
+def test_clean_keeps_the_latest_row_and_flags_amounts(make):
+    bronze = make.bronze(
+        ("a", f"{DAY} 08:00:00", "1.00", "FEE ", DAY),
+        ("a", f"{DAY} 09:00:00", "2.00", " Fee", DAY),
+        ("b", f"{DAY} 09:00:00", "0.00", "fee", DAY),
+        ("c", f"{DAY} 09:00:00", "-1000000.01", "fee", DAY),
+        ("d", f"{DAY} 09:00:00", None, "fee", DAY),
+        ("e", f"{DAY} 09:00:00", "-1000000.00", "fee", DAY),
+    )
+    got = jobs.clean_silver(bronze).orderBy("transaction_id")
+    assert rows(got, "transaction_id", "amount", "transaction_type", "amount_valid") == [
+        ("a", 2.0, "fee", True),
+        ("b", 0.0, "fee", False),
+        ("c", -1000000.01, "fee", False),
+        ("d", None, "fee", False),
+        ("e", -1000000.0, "fee", True),
+    ]
+
+
+def test_rejects_and_silver_account_for_every_bronze_row(sample):
+    rejected = jobs.rejected_rows(sample.bronze)
+    dropped = rejected.agg(F.sum("copies")).first()[0]
+    assert sample.silver_clean.count() + dropped == sample.bronze.count()
+    reasons = {r[0] for r in rejected.select("reason").distinct().collect()}
+    assert reasons == {"missing_id", "missing_time", "missing_type", "duplicate"}
+
+
+def test_rejects_count_copies(make):
+    row = ("a", f"{DAY} 08:00:00", "1.00", "fee", DAY)
+    older = ("a", f"{DAY} 07:00:00", None, "fee", DAY)
+    no_id = (None, f"{DAY} 07:00:00", "1.00", "fee", DAY)
+    got = jobs.rejected_rows(make.bronze(row, row, row, older, older, no_id, no_id))
+    assert sorted(rows(got, "reason", "copies", "amount"), key=repr) == [
+        ("duplicate", 2, 1.0),
+        ("duplicate", 2, None),
+        ("missing_id", 2, 1.0),
+    ]
+
+
+def test_clean_layers_reconcile(sample):
+    silver, gold = sample.silver_clean, sample.gold_clean
+    deltas = reconcile.recon_silver_gold(silver, gold)
+    assert deltas.where("total_delta <> 0 OR silver_count <> gold_count").isEmpty()
+    assert deltas.count() == 150
+    assert reconcile.recon_amount_discrepancy(sample.bronze, silver).isEmpty()
+    assert reconcile.recon_dates_silver_not_gold(silver, gold).isEmpty()
+    normalized = sample.bronze.withColumn("transaction_type", F.lower("transaction_type"))
+    assert reconcile.recon_type_mismatch(normalized, silver).isEmpty()
+
+
+def test_runs_write_the_layers_and_repeat_without_change(spark, sample, tmp_path):
+    paths = jobs.LayerPaths(str(tmp_path))
+
+    def run_all(dates=None):
+        jobs.run_bronze(sample.raw, paths, dates)
+        jobs.run_silver(spark, paths, dates)
+        jobs.run_gold(spark, paths, dates)
+
+    def layer(path, schema):
+        return sorted(rows(read_layer(spark, path, schema)), key=repr)
+
+    run_all()
+    first = [
+        layer(paths.bronze, schemas.BRONZE),
+        layer(paths.silver, schemas.SILVER),
+        layer(paths.gold, schemas.GOLD),
+        layer(paths.rejects, schemas.REJECTS),
+    ]
+    assert first[0] == sorted(rows(sample.bronze), key=repr)
+    assert first[1] == sorted(rows(sample.silver_clean), key=repr)
+    assert first[2] == sorted(rows(sample.gold_clean), key=repr)
+    run_all(["2024-01-03", "2024-01-04"])
+    assert first == [
+        layer(paths.bronze, schemas.BRONZE),
+        layer(paths.silver, schemas.SILVER),
+        layer(paths.gold, schemas.GOLD),
+        layer(paths.rejects, schemas.REJECTS),
+    ]
+
+
+def test_quality_report_passes_on_clean_layers(make):
+    bronze = make.bronze(("a", f"{DAY} 08:00:00", "1.00", "fee", DAY))
+    silver = jobs.clean_silver(bronze)
+    report = quality_report(bronze, silver, jobs.build_gold(silver))
+    assert report.count() == 19
+    assert report.where("NOT passed").isEmpty()
