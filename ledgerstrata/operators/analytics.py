@@ -71,16 +71,18 @@ def silver_top3_per_day(silver: DataFrame, c: Columns = DEFAULT, k: int = 3) ->
         .withColumn("_place", F.row_number().over(by_size))
         .where(F.col("_place") <= k)
         .groupBy("_date")
-        .agg(F.collect_list(size).alias("_largest"))
-    )
-    above = F.size(
-        F.filter("_largest", lambda x: F.col(c.amount).isNull() | (x > size))
+        .agg(
+            F.collect_list(size).alias("_largest"),
+            F.when(F.count(size) == k, F.min(size)).alias("_least"),
+        )
     )
+    # Without k known amounts on a date, every row of it is in.
+    enough = F.col("_least").isNull() | (size >= F.col("_least"))
+    above = F.size(F.filter("_largest", lambda x: F.col(c.amount).isNull() | (x > size)))
     same_date = F.col(c.date).eqNullSafe(F.col("_date"))
     return (
-        valid.join(F.broadcast(largest), same_date)  # one row of k values per calendar date
+        valid.join(F.broadcast(largest), same_date & enough)  # one row per calendar date
         .withColumn("rnk", (above + 1).cast("bigint"))
-        .where(F.col("rnk") <= k)
         .select(c.date, c.id, c.type, c.amount, "rnk")
         .orderBy(*asc(c.date, "rnk", c.id))
     )

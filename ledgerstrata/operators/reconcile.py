@@ -1,8 +1,8 @@
 """Checks between layers.
 
-Counting checks reduce both sides to counts per key before they join, so a repeated id, or rows
-without id, reach the join as one row. Checks that return rows use ``skew_join``. A transaction id
-repeated on both sides counts once per pair of rows.
+Joins by transaction id use ``skew_join``: Bronze may repeat an id, or lack it, in a large part of
+its rows, while Silver holds one row per id. A transaction id repeated on both sides counts once per
+pair of rows.
 """
 
 from __future__ import annotations
@@ -19,10 +19,6 @@ from ledgerstrata.operators.skew import skew_join
 from ledgerstrata.sources.scratch import cut_lineage
 
 
-def _counts(df: DataFrame, name: str, *keys: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count("*").alias(name))
-
-
 def recon_layer_counts(bronze: DataFrame, silver: DataFrame, c: Columns = DEFAULT) -> DataFrame:
     """Distinct ids per Bronze date, and how many of them Silver does not hold on any date."""
     ids = bronze.select(c.date, c.id).distinct()
@@ -40,7 +36,7 @@ def recon_missing_in_silver(
     bronze: DataFrame, silver: DataFrame, c: Columns = DEFAULT
 ) -> DataFrame:
     """Bronze rows, all columns, whose id Silver does not hold. Rows without id are among them."""
-    return skew_join(bronze, silver.select(c.id).distinct(), c.id, "left_anti")
+    return skew_join(bronze, silver.select(c.id), c.id, "left_anti")
 
 
 def recon_amount_discrepancy(
@@ -56,40 +52,14 @@ def recon_amount_discrepancy(
     )
 
 
-def amount_changes(bronze: DataFrame, silver: DataFrame, c: Columns = DEFAULT) -> DataFrame:
-    """``recon_amount_discrepancy`` with equal pairs counted instead of repeated."""
-    before = _counts(
-        bronze.where(F.col(c.id).isNotNull()).select(c.id, F.col(c.amount).alias("bronze_amount")),
-        "_before", c.id, "bronze_amount",
-    )
-    after = _counts(
-        silver.where(F.col(c.id).isNotNull()).select(c.id, F.col(c.amount).alias("silver_amount")),
-        "_after", c.id, "silver_amount",
-    )
-    return (
-        before.join(after, c.id)
-        .where(~F.col("bronze_amount").eqNullSafe(F.col("silver_amount")))
-        .select(
-            c.id, "bronze_amount", "silver_amount",
-            (F.col("_before") * F.col("_after")).alias("pairs"),
-        )
-    )
-
-
 def recon_type_mismatch(bronze: DataFrame, silver: DataFrame, c: Columns = DEFAULT) -> DataFrame:
-    before = _counts(
-        bronze.where(F.col(c.id).isNotNull()).select(c.id, F.col(c.type).alias("bronze_type")),
-        "_before", c.id, "bronze_type",
-    )
-    after = _counts(
-        silver.where(F.col(c.id).isNotNull()).select(c.id, F.col(c.type).alias("silver_type")),
-        "_after", c.id, "silver_type",
-    )
+    before = bronze.select(c.id, F.col(c.type).alias("bronze_type"))
+    after = silver.select(c.id, F.col(c.type).alias("silver_type"))
     return (
-        before.join(after, c.id)
+        skew_join(before, after, c.id)
         .where(F.col("bronze_type") != F.col("silver_type"))
         .groupBy("bronze_type", "silver_type")
-        .agg(F.sum(F.col("_before") * F.col("_after")).alias("mismatch_count"))
+        .agg(F.count("*").alias("mismatch_count"))
     )
 
 
@@ -148,21 +118,16 @@ def silver_coverage(
     unmatched rows share one group without date. ``by="bronze"`` groups by the Bronze date, which
     shows where rows are missing.
     """
-    before = _counts(bronze, "_before", c.id, c.date).withColumn("_bronze_date", F.col(c.date))
-    after = (
-        _counts(silver, "_after", c.id, c.date)
-        .where(F.col(c.id).isNotNull() & F.col(c.date).isNotNull())
-        .withColumn("_silver_date", F.col(c.date))
+    before = bronze.select(c.id, c.date, F.col(c.date).alias("_bronze_date"))
+    after = silver.select(
+        c.id, c.date, F.col(c.date).alias("_silver_date"), F.col(c.id).alias("_silver_id")
     )
-    pairs = before.join(after, [c.id, c.date], "left")
-    with_id = F.col(c.id).isNotNull()
     return (
-        pairs.groupBy(F.col(f"_{by}_date").alias(c.date))
+        skew_join(before, after, c.id, "left", also=[c.date])
+        .groupBy(F.col(f"_{by}_date").alias(c.date))
         .agg(
-            F.coalesce(F.sum(F.col("_before") * F.col("_after")), F.lit(0)).alias("silver_row_count"),
-            F.coalesce(
-                F.sum(F.when(with_id, F.col("_before") * F.coalesce("_after", F.lit(1)))), F.lit(0)
-            ).alias("bronze_row_count"),
+            F.count("_silver_id").alias("silver_row_count"),
+            F.count(c.id).alias("bronze_row_count"),
         )
         .withColumn(
             "silver_coverage_pct",
@@ -185,12 +150,10 @@ def matched_by_type(
     ``where`` is an optional condition on the Bronze columns, e.g. on the type.
     """
     source = bronze if where is None else bronze.where(where)
-    before = _counts(source.where(F.col(c.id).isNotNull()), "_before", c.id, c.type)
-    after = _counts(silver.where(F.col(c.id).isNotNull()), "_after", c.id)
     return (
-        before.join(after, c.id)
+        skew_join(source.select(c.id, c.type), silver.select(c.id), c.id)
         .groupBy(F.col(c.type).alias("trans_type"))
-        .agg(F.sum(F.col("_before") * F.col("_after")).alias("total_transactions"))
+        .agg(F.count("*").alias("total_transactions"))
     )
 
 
@@ -224,15 +187,16 @@ def medallion_journey(
     in_dates = F.col(c.date).isin([d for d in dates if d is not None])
     if None in dates:
         in_dates = in_dates | F.col(c.date).isNull()
-    in_groups = bronze.where(in_dates & F.col(c.id).isNotNull()).join(
-        groups, same_group, "left_semi"
+    in_groups = (
+        bronze.where(in_dates & F.col(c.id).isNotNull())
+        .join(groups, same_group)
+        .select(c.id, "_date", "_type")
     )
-    per_id = silver.where(F.col(c.id).isNotNull()).groupBy(c.id).agg(F.sum(c.amount).alias("_sum"))
+    amounts = silver.select(c.id, F.col(c.amount).alias("_amount"))
     totals = (
-        _counts(in_groups, "_before", c.id, c.date, c.type)
-        .join(per_id, c.id)
-        .groupBy(F.col(c.date).alias("_date"), F.col(c.type).alias("_type"))
-        .agg(money(F.sum(F.col("_before") * F.col("_sum"))).alias("daily_type_total"))
+        skew_join(in_groups, amounts, c.id)
+        .groupBy("_date", "_type")
+        .agg(money(F.sum("_amount")).alias("daily_type_total"))
     )
     return (
         rows.join(totals, same_group, "left")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,38 +47,41 @@ def heavy_keys(df: DataFrame, key: str, parts: int) -> DataFrame:
     )
 
 
-def skew_join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
-    """Join (inner, left, left_semi or left_anti) whose left side may hold hot or NULL keys.
+def skew_join(
+    left: DataFrame, right: DataFrame, key: str, how: str = "inner", also: Sequence[str] = ()
+) -> DataFrame:
+    """Equality join (inner, left, left_semi or left_anti) on ``key`` and the columns ``also``.
 
-    Rows of a hot key, and rows whose key is NULL, are spread over all shuffle partitions by the
-    number of the task that read them; that number is the same when a lost task runs again, and it
-    also separates exact copies of a row. The right rows of hot keys are repeated once per spread
-    value. All other keys take the ordinary shuffle join. The right side should hold few rows per
-    key; repeated keys there still give right results.
+    The left side may hold hot or NULL keys. Their rows are spread over all shuffle partitions by
+    the number of the task that read them; that number is the same when a lost task runs again, and
+    it separates exact copies of a row. The right rows of hot keys are repeated once per spread
+    value. Where no key is hot, adaptive execution drops those steps and an ordinary shuffle join
+    is left. The right side should hold few rows per key; more of them still give right results.
     """
+    keep = left.columns
+    keys = [key, *also]
+    if how in ("inner", "left"):
+        keep = keep + [c for c in right.columns if c not in keys]
     parts = shuffle_partitions(left)
+    right = right.where(F.col(key).isNotNull())
+    if parts < 2:
+        return left.join(right, keys, how).select(*keep)
     heavy = F.broadcast(heavy_keys(left, key, parts))  # at most _MAX_HEAVY rows
-    spread = left.join(heavy, key, "left").withColumn(
-        "_salt",
-        F.when(F.col("_heavy") | F.col(key).isNull(), F.spark_partition_id() % parts).otherwise(0),
-    )
-    repeated = (
-        right.where(F.col(key).isNotNull())
-        .join(heavy, key, "left")
+    spread = (
+        left.join(heavy, key, "left")
         .withColumn(
             "_salt",
-            F.explode(
-                F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(
-                    F.array(F.lit(0))
-                )
-            ),
+            F.when(
+                F.col("_heavy") | F.col(key).isNull(), F.spark_partition_id() % parts
+            ).otherwise(0),
         )
         .drop("_heavy")
     )
-    keep = left.columns
-    if how in ("inner", "left"):
-        keep = keep + [c for c in right.columns if c != key]
-    return spread.drop("_heavy").join(repeated, [key, "_salt"], how).select(*keep)
+    repeats = F.explode(F.sequence(F.lit(1), F.lit(parts - 1)))
+    repeated = right.withColumn("_salt", F.lit(0)).unionByName(
+        right.join(heavy, key, "left_semi").withColumn("_salt", repeats)
+    )
+    return spread.join(repeated, [*keys, "_salt"], how).select(*keep)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerstrata.columns import DEFAULT, Columns
 from ledgerstrata.operators.analytics import daily_totals
+from ledgerstrata.operators.skew import heavy_keys, shuffle_partitions
 from ledgerstrata.sources import schemas
 from ledgerstrata.sources.layers import only_dates, read_layer, write_layer
 
@@ -69,29 +70,32 @@ def _missing(c: Columns) -> Column:
     )
 
 
-def _latest_per_id(bronze: DataFrame, c: Columns) -> DataFrame:
-    # The limit of one row per id is applied in each task before the shuffle, so an id with very
-    # many rows sends one row per task.
+def _complete(bronze: DataFrame, c: Columns) -> DataFrame:
+    return bronze.where(
+        F.col(c.id).isNotNull() & F.col(c.booked_at).isNotNull() & F.col(c.type).isNotNull()
+    )
+
+
+def _placed(complete: DataFrame, c: Columns) -> DataFrame:
+    """Number the rows of each id, latest first.
+
+    A condition on one place is applied in each task before the shuffle, so an id with very many
+    rows then sends one row per task.
+    """
     latest_first = Window.partitionBy(c.id).orderBy(
         F.col(c.booked_at).desc(),
         F.col(c.amount).desc_nulls_last(),
         F.col(c.type).asc(),
         F.col(c.date).desc_nulls_last(),
     )
-    return (
-        bronze.where(
-            F.col(c.id).isNotNull() & F.col(c.booked_at).isNotNull() & F.col(c.type).isNotNull()
-        )
-        .withColumn("_place", F.row_number().over(latest_first))
-        .where("_place = 1")
-        .drop("_place")
-    )
+    return complete.withColumn("_place", F.row_number().over(latest_first))
 
 
 def clean_silver(bronze: DataFrame, c: Columns = DEFAULT, limit: int = AMOUNT_LIMIT) -> DataFrame:
     """One row per id, the latest, with normalized type. Unusual amounts stay and are flagged."""
     usual = (F.col(c.amount) != 0) & (F.abs(F.col(c.amount)) <= limit)
-    return _latest_per_id(bronze, c).select(
+    latest = _placed(_complete(bronze, c), c).where("_place = 1")
+    return latest.select(
         c.id,
         c.booked_at,
         c.amount,
@@ -104,15 +108,27 @@ def clean_silver(bronze: DataFrame, c: Columns = DEFAULT, limit: int = AMOUNT_LI
 def rejected_rows(bronze: DataFrame, c: Columns = DEFAULT) -> DataFrame:
     """What ``clean_silver`` drops: each distinct row once, with the reason and its number.
 
-    Equal rows are counted, in the tasks that read them and then by the whole row; taking away one
-    for every row that was kept leaves the dropped ones. No step gathers the rows of an id.
+    For most ids the rows after the latest are the dropped ones. The rows of a hot id are never
+    gathered: they are counted in the tasks that read them, and one is taken away for the row that
+    is kept.
     """
     columns = [c.id, c.booked_at, c.amount, c.type, c.date]
-    reason = F.coalesce(_missing(c), F.lit("duplicate")).alias("reason")
-    rows = bronze.select(*columns, reason, F.lit(1).alias("_n"))
-    kept = _latest_per_id(bronze, c).select(*columns, F.lit("duplicate"), F.lit(-1))
+    missing = bronze.withColumn("reason", _missing(c)).where(F.col("reason").isNotNull())
+    complete = _complete(bronze, c).select(*columns)
+    heavy = F.broadcast(heavy_keys(complete, c.id, shuffle_partitions(bronze)))
+    later = _placed(complete.join(heavy, c.id, "left_anti"), c).where("_place > 1")
+    hot = complete.join(heavy, c.id, "left_semi")
+    hot_kept = _placed(hot, c).where("_place = 1")
+
+    def counted(df: DataFrame, reason: Column, n: int) -> DataFrame:
+        return df.select(*columns, reason.alias("reason"), F.lit(n).alias("_n"))
+
+    duplicate = F.lit("duplicate")
     return (
-        rows.union(kept)
+        counted(missing, F.col("reason"), 1)
+        .union(counted(later, duplicate, 1))
+        .union(counted(hot, duplicate, 1))
+        .union(counted(hot_kept, duplicate, -1))
         .groupBy(*columns, "reason")
         .agg(F.sum("_n").alias("copies"))
         .where("copies > 0")

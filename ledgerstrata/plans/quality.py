@@ -72,14 +72,14 @@ def quality_report(
     same_count = F.col("silver_count").eqNullSafe(F.col("gold_count"))
     gates = [
         _rules(
-            reconcile.recon_layer_counts(bronze, silver, c),
+            reconcile.recon_missing_in_silver(bronze, silver, c),
             "bronze_silver",
-            {"id_in_silver": F.sum("dropped_in_silver")},
+            {"id_in_silver": F.count(c.id)},
         ),
         _rules(
-            reconcile.amount_changes(bronze, silver, c),
+            reconcile.recon_amount_discrepancy(bronze, silver, c),
             "bronze_silver",
-            {"amount_kept": F.sum("pairs")},
+            {"amount_kept": F.count("*")},
         ),
         _rules(
             reconcile.recon_dates_bronze_not_silver(bronze, silver, c),
