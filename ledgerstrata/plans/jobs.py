@@ -8,6 +8,8 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -61,19 +63,24 @@ def ingest_bronze(raw: DataFrame, c: Columns = DEFAULT) -> DataFrame:
     )
 
 
-def _missing(c: Columns) -> Column:
-    """Why a Bronze row cannot enter Silver; NULL if nothing is missing."""
-    return (
-        F.when(F.col(c.id).isNull(), "missing_id")
-        .when(F.col(c.booked_at).isNull(), "missing_time")
-        .when(F.col(c.type).isNull(), "missing_type")
-    )
+def _required(c: Columns) -> list[str]:
+    return [c.id, c.booked_at, c.type]
 
 
 def _complete(bronze: DataFrame, c: Columns) -> DataFrame:
-    return bronze.where(
-        F.col(c.id).isNotNull() & F.col(c.booked_at).isNotNull() & F.col(c.type).isNotNull()
+    """Rows that can enter Silver."""
+    return bronze.where(reduce(and_, [F.col(n).isNotNull() for n in _required(c)]))
+
+
+def _incomplete(bronze: DataFrame, c: Columns) -> DataFrame:
+    """The other rows, with what they lack first. Both filters reach the Parquet scan."""
+    reason = (
+        F.when(F.col(c.id).isNull(), "missing_id")
+        .when(F.col(c.booked_at).isNull(), "missing_time")
+        .otherwise("missing_type")
     )
+    lacking = reduce(or_, [F.col(n).isNull() for n in _required(c)])
+    return bronze.where(lacking).withColumn("reason", reason)
 
 
 def _placed(complete: DataFrame, c: Columns) -> DataFrame:
@@ -113,7 +120,7 @@ def rejected_rows(bronze: DataFrame, c: Columns = DEFAULT) -> DataFrame:
     is kept.
     """
     columns = [c.id, c.booked_at, c.amount, c.type, c.date]
-    missing = bronze.withColumn("reason", _missing(c)).where(F.col("reason").isNotNull())
+    missing = _incomplete(bronze, c)
     complete = _complete(bronze, c).select(*columns)
     heavy = F.broadcast(heavy_keys(complete, c.id, shuffle_partitions(bronze)))
     later = _placed(complete.join(heavy, c.id, "left_anti"), c).where("_place > 1")

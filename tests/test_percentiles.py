@@ -1,0 +1,66 @@
+import math
+import random
+from collections import defaultdict
+
+import pytest
+
+from ledgerstrata.operators import percentiles
+from ledgerstrata.operators.percentiles import (
+    SILVER_PERCENTILES,
+    approx_percentiles,
+    discrete_percentiles,
+)
+
+from .conftest import rows
+
+
+def brute_force(pairs, shares):
+    groups = defaultdict(list)
+    for group, value in pairs:
+        groups[group].extend([] if value is None else [value])
+    result = {}
+    for group, values in groups.items():
+        values.sort()
+        places = [max(math.ceil(round(p * len(values), 9)), 1) - 1 for p in shares]
+        result[group] = tuple(values[i] if values else None for i in places)
+    return result
+
+
+@pytest.fixture(scope="module")
+def pairs():
+    rng = random.Random(7)
+    data = [(f"g{i % 4}", round(rng.choice([-1, 1]) * 10 ** rng.uniform(-2, 9), 2)) for i in range(4000)]
+    data += [("hot", 5.0)] * 2000 + [("hot", -5.0)] * 500 + [("hot", None)] * 100
+    data += [("one", -0.01), ("none", None), (None, 3.0), (None, 4.0), ("zero", 0.0), ("zero", 0.01)]
+    return data
+
+
+@pytest.fixture(scope="module")
+def table(spark, pairs):
+    df = spark.createDataFrame(pairs, "kind string, v double").repartition(8)
+    return df.selectExpr("kind", "CAST(v AS DECIMAL(18,2)) AS v")
+
+
+def as_dict(df):
+    return {r[0]: tuple(r[1:]) for r in rows(df)}
+
+
+def test_exact_percentiles(table, pairs):
+    got = as_dict(discrete_percentiles(table, "kind", "v", SILVER_PERCENTILES))
+    assert got == brute_force(pairs, [0.25, 0.50, 0.75, 0.95])
+
+
+def test_ends(table, pairs):
+    got = as_dict(discrete_percentiles(table, "kind", "v", {"low": 0, "high": 1}))
+    assert got == brute_force(pairs, [0, 1])
+
+
+def test_without_broadcast(table, pairs, monkeypatch):
+    monkeypatch.setattr(percentiles, "_MAX_BROADCAST_ROWS", 0)
+    got = as_dict(discrete_percentiles(table, "kind", "v", SILVER_PERCENTILES))
+    assert got == brute_force(pairs, [0.25, 0.50, 0.75, 0.95])
+
+
+def test_approximate_percentiles_of_small_groups(table, pairs):
+    got = as_dict(approx_percentiles(table, "kind", "v", SILVER_PERCENTILES, 10_000))
+    assert got == brute_force(pairs, [0.25, 0.50, 0.75, 0.95])
