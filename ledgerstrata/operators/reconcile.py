@@ -20,13 +20,22 @@ from ledgerstrata.sources.scratch import cut_lineage
 
 
 def recon_layer_counts(bronze: DataFrame, silver: DataFrame, c: Columns = DEFAULT) -> DataFrame:
-    """Distinct ids per Bronze date, and how many of them Silver does not hold on any date."""
-    ids = bronze.select(c.date, c.id).distinct()
-    kept = silver.where(F.col(c.id).isNotNull()).select(c.id).distinct()
+    """Distinct ids per Bronze date, and how many of them Silver does not hold on any date.
+
+    Ids are made distinct where the join left them, without another shuffle. Only a hot id can
+    then occur more than once per date, so only hot ids are counted by id.
+    """
+    kept = silver.select(c.id).withColumn("_kept", F.lit(True))
+    ids = skew_join(bronze.select(c.date, c.id), kept, c.id, "left", keep_salt=True).distinct()
+    hot_id = F.when(F.col("_salt") > 0, F.col(c.id))
+    counts = ids.groupBy(c.date, hot_id.alias("_hot"), "_kept").agg(F.count(c.id).alias("_ids"))
+    distinct = F.when(F.col("_hot").isNull(), F.col("_ids")).otherwise(1)
     return (
-        ids.join(kept.withColumn("_kept", F.lit(1)), c.id, "left")
-        .groupBy(c.date)
-        .agg(F.count(c.id).alias("bronze_count"), F.count("_kept").alias("silver_count"))
+        counts.groupBy(c.date)
+        .agg(
+            F.sum(distinct).alias("bronze_count"),
+            F.sum(F.when(F.col("_kept"), distinct).otherwise(0)).alias("silver_count"),
+        )
         .withColumn("dropped_in_silver", F.col("bronze_count") - F.col("silver_count"))
         .orderBy(*asc(c.date))
     )

@@ -48,7 +48,12 @@ def heavy_keys(df: DataFrame, key: str, parts: int) -> DataFrame:
 
 
 def skew_join(
-    left: DataFrame, right: DataFrame, key: str, how: str = "inner", also: Sequence[str] = ()
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str = "inner",
+    also: Sequence[str] = (),
+    keep_salt: bool = False,
 ) -> DataFrame:
     """Equality join (inner, left, left_semi or left_anti) on ``key`` and the columns ``also``.
 
@@ -57,27 +62,30 @@ def skew_join(
     it separates exact copies of a row. The right rows of hot keys are repeated once per spread
     value. Where no key is hot, adaptive execution drops those steps and an ordinary shuffle join
     is left. The right side should hold few rows per key; more of them still give right results.
+
+    ``keep_salt`` adds the spread value as ``_salt``: 0 unless the key is hot or NULL. The result is
+    partitioned by key and ``_salt``, so grouping by both, and more, needs no further shuffle.
     """
     keep = left.columns
     keys = [key, *also]
     if how in ("inner", "left"):
         keep = keep + [c for c in right.columns if c not in keys]
+    if keep_salt:
+        keep = keep + ["_salt"]
     parts = shuffle_partitions(left)
-    right = right.where(F.col(key).isNotNull())
-    if parts < 2:
-        return left.join(right, keys, how).select(*keep)
     heavy = F.broadcast(heavy_keys(left, key, parts))  # at most _MAX_HEAVY rows
     spread = (
         left.join(heavy, key, "left")
         .withColumn(
             "_salt",
             F.when(
-                F.col("_heavy") | F.col(key).isNull(), F.spark_partition_id() % parts
+                F.col("_heavy") | F.col(key).isNull(), F.spark_partition_id() % parts + 1
             ).otherwise(0),
         )
         .drop("_heavy")
     )
-    repeats = F.explode(F.sequence(F.lit(1), F.lit(parts - 1)))
+    right = right.where(F.col(key).isNotNull())
+    repeats = F.explode(F.sequence(F.lit(1), F.lit(parts)))
     repeated = right.withColumn("_salt", F.lit(0)).unionByName(
         right.join(heavy, key, "left_semi").withColumn("_salt", repeats)
     )

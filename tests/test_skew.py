@@ -102,6 +102,13 @@ def test_checks_and_jobs_on_hot_ids(hot):
     assert reconcile.recon_amount_discrepancy(hot, silver).count() == differing
     matched = dict(rows(reconcile.matched_by_type(hot, silver)))
     assert matched == Counter(r[3] for r in bronze if r[0] is not None)
+    per_day = {day: {r[0] for r in bronze if r[4] == day} - {None} for day in {r[4] for r in bronze}}
+    some = silver.where("transaction_id = 'hot' OR amount > 2")
+    held = {r[0] for r in some.select("transaction_id").collect()}
+    assert rows(reconcile.recon_layer_counts(hot, some)) == [
+        (day.isoformat(), len(ids), len(ids & held), len(ids - held))
+        for day, ids in sorted(per_day.items())
+    ]
     missing = reconcile.recon_missing_in_silver(hot, silver.where("transaction_id <> 'hot'"))
     assert missing.count() == sum(r[0] in (None, "hot") for r in bronze)
 
