@@ -29,7 +29,9 @@ WITH typed AS (
            ts::DATE AS booked_date
     FROM repeated
 ), complete AS (
-    SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY booked_at DESC) AS place
+    SELECT *, row_number() OVER (
+        PARTITION BY transaction_id
+        ORDER BY booked_at DESC, amount DESC NULLS LAST, transaction_type, booked_date DESC) AS place
     FROM bronze
     WHERE transaction_id IS NOT NULL AND booked_at IS NOT NULL AND transaction_type IS NOT NULL
 ), silver_clean AS (
@@ -283,7 +285,8 @@ _BODIES: dict[str, str] = {
                    AS daily_type_total
         FROM bronze b LEFT JOIN silver s ON s.transaction_id = b.transaction_id
         ORDER BY b.booked_date NULLS LAST, b.transaction_type NULLS LAST,
-                 b.transaction_id NULLS LAST, b.amount NULLS LAST, s.amount NULLS LAST
+                 b.transaction_id NULLS LAST, b.amount NULLS LAST, s.amount NULLS LAST,
+                 s.amount_valid NULLS LAST
         LIMIT 50""",
     "lifetime_balance": """
         SELECT transaction_type, sum(amount)::DOUBLE AS lifetime_net, count(*) AS total_txn_count,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerstrata.columns import DEFAULT, Columns
-from ledgerstrata.sources.layers import only_dates, read_layer, write_layer
+from ledgerstrata.sources.layers import only_dates, read_layer, write_as_partitioned
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
@@ -30,13 +30,18 @@ def scattered_dates(
     dates: Iterable[date | str] | None = None,
     c: Columns = DEFAULT,
 ) -> DataFrame:
-    """Dates with at least twice as many files as their size needs; rows without date stay put."""
+    """Dates with at least twice as many files as their size needs, and that number as ``wanted``.
+
+    Rows without date stay in the files they have.
+    """
     return (
         only_dates(file_sizes(spark, path, c), dates, c)
         .where(F.col(c.date).isNotNull())
         .groupBy(c.date)
         .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
-        .where(F.col("files") >= 2 * F.ceil(F.col("bytes") / target_bytes))
+        .withColumn("wanted", F.ceil(F.col("bytes") / target_bytes))
+        .where(F.col("files") >= 2 * F.col("wanted"))
+        .select(c.date, "files", "wanted")
     )
 
 
@@ -50,13 +55,23 @@ def compact_layer(
 ) -> bool:
     """Rewrite in place the dates whose files are too many; True if any were.
 
-    Only their directories are replaced, and not before every new file is complete, so a lost
-    executor leaves the layer as it was. A second run finds nothing to do.
+    The rows of a date are dealt to as many files as its size needs by the number of the task that
+    reads them, so the next run finds nothing to do, and a date with very many rows, alike or not,
+    is written by many tasks. Only directories of rewritten dates are replaced, and not before every
+    new file is complete, so a lost executor leaves the layer as it was. One run shuffles all it
+    rewrites: give ``dates`` to take a very large layer in parts.
     """
-    todo = scattered_dates(spark, path, target_bytes, dates, c).select(c.date)
-    if todo.isEmpty():
+    todo = scattered_dates(spark, path, target_bytes, dates, c)
+    files = todo.agg(F.sum("wanted")).first()[0]
+    if files is None:
         return False
     layer = read_layer(spark, path, schema, dates, c)
-    wanted = F.broadcast(todo)  # one row per calendar date; prunes the partitions that are read
-    write_layer(layer.join(wanted, c.date, "left_semi"), path, c)
+    wanted = F.broadcast(todo.select(c.date, "wanted"))  # one row per calendar date
+    dealt = (
+        layer.join(wanted, c.date)
+        .withColumn("_file", F.spark_partition_id() % F.col("wanted"))
+        .repartition(files, c.date, "_file")
+        .drop("wanted", "_file")
+    )
+    write_as_partitioned(dealt, path, c)
     return True

@@ -47,10 +47,14 @@ def write_layer(df: DataFrame, path: str, c: Columns = DEFAULT) -> None:
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes``: small dates share a task, and a date that
     holds a large part of the rows is split over many.
     """
+    write_as_partitioned(df.hint("rebalance", c.date), path, c)
+
+
+def write_as_partitioned(df: DataFrame, path: str, c: Columns = DEFAULT) -> None:
+    """As ``write_layer``, with one file per task and date as ``df`` is partitioned already."""
     ordered = [n for n in df.columns if n != c.date] + [c.date]
     (
         df.select(*ordered)
-        .hint("rebalance", c.date)
         .write.partitionBy(c.date)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

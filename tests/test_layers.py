@@ -67,6 +67,24 @@ def test_compaction_keeps_rows_and_stops(spark, sample, tmp_path):
     assert not compact_layer(spark, path, schemas.BRONZE)
 
 
+def test_compaction_of_a_large_date_is_stable(spark, tmp_path):
+    """Files stay near the target size, also for exact copies, and a second run does nothing."""
+    path = str(tmp_path / "layer")
+    ids = F.when(F.col("id") % 3 == 0, "copy").otherwise(F.sha2(F.col("id").cast("string"), 256))
+    large = F.when(F.col("id") % 10 > 0, "2024-01-01").otherwise("2024-01-02").cast("date")
+    rows_in = spark.range(0, 30_000, 1, 40).select(
+        ids.alias("transaction_id"), large.alias("booked_date")
+    )
+    rows_in.write.partitionBy("booked_date").parquet(path)
+    target = 250_000
+    assert compact_layer(spark, path, target_bytes=target)
+    files = dict(rows(layer_files(spark.read.parquet(path)).groupBy("booked_date").count()))
+    assert 2 <= files["2024-01-01"] <= 7 and files["2024-01-02"] == 1
+    assert not compact_layer(spark, path, target_bytes=target)
+    assert spark.read.parquet(path).exceptAll(rows_in).isEmpty()
+    assert spark.read.parquet(path).count() == 30_000
+
+
 @pytest.fixture(scope="module")
 def database(spark, stored):
     catalog.register_layers(spark, stored.paths.as_dict())
