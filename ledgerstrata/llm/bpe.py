@@ -19,10 +19,13 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Ids take this many bits, which leaves room for vocabularies of a million tokens.
+_BITS = 20
+_LOW = (1 << _BITS) - 1
 _NEVER = 1 << 60
 _SHORT = 128
 # Chunks of text (a word and what clings to it) that a task remembers; bounds its memory.
-_REMEMBERED = 300_000
+_REMEMBERED = 250_000
 
 
 def byte_alphabet() -> list[str]:
@@ -67,60 +70,66 @@ class Bpe:
             split["pretokenizers"][0]["pattern"]["Regex"] if self.lower else BYTE_LEVEL_PATTERN
         )
         self.byte_decoder = spec["decoder"] is not None
-        # Merge rank and result for each pair of ids.
-        self.rank: dict[tuple[int, int], int] = {}
-        self.merged: list[int] = []
-        for left, right in model["merges"]:
-            self.rank[self.vocab[left], self.vocab[right]] = len(self.merged)
-            self.merged.append(self.vocab[left + right])
+        # For a pair of ids, as one number: its merge rank and, in the low bits, the merged id.
+        # The least of several such entries is the one of least rank.
+        self.pairs: dict[int, int] = {}
+        for r, (left, right) in enumerate(model["merges"]):
+            pair = self.vocab[left] << _BITS | self.vocab[right]
+            self.pairs[pair] = r << _BITS | self.vocab[left + right]
+        self._first = {c: self.vocab[c] for c in _CHAR}
+        self._last = {c: self.vocab[c + self.suffix] for c in _CHAR}
         escaped = "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))
         self._special = regex.compile(f"({escaped})") if escaped else None
         self._words: dict[str, list[int]] = {}
 
     def symbols(self, word: str) -> list[int]:
         """Ids of the single bytes of a pre-token, the last with the end-of-word suffix."""
-        chars = list(as_chars(word))
-        if self.suffix and chars:
-            chars[-1] += self.suffix
-        return [self.vocab[c] for c in chars]
+        chars = word if word.isascii() and word.isalnum() else as_chars(word)
+        ids = list(map(self._first.__getitem__, chars))
+        ids[-1] = self._last[chars[-1]]
+        return ids
 
     def merge(self, ids: list[int]) -> list[int]:
         """Apply all merges to a list of symbols."""
         if len(ids) > _SHORT:
             return self._merge_long(ids)
-        rank = self.rank.get
-        ranks = [rank(pair, _NEVER) for pair in zip(ids, ids[1:])]
+        entry = self.pairs.get
+        ranks = [entry(a << _BITS | b, _NEVER) for a, b in zip(ids, ids[1:])]
         while ranks:
             least = min(ranks)
             if least == _NEVER:
                 break
             i = ranks.index(least)
-            ids[i] = self.merged[least]
+            ids[i] = new = least & _LOW
             del ids[i + 1], ranks[i]
             if i < len(ranks):
-                ranks[i] = rank((ids[i], ids[i + 1]), _NEVER)
+                ranks[i] = entry(new << _BITS | ids[i + 1], _NEVER)
             if i:
-                ranks[i - 1] = rank((ids[i - 1], ids[i]), _NEVER)
+                ranks[i - 1] = entry(ids[i - 1] << _BITS | new, _NEVER)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
-        rank, end = self.rank.get, len(ids)
+        entry, end = self.pairs.get, len(ids)
         after, before = list(range(1, end + 1)), list(range(-1, end - 1))
-        heap = [(r, i) for i, p in enumerate(zip(ids, ids[1:])) if (r := rank(p)) is not None]
+        heap = []
+        for i in range(end - 1):
+            if (r := entry(ids[i] << _BITS | ids[i + 1])) is not None:
+                heap.append((r, i))
         heapq.heapify(heap)
         while heap:
             r, i = heapq.heappop(heap)
             j = after[i]
             # Stale entries name a part that is gone or has changed since.
-            if ids[i] < 0 or j >= end or rank((ids[i], ids[j])) != r:
+            if ids[i] < 0 or j >= end or entry(ids[i] << _BITS | ids[j]) != r:
                 continue
-            ids[i], ids[j] = self.merged[r], -1
+            ids[i], ids[j] = r & _LOW, -1
             after[i] = k = after[j]
             if k < end:
                 before[k] = i
             for left, right in ((before[i], i), (i, k)):
-                if left >= 0 and right < end and (q := rank((ids[left], ids[right]))) is not None:
-                    heapq.heappush(heap, (q, left))
+                if left >= 0 and right < end:
+                    if (q := entry(ids[left] << _BITS | ids[right])) is not None:
+                        heapq.heappush(heap, (q, left))
         return [x for x in ids if x >= 0]
 
     def pre_tokens(self, text: str) -> list[str]:
@@ -253,17 +262,23 @@ class Digester:
 
     def __init__(self, bpe: Bpe):
         self._bpe = bpe
-        self._ids: dict[str, str] = {"": ""}
-        self._texts: dict[str, str] = {"": ""}
+        self._known: dict[str, tuple[str, str]] = {"": ("", "")}
+        self._older: dict[str, tuple[str, str]] = {}
+        self._number = {i: f"{i} " for i in bpe.token}
+        self._token = {i: f"{t} " for i, t in bpe.token.items()}
 
     def _learn(self, chunks: set[str]) -> None:
-        bpe = self._bpe
-        if len(self._ids) > _REMEMBERED:
-            self._ids, self._texts = {"": ""}, {"": ""}
-        for chunk in chunks.difference(self._ids):
-            ids = bpe.plain_ids(chunk)
-            self._ids[chunk] = "".join([f"{i} " for i in ids])
-            self._texts[chunk] = "".join([f"{bpe.token[i]} " for i in ids])
+        """Remember new chunks; of the older ones only those that are still in use."""
+        if len(self._known) > _REMEMBERED // 2:
+            self._known, self._older = {"": ("", "")}, self._known
+        known, older = self._known, self._older
+        encode, number, token = self._bpe.plain_ids, self._number, self._token
+        for chunk in chunks.difference(known):
+            entry = older.get(chunk)
+            if entry is None:
+                ids = encode(chunk)
+                entry = "".join([number[i] for i in ids]), "".join([token[i] for i in ids])
+            known[chunk] = entry
 
     def __call__(self, text: str | None) -> tuple[str, str]:
         """Ids in decimal, and the decoded text."""
@@ -274,11 +289,11 @@ class Digester:
             return " ".join(map(str, ids)), bpe.decode(ids)
         chunks = text.split(" ")
         try:
-            ids = "".join(map(self._ids.__getitem__, chunks))
+            entries = list(map(self._known.__getitem__, chunks))
         except KeyError:
             self._learn(set(chunks))
-            ids = "".join(map(self._ids.__getitem__, chunks))
-        return ids[:-1], "".join(map(self._texts.__getitem__, chunks))[:-1]
+            entries = list(map(self._known.__getitem__, chunks))
+        return "".join([e[0] for e in entries])[:-1], "".join([e[1] for e in entries])[:-1]
 
 
 def encoded_digests(

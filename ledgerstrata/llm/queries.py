@@ -4,19 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerstrata.llm.bpe import encoded_digests
 from ledgerstrata.llm.near_dup import near_duplicates
+from ledgerstrata.llm.token_counts import token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts(_table(spark, sf_dir, "documents"), path)
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return encoded_digests(_table(spark, sf_dir, "documents"), path)
+
+
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
+    "op2_bpe": op2_bpe,
     "op9_near_dup": op9_near_dup,
 }
