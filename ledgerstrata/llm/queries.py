@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerstrata.llm.bpe import encoded_digests
 from ledgerstrata.llm.near_dup import near_duplicates
 from ledgerstrata.llm.token_counts import token_counts
+from ledgerstrata.llm.toxicity import fit_toxicity, held_out, score_documents, with_labels
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +28,18 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_digests(_table(spark, sf_dir, "documents"), path)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    learned = with_labels(docs, _table(spark, sf_dir, "labels")).where(~held_out(3, 1))
+    scored = score_documents(docs, fit_toxicity(learned))
+    return scored.select(
+        "doc_id",
+        held_out(3, 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
@@ -33,5 +47,6 @@ def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_bpe": op2_bpe,
+    "op3_toxicity": op3_toxicity,
     "op9_near_dup": op9_near_dup,
 }
