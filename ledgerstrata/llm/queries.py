@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerstrata.llm.bpe import encoded_digests
+from ledgerstrata.llm.decontam import benchmark_overlaps
 from ledgerstrata.llm.near_dup import near_duplicates
 from ledgerstrata.llm.token_counts import token_counts
 from ledgerstrata.llm.toxicity import fit_toxicity, held_out, score_documents, with_labels
@@ -40,6 +41,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return benchmark_overlaps(docs, benchmark)
+
+
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
@@ -48,5 +54,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_bpe": op2_bpe,
     "op3_toxicity": op3_toxicity,
+    "op7_decontamination": op7_decontamination,
     "op9_near_dup": op9_near_dup,
 }
