@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerstrata.llm.bpe import encoded_digests
 from ledgerstrata.llm.decontam import benchmark_overlaps
 from ledgerstrata.llm.near_dup import near_duplicates
+from ledgerstrata.llm.quality import quality_verdicts
 from ledgerstrata.llm.token_counts import token_counts
 from ledgerstrata.llm.toxicity import fit_toxicity, held_out, score_documents, with_labels
 
@@ -46,6 +47,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_overlaps(docs, benchmark)
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(_table(spark, sf_dir, "documents"))
+
+
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
@@ -55,5 +60,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_toxicity": op3_toxicity,
     "op7_decontamination": op7_decontamination,
+    "op8_quality": op8_quality,
     "op9_near_dup": op9_near_dup,
 }
