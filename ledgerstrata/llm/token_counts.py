@@ -16,9 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerstrata.llm.bpe import _BITS, _LOW, _REMEMBERED, _SHORT, Bpe, Shipped, as_chars
+from ledgerstrata.llm.bpe import _BITS, _LOW, _SHORT, Bpe, Shipped, as_chars
 
 _PAIRS = 1_000_000
+# Length of the beginnings that words share.
+_STEM = 6
+# Words, and chunks of text, that a task remembers.
+_REMEMBERED = 500_000
 # Where a blank stands beside other white space or at an end, pre-tokens may span it.
 _BLANKS = re.compile(r"^\s|\s\Z| \s|\s ")
 
@@ -45,6 +49,7 @@ class PrefixCounter:
         self._fits: dict[int, bool] = {}
         self._alone: dict[int, bool] = {}
         self._words: dict[str, list[int]] = {}
+        self._stems: dict[str, tuple[list[int], list[int]]] = {}
         self._chunks: dict[str, int] = {}
         self._older: dict[str, int] = {}
 
@@ -95,10 +100,21 @@ class PrefixCounter:
 
     def _word(self, chars: str) -> list[int]:
         """Token counts of the prefixes of 1, 2, ... bytes of one pre-token."""
+        # The prefixes of a prefix do not depend on what follows: words share their beginnings.
+        stem = chars[:_STEM]
+        known = self._stems.get(stem)
+        if known is None:
+            if len(self._stems) > _REMEMBERED:
+                self._stems.clear()
+            known = self._stems[stem] = self._extend([], [], stem)
+        if len(chars) <= _STEM:
+            return known[1]
+        return self._extend(known[0].copy(), known[1].copy(), chars)[1]
+
+    def _extend(self, last: list[int], counts: list[int], chars: str) -> tuple[list, list]:
+        """Append last token and count of each further prefix of ``chars``."""
         get, fits, longest = self._bpe.vocab.get, self._fits, self._longest
-        last: list[int] = []
-        counts: list[int] = []
-        for end in range(1, len(chars) + 1):
+        for end in range(len(counts) + 1, len(chars) + 1):
             # Exactly one token ends this prefix; short ones are the most frequent.
             for start in range(end - 1, max(-1, end - 1 - longest), -1):
                 token = get(chars[start:end])
@@ -118,7 +134,7 @@ class PrefixCounter:
                     last.append(token)
                     counts.append(counts[start - 1] + 1)
                     break
-        return counts
+        return last, counts
 
     def word_counts(self, word: str) -> list[int]:
         known = self._words
