@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerstrata.llm.text import mix
+from ledgerstrata.llm.text import mix, plain_words
 
 WINDOW = 13
 PERCENT = 80
@@ -26,18 +26,6 @@ SHORT_MASKS = ("111", "11011")
 # Benchmark bytes that are held by the driver and each worker at a time.
 BLOCK_BYTES = 64_000_000
 
-# ASCII letters in lower case and digits are kept, as are all other characters; the rest separates.
-_SEPARATE = bytes(
-    c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32
-    for c in range(256)
-)
-
-
-def words_of(text: str | None) -> list[bytes]:
-    """Lower-cased words: runs of ASCII letters, ASCII digits and characters beyond ASCII."""
-    return text.encode("utf-8", "replace").translate(_SEPARATE).split() if text else []
-
-
 def _offsets(mask: str) -> np.ndarray:
     return np.flatnonzero(np.frombuffer(mask.encode(), np.uint8) == ord("1"))
 
@@ -68,7 +56,7 @@ class SeedIndex:
         self.items: list[tuple[int, np.ndarray]] = []
         found: list[list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = [[] for _ in range(4)]
         for item_id, text in items:
-            words = words_of(text)
+            words = plain_words(text)
             if len(words) < 5 or item_id is None:
                 continue
             ids = np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words])
@@ -103,7 +91,7 @@ class SeedIndex:
     def overlaps(self, text: str | None) -> list[tuple[int, int, int, int, int]]:
         """Per item found: item id, first word in the document, words, words that agree, item's first word."""
         get = self.vocabulary.get
-        words = words_of(text)
+        words = plain_words(text)
         ids = np.fromiter([get(w, 0) for w in words], np.int64, len(words))
         best: dict[int, tuple] = {}
         for item, shift in sorted(self._diagonals(ids)):

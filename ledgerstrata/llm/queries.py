@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ledgerstrata.llm.bpe import encoded_digests
 from ledgerstrata.llm.decontam import benchmark_overlaps
+from ledgerstrata.llm.language import fit_language, predict_language
+from ledgerstrata.llm.licenses import scan_licenses
 from ledgerstrata.llm.near_dup import near_duplicates
 from ledgerstrata.llm.quality import quality_verdicts
 from ledgerstrata.llm.token_counts import token_counts
@@ -42,6 +44,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    predicted = predict_language(docs, fit_language(docs.where(~held_out(4, 2))))
+    return predicted.select(
+        "doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return benchmark_overlaps(docs, benchmark)
@@ -55,11 +65,17 @@ def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_bpe": op2_bpe,
     "op3_toxicity": op3_toxicity,
+    "op4_language": op4_language,
     "op7_decontamination": op7_decontamination,
     "op8_quality": op8_quality,
     "op9_near_dup": op9_near_dup,
+    "op10_licenses": op10_licenses,
 }

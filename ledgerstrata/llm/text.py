@@ -27,7 +27,19 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def blank_words(text: str | None) -> list[bytes]:
     """UTF-8 words between blanks (space, \\t, \\n, \\v, \\f, \\r), with A-Z lower-cased."""
-    return text.encode("utf-8", "surrogatepass").translate(_LOWER).split() if text else []
+    return text.encode("utf-8", "replace").translate(_LOWER).split() if text else []
+
+
+# ASCII letters in lower case and digits are kept, as are all other characters; the rest separates.
+_SEPARATE = bytes(
+    c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32
+    for c in range(256)
+)
+
+
+def plain_words(text: str | None) -> list[bytes]:
+    """UTF-8 words: runs of ASCII letters (lower-cased), ASCII digits and other characters."""
+    return text.encode("utf-8", "replace").translate(_SEPARATE).split() if text else []
 
 
 class WordHasher:
