@@ -33,4 +33,31 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = comp
 FROM sets JOIN component ON doc_id = a
 """
 
-SQL: dict[str, str] = {"op9_near_dup": OP9}
+OP6 = """
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+      coalesce(text, '')) - 1 AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), last AS (
+  SELECT conv_id, max(i) AS l, arg_max(text, i) AS reply FROM t WHERE role = 'assistant' GROUP BY conv_id
+), pair AS (
+  SELECT a.conv_id, a.l, b.reply AS other, b.reply IS NOT NULL AS given,
+    CASE WHEN b.reply = a.reply THEN a.l + 1 ELSE a.l END AS n
+  FROM last a LEFT JOIN last b ON b.conv_id = xor(a.conv_id, 1)
+), shown AS (
+  SELECT t.conv_id, i, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS s
+  FROM t JOIN last ON last.conv_id = t.conv_id AND i <= l
+)
+SELECT pair.conv_id, CAST(n AS BIGINT) AS n_common,
+  coalesce(string_agg(s, '' ORDER BY i) FILTER (i < n), '') AS prompt,
+  coalesce(string_agg(s, '' ORDER BY i) FILTER (i >= n), '') AS chosen,
+  CASE WHEN given AND n = l
+    THEN '<|im_start|>assistant' || chr(10) || other || '<|im_end|>' || chr(10) ELSE '' END AS rejected,
+  CASE WHEN n = l THEN '22-' || (max(length(s)) FILTER (i = l) - 1) ELSE '' END AS chosen_spans,
+  CASE WHEN given AND n = l THEN '22-' || (22 + length(other) + 10) ELSE '' END AS rejected_spans
+FROM pair JOIN shown ON shown.conv_id = pair.conv_id
+GROUP BY pair.conv_id, n, l, given, other
+"""
+
+SQL: dict[str, str] = {"op6_chat": OP6, "op9_near_dup": OP9}

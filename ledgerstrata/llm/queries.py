@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerstrata.llm.bpe import encoded_digests
+from ledgerstrata.llm.chat import format_preferences, swapped_replies
 from ledgerstrata.llm.decontam import benchmark_overlaps
 from ledgerstrata.llm.language import fit_language, predict_language
 from ledgerstrata.llm.licenses import scan_licenses
@@ -16,6 +17,16 @@ from ledgerstrata.llm.near_dup import near_duplicates
 from ledgerstrata.llm.quality import quality_verdicts
 from ledgerstrata.llm.token_counts import token_counts
 from ledgerstrata.llm.toxicity import fit_toxicity, held_out, score_documents, with_labels
+from ledgerstrata.llm.urls import judge_urls
+
+# The rules of the URL query.
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +63,21 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = swapped_replies(_table(spark, sf_dir, "conversations"))
+    flat = lambda name: F.array_join(
+        F.transform(name, lambda s: F.concat_ws("-", s["start"], s["end"])), ","
+    ).alias(name)
+    return format_preferences(pairs).select(
+        "conv_id", "n_common", "prompt", "chosen", "rejected",
+        flat("chosen_spans"), flat("rejected_spans"),
+    )
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return benchmark_overlaps(docs, benchmark)
@@ -74,6 +100,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_toxicity": op3_toxicity,
     "op4_language": op4_language,
+    "op5_urls": op5_urls,
+    "op6_chat": op6_chat,
     "op7_decontamination": op7_decontamination,
     "op8_quality": op8_quality,
     "op9_near_dup": op9_near_dup,
