@@ -14,64 +14,25 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BUCKETS = 1024
+BUCKETS = 2048
 SIZES = (3, 4)
 
-# A small labelled table to learn from: URLs that a text corpus wants, and URLs that it does not.
-LABELLED: dict[str, tuple[str, ...]] = {
-    "allow": (
-        "https://en.library.example.edu/history/chapter-2",
-        "https://www.museum.example.org/collections/paintings",
-        "https://news.example.com/2023/05/science/article-4412",
-        "https://docs.project.example.io/guide/install.html",
-        "https://blog.gardening.example.com/how-to-prune-roses",
-        "https://university.example.edu/courses/physics/lecture-notes",
-        "https://recipes.example.net/soups/lentil",
-        "https://www.cityhall.example.gov/services/permits",
-        "https://journal.example.org/articles/12-climate-review",
-        "https://forum.example.com/thread/how-do-i-fix-a-bicycle",
-        "https://wiki.example.org/page/Photosynthesis",
-        "https://magazine.example.fr/culture/entretien-avec-un-auteur",
-        "https://zeitung.example.de/politik/bericht-aus-berlin",
-        "https://periodico.example.es/deportes/cronica-del-partido",
-        "http://archive.example.org/letters/1914/index.html",
-        "https://travel.example.com/italy/florence-walks",
-        "https://www.health.example.gov/topics/vaccines",
-        "https://help.example.com/en/articles/reset-your-settings",
-        "https://stories.example.net/en/2231",
-        "https://poems.example.org/en/18",
-        "https://m.weather.example.com/en/forecast",
-        "https://open.school.example.edu/math/algebra",
-        "https://blog.travelnotes.example.net/fr/913",
-        "https://reader.example.com/books/en/774.html",
-    ),
-    "block": (
-        "http://free-casino-bonus.example.biz/slots/win-now",
-        "http://xxx-videos.example.tv/watch/hot-girls",
-        "https://cheap-pills.example.info/buy-viagra-online",
-        "http://ads.tracker.example.net/click?id=8831",
-        "http://best-poker-bets.example.com/jackpot/free-spins",
-        "https://download-crack.example.ru/keygen/full-version.exe",
-        "http://adult-cams.example.xxx/live/sex-chat",
-        "http://win-iphone.example.click/prize/claim",
-        "https://payday-loans.example.biz/apply-now/no-credit-check",
-        "http://torrent-movies.example.to/download/free-full-movie",
-        "http://porn-tube.example.com/sex/videos",
-        "http://casino-royal.example.net/bet/roulette-bonus",
-        "https://replica-watches.example.shop/cheap/rolex",
-        "http://spam-links.example.info/seo/backlinks/buy",
-        "http://warez.example.to/crack/serial-keygen",
-        "http://click.adserver.example.com/banner/redirect",
-        "http://hot-singles.example.date/meet-girls-now",
-        "http://get-rich-quick.example.biz/make-money-fast",
-        "http://betting-odds.example.bet/sports/free-bets",
-        "http://xxx-porn.example.sex/gallery/nude",
-        "https://buy-followers.example.shop/cheap-likes",
-        "http://slots-jackpot.example.casino/free-spins/bonus",
-        "http://pills-pharmacy.example.ru/cialis/discount",
-        "http://popup-ads.example.click/track/win-prize",
-    ),
-}
+# A small labelled table to learn from is built from these by rule (labelled_urls): names of sites
+# that a text corpus wants, and words of which names of sites that it does not want are made.
+WANTED = (
+    "library", "museum", "news", "docs", "gardening", "university", "recipes", "cityhall", "journal",
+    "forum", "wiki", "magazine", "weather", "school", "poems", "history", "physics", "travel", "music",
+    "science", "archive", "letters", "health", "nature", "stories", "reader", "theatre", "painting",
+    "zeitung", "periodico", "culture", "antiques", "orchestra", "thesis", "notebook", "open-data",
+)
+UNWANTED = (
+    "casino", "poker", "bets", "slots", "jackpot", "win", "free", "cheap", "pills", "pharmacy",
+    "adult", "xxx", "porn", "sex", "ads", "track", "click", "spam", "seo", "loans", "crack", "warez",
+    "torrent", "replica",
+)
+_PREFIXES = ("", "www.", "m.", "blog.", "shop.")
+_ENDINGS = ("com", "net", "org", "info")
+_PATHS = ("/en/4711", "/fr/805.html", "/index.html", "/es/17?page=2", "/de/2023/", "/read/page", "")
 
 Rule = tuple[str, str]
 
@@ -143,16 +104,29 @@ class UrlModel:
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """The built-in table: ``url`` and ``label`` (1: block)."""
+    """The built-in table: ``url`` and ``label`` (1: block).
+
+    Every name comes with every prefix, while endings and paths go round, so that only the name tells
+    the labels apart.
+    """
+    n = len(UNWANTED)
+    bad = [f"{UNWANTED[i]}{'-' * (k > 0)}{UNWANTED[(i + k) % n] * (k > 0)}" for i in range(n) for k in (0, 1, 7)]
+    names = [(name, 0) for name in WANTED] + [(name, 1) for name in bad]
     rows = [
-        f"('{url}', {int(action == 'block')})" for action, urls in LABELLED.items() for url in urls
+        f"('https://{prefix}{name}.example.{_ENDINGS[(i + j) % 4]}{_PATHS[(i + 3 * j) % 7]}', {label})"
+        for i, (name, label) in enumerate(names)
+        for j, prefix in enumerate(_PREFIXES)
     ]
     return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t(url, label)")
 
 
-def fit_urls(labelled: DataFrame, regularization: float = 0.01) -> UrlModel:
+def fit_urls(
+    labelled: DataFrame, regularization: float = 0.0002, allow_weight: float = 8.0
+) -> UrlModel:
     """Learn from ``url`` and ``label`` (1: block, 0: allow) of a small table.
 
+    Rows to allow weigh ``allow_weight``, so that names without known n-grams are allowed.
+
     Rows with a NULL URL or label are left out. Without rows of both labels every URL is allowed,
     or blocked if that is the only label.
     """
@@ -173,10 +147,12 @@ def fit_urls(labelled: DataFrame, regularization: float = 0.01) -> UrlModel:
         lambda i: F.coalesce(F.element_at("m", i), F.lit(0)) / F.sqrt("n"),
     )
     rows = counted.select(
-        array_to_vector(share).alias("features"), F.col("label").cast("double").alias("label")
+        array_to_vector(share).alias("features"),
+        F.col("label").cast("double").alias("label"),
+        F.when(F.col("label") == 0, allow_weight).otherwise(1.0).alias("weight"),
     )
     fitted = LogisticRegression(
-        regParam=regularization, standardization=False, maxIter=200, tol=1e-9
+        regParam=regularization, standardization=False, maxIter=200, tol=1e-9, weightCol="weight"
     ).fit(rows.coalesce(1).sortWithinPartitions("label", F.hash("features")))
     weights = tuple(round(float(w), 9) for w in fitted.coefficients.toArray())
     return UrlModel(weights, round(float(fitted.intercept), 9))
