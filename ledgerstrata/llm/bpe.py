@@ -13,7 +13,9 @@ import heapq
 import json
 import unicodedata
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -213,10 +215,33 @@ class Shipped:
         return _loaded[self._digest]
 
 
+class Encoder:
+    """Ids of whole texts. Chunks between blanks are encoded once per memory where a file allows it."""
+
+    def __init__(self, bpe: Bpe):
+        self._bpe = bpe
+        self._known: dict[str, tuple[int, ...]] = {}
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        bpe, known = self._bpe, self._known
+        if not text or not bpe.lower or any(s in text for s in bpe.special):
+            return np.array(bpe.encode(text), np.int32)
+        chunks = text.split(" ")
+        try:
+            found = list(map(known.__getitem__, chunks))
+        except KeyError:
+            if len(known) > _REMEMBERED:
+                known.clear()
+            for chunk in set(chunks).difference(known):
+                known[chunk] = tuple(bpe.plain_ids(chunk))
+            found = list(map(known.__getitem__, chunks))
+        return np.fromiter(chain.from_iterable(found), np.int32)
+
+
 def encode_documents(
     docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """``id_column`` and ``ids`` (array of int) for every row, as ``Bpe.encode`` gives them.
+    """The id, ``n_tokens`` and ``ids`` (array of int) of every row, as ``Bpe.encode`` gives them.
 
     NULL and empty texts have no tokens; repeated rows and NULL ids are kept; other columns are
     ignored; an empty table gives no rows.
@@ -224,16 +249,23 @@ def encode_documents(
     shipped = Shipped(docs.sparkSession, path)
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = shipped.get()
+        encoder = Encoder(shipped.get())
         for batch in batches:
-            ids = [bpe.encode(text) for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids, pa.list_(pa.int32()))], [id_column, "ids"]
-            )
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                ids = [encoder(text) for text in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        pa.array(map(len, ids), pa.int64()),
+                        pa.array(ids, pa.list_(pa.int32())),
+                    ],
+                    [id_column, "n_tokens", "ids"],
+                )
 
     taken = docs.select(F.col(id_column), F.col(text_column).alias("_text"))
     kind = docs.schema[id_column].dataType.simpleString()
-    return taken.mapInArrow(encode, f"`{id_column}` {kind}, ids array<int>")
+    return taken.mapInArrow(encode, f"`{id_column}` {kind}, n_tokens long, ids array<int>")
 
 
 def decode_ids(ids: DataFrame, path: str, id_column: str = "doc_id") -> DataFrame:

@@ -7,13 +7,13 @@ those of the documents; around each hit the two texts are compared word by word.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerstrata.llm.text import mix, plain_words
 
@@ -113,9 +113,7 @@ class SeedIndex:
         return [(i, r[1], r[2], -r[0], r[3]) for i, r in sorted(best.items())]
 
 
-_SCHEMA = (
-    "doc_id long, item_id long, first_word long, n_words long, n_same long, item_first_word long"
-)
+_FOUND = ("item_id", "first_word", "n_words", "n_same", "item_first_word")
 
 
 def benchmark_overlaps(
@@ -124,8 +122,10 @@ def benchmark_overlaps(
     window: int = WINDOW,
     percent: int = PERCENT,
     block_bytes: int = BLOCK_BYTES,
+    id_column: str = "doc_id",
+    text_column: str = "text",
 ) -> DataFrame:
-    """One row per document and benchmark item that it contains: ``doc_id``, ``item_id``,
+    """One row per document and benchmark item that it contains: the id, ``item_id``,
     ``first_word``, ``n_words``, ``n_same``, ``item_first_word``.
 
     A document contains an item if, without gaps, ``window`` successive words of both (all words of
@@ -148,30 +148,33 @@ def benchmark_overlaps(
     )
     size = known.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     blocks = -(-size // block_bytes)
+    schema = T.StructType(
+        [docs.schema[id_column], *[T.StructField(n, T.LongType()) for n in _FOUND]]
+    )
     if not blocks:
-        return spark.createDataFrame([], _SCHEMA)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("_text"))
+        return spark.createDataFrame([], schema)
+    texts = docs.select(F.col(id_column), F.col(text_column).alias("_text"))
     result = None
     for block in range(blocks):
         mine = F.pmod(F.xxhash64("_item"), F.lit(blocks)) == block
         items = sorted((r[0], r[1]) for r in known.where(mine).distinct().collect())
         shared = spark.sparkContext.broadcast(SeedIndex(items, window, percent))
-        found = texts.mapInArrow(_searcher(shared), _SCHEMA)
+        found = texts.mapInArrow(_searcher(shared, id_column), schema)
         result = found if result is None else result.unionByName(found)
     return result
 
 
-def _searcher(shared):
+def _searcher(shared, id_column: str):
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
-            rows: dict[str, list] = defaultdict(list)
-            names = [c.split()[0] for c in _SCHEMA.split(", ")]
-            ids = batch.column(0).to_pylist()
-            for doc_id, text in zip(ids, map(lambda x: x.as_py(), batch.column(1))):
-                for found in index.overlaps(text):
-                    for name, value in zip(names, (doc_id, *found)):
-                        rows[name].append(value)
-            yield pa.RecordBatch.from_pydict({n: pa.array(rows[n], pa.int64()) for n in names})
+            rows, found = [], []
+            for i, text in enumerate(batch.column(1)):
+                hits = index.overlaps(text.as_py())
+                rows += [i] * len(hits)
+                found += hits
+            numbers = [pa.array([f[k] for f in found], pa.int64()) for k in range(len(_FOUND))]
+            ids = batch.column(0).take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, *numbers], [id_column, *_FOUND])
 
     return search

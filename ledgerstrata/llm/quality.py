@@ -22,6 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerstrata.llm.text import WordHasher, mix
 from ledgerstrata.sources.scratch import cut_lineage, scratch_path
@@ -260,14 +261,21 @@ def quality_verdicts(
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "statistics")
-    kind = docs.schema[id_column].dataType.simpleString()
-    numbers = ", ".join(f"{n} long" for n in Counter.NAMES)
+    numbers = [T.StructField(n, T.LongType()) for n in Counter.NAMES]
+    schema = T.StructType(
+        [
+            T.StructField("_id", docs.schema[id_column].dataType),
+            T.StructField("_lang", T.StringType()),
+            T.StructField("_source", T.StringType()),
+            *numbers,
+        ]
+    )
     docs.select(
         F.col(id_column).alias("_id"),
         F.col("lang").cast("string").alias("_lang"),
         F.col("source").cast("string").alias("_source"),
         F.col("text").alias("_text"),
-    ).mapInArrow(_count, f"_id {kind}, _lang string, _source string, {numbers}").write.parquet(path)
+    ).mapInArrow(_count, schema).write.parquet(path)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     counted = (
         spark.read.parquet(path)

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ORDER = 5
 # Orders up to this one use counts of both classes together.
@@ -281,10 +282,8 @@ def score_documents(
                     [part.column(0), pa.array(scores, pa.float64())], [id_column, "score"]
                 )
 
-    kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(F.col(id_column), F.col(text_column).alias("_text")).mapInArrow(
-        score, f"`{id_column}` {kind}, score double"
-    )
+    schema = T.StructType([docs.schema[id_column], T.StructField("score", T.DoubleType())])
+    return docs.select(F.col(id_column), F.col(text_column).alias("_text")).mapInArrow(score, schema)
 
 
 def with_labels(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> DataFrame:
