@@ -1,25 +1,92 @@
-"""The corpus pipeline: from raw documents to token ids, one written table per stage."""
+"""The corpus pipeline: from raw documents to token ids, one written table per stage.
+
+Stages take (spark, docs, sf_dir) and return a DataFrame; all but the last return the columns of
+``docs``. Each works on everything its predecessor kept. NULL texts and texts without words fall at the
+quality stage; a NULL language or source is a value like any other; extra columns are carried along up
+to the last stage. An empty table passes through all stages as an empty table.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgerstrata.llm.bpe import encode_documents
+from ledgerstrata.llm.decontam import benchmark_overlaps
 from ledgerstrata.llm.near_dup import near_duplicates
+from ledgerstrata.llm.quality import quality_verdicts
+from ledgerstrata.llm.toxicity import fit_toxicity, score_documents, with_labels
 from ledgerstrata.sources.scratch import scratch_path
 
+TOXIC_FROM = 0.7
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _row_key(*columns: str) -> Column:
+    """Text that differs where the columns differ, NULL included: equal rows get equal verdicts."""
+    cols = [F.col(c) for c in columns]
+    return F.concat_ws(
+        ":",
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("none")),
+        F.xxhash64(*cols, *[c.isNull() for c in cols]).cast("string"),
+    )
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go (operator 8)."""
+    keyed = docs.withColumn("_key", _row_key("text", "lang", "source"))
+    rejected = quality_verdicts(keyed, id_column="_key").where("NOT kept").select("_key").distinct()
+    return keyed.join(rejected, "_key", "left_anti").select(*docs.columns)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score of 0.7 or more go (operator 3); they are not shuffled for it."""
+    model = fit_toxicity(with_labels(docs, _table(spark, sf_dir, "labels")))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text")
+    scored = score_documents(rows, model, id_column="_row")
+    return scored.where(F.col("score") < TOXIC_FROM).select("_row.*")
+
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays (operator 9)."""
+    """One document of each near-duplicate group stays, the one of least id (operator 9).
+
+    Of repeated rows one stays. A row without id cannot be named, and stays.
+    """
     gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns).distinct()
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark passage go (operator 7)."""
+    keyed = docs.withColumn("_key", _row_key("text"))
+    overlaps = benchmark_overlaps(keyed, _table(spark, sf_dir, "benchmark"), id_column="_key")
+    return keyed.join(overlaps.select("_key").distinct(), "_key", "left_anti").select(*docs.columns)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of what is left (operator 2)."""
+    return encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
 
+STAGES = [
+    ("quality", quality),
+    ("toxicity", toxicity),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("encoding", encoding),
+]
 
-STAGES = [("near_dedup", near_dedup)]
+# Robust estimates, fitted models and components of links have no SQL form; the stages are tested
+# against brute force instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
