@@ -36,11 +36,19 @@ def _row_key(*columns: str) -> Column:
     )
 
 
+def _keyed(docs: DataFrame, *columns: str) -> tuple[DataFrame, str]:
+    """Documents with a row key, under a name that no column of theirs has."""
+    name = "_key"
+    while name in docs.columns:
+        name += "_"
+    return docs.withColumn(name, _row_key(*columns)), name
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go (operator 8)."""
-    keyed = docs.withColumn("_key", _row_key("text", "lang", "source"))
-    rejected = quality_verdicts(keyed, id_column="_key").where("NOT kept").select("_key").distinct()
-    return keyed.join(rejected, "_key", "left_anti").select(*docs.columns)
+    keyed, key = _keyed(docs, "text", "lang", "source")
+    rejected = quality_verdicts(keyed, id_column=key).where("NOT kept").select(key).distinct()
+    return keyed.join(rejected, key, "left_anti").select(*docs.columns)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,9 +70,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark passage go (operator 7)."""
-    keyed = docs.withColumn("_key", _row_key("text"))
-    overlaps = benchmark_overlaps(keyed, _table(spark, sf_dir, "benchmark"), id_column="_key")
-    return keyed.join(overlaps.select("_key").distinct(), "_key", "left_anti").select(*docs.columns)
+    keyed, key = _keyed(docs, "text")
+    overlaps = benchmark_overlaps(keyed, _table(spark, sf_dir, "benchmark"), id_column=key)
+    return keyed.join(overlaps.select(key).distinct(), key, "left_anti").select(*docs.columns)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -91,13 +91,15 @@ def format_preferences(pairs: DataFrame) -> DataFrame:
         )
 
     others = [c for c in pairs.columns if c not in ("chosen", "rejected")]
+    if not others:
+        raise ValueError("pairs need a column that names them")
     n = F.col("_n")
     rest = lambda name: F.slice(F.col(name), n + 1, F.greatest(F.size(F.col(name)), F.lit(1)))
     return (
-        pairs.select(*others, plain("chosen").alias("_chosen"), plain("rejected").alias("_rejected"))
+        pairs.select(F.struct(*others).alias("_others"), plain("chosen").alias("_chosen"), plain("rejected").alias("_rejected"))
         .withColumn("_n", common_prefix(F.col("_chosen"), F.col("_rejected")))
         .select(
-            *others,
+            "_others.*",
             n.cast("long").alias("n_common"),
             render(F.slice(F.col("_chosen"), F.lit(1), n)).alias("prompt"),
             render(rest("_chosen")).alias("chosen"),
