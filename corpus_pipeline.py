@@ -16,6 +16,7 @@ from ledgerstrata.llm.bpe import encode_documents
 from ledgerstrata.llm.decontam import benchmark_overlaps
 from ledgerstrata.llm.near_dup import near_duplicates
 from ledgerstrata.llm.quality import quality_verdicts
+from ledgerstrata.llm.shipping import make_importable
 from ledgerstrata.llm.toxicity import fit_toxicity, score_documents, with_labels
 from ledgerstrata.sources.scratch import scratch_path
 
@@ -46,6 +47,7 @@ def _keyed(docs: DataFrame, *columns: str) -> tuple[DataFrame, str]:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go (operator 8)."""
+    make_importable(spark)
     keyed, key = _keyed(docs, "text", "lang", "source")
     rejected = quality_verdicts(keyed, id_column=key).where("NOT kept").select(key).distinct()
     return keyed.join(rejected, key, "left_anti").select(*docs.columns)
@@ -53,6 +55,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score of 0.7 or more go (operator 3); they are not shuffled for it."""
+    make_importable(spark)
     model = fit_toxicity(with_labels(docs, _table(spark, sf_dir, "labels")))
     rows = docs.select(F.struct(*docs.columns).alias("_row"), "text")
     scored = score_documents(rows, model, id_column="_row")
@@ -64,12 +67,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Of repeated rows one stays. A row without id cannot be named, and stays.
     """
+    make_importable(spark)
     gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns).distinct()
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark passage go (operator 7)."""
+    make_importable(spark)
     keyed, key = _keyed(docs, "text")
     overlaps = benchmark_overlaps(keyed, _table(spark, sf_dir, "benchmark"), id_column=key)
     return keyed.join(overlaps.select(key).distinct(), key, "left_anti").select(*docs.columns)
@@ -77,6 +82,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left (operator 2)."""
+    make_importable(spark)
     return encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -15,6 +15,7 @@ from ledgerstrata.llm.language import fit_language, predict_language
 from ledgerstrata.llm.licenses import scan_licenses
 from ledgerstrata.llm.near_dup import near_duplicates
 from ledgerstrata.llm.quality import quality_verdicts
+from ledgerstrata.llm.shipping import make_importable
 from ledgerstrata.llm.token_counts import token_counts
 from ledgerstrata.llm.toxicity import fit_toxicity, held_out, score_documents, with_labels
 from ledgerstrata.llm.urls import judge_urls
@@ -30,6 +31,7 @@ URL_RULES = [
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    make_importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

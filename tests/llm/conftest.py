@@ -3,9 +3,16 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerstrata.llm.shipping import make_importable
+
 LONG = "word " * 30_000
 
 
+@pytest.fixture(scope="session", autouse=True)
+def importable(spark):
+    make_importable(spark)
+
+
 @pytest.fixture(scope="session")
 def odd_docs(spark):
     """NULLs in each column, empty, blank and very long texts, repeated rows, clashing extra columns."""

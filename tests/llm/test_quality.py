@@ -13,7 +13,7 @@ BASE = r"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS text,
     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
-    list_filter(string_split(coalesce(text, ''), chr(10)), s -> regexp_matches(s, '[^\x20\x09-\x0D]')) AS lines
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda s: regexp_matches(s, '[^\x20\x09-\x0D]')) AS lines
   FROM documents
 ), runs AS (
   SELECT doc_id, i, words[i:i + 2] AS run
@@ -23,7 +23,7 @@ WITH w AS (
 ), covered AS (
   SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range(0, 3) t(k) GROUP BY doc_id
 )
-SELECT w.doc_id, len(words), coalesce(list_sum(list_transform(words, x -> length(x))), 0)::BIGINT,
+SELECT w.doc_id, len(words), coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT,
   length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')), len(lines) - len(list_distinct(lines)),
   coalesce(covered.n, 0)
 FROM w LEFT JOIN covered USING (doc_id)

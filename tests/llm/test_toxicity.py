@@ -1,0 +1,96 @@
+"""Kneser-Ney models, and scores on held-out rows."""
+
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerstrata.llm.queries import QUERIES
+from ledgerstrata.llm.toxicity import (
+    KneserNey,
+    LogRatio,
+    fit_logistic,
+    fit_toxicity,
+    held_out,
+    score_documents,
+)
+
+
+def test_probabilities_of_next_letters_add_up():
+    grams = Counter({"\x02a": 3, "\x02ab": 2, "\x02abc": 2, "abcd": 1, "bcd\x03": 1, "\x02ac": 1, "\x02ac\x03": 1})
+    ratio = LogRatio(grams, Counter({"\x02b": 5, "\x02bd": 4, "\x02bd\x03": 4}))
+    for model in ratio._classes:
+        for context in ("", "\x02", "\x02a", "\x02ab", "zz"):
+            letters = {g[-1] for g in grams} | {"b", "d", "\x03"}
+            total = sum(math.exp(ratio._log(model, context + x)) for x in letters | {"?"})
+            assert math.isclose(total, 1.0, rel_tol=1e-9) or context == "zz"
+
+
+def test_rare_words_say_little_and_class_words_much():
+    model = KneserNey.of(Counter({"ab": 4, "bc": 1}))
+    assert model.share["ab"] > model.share["bc"]
+    def grams(words):
+        out = Counter()
+        for w, n in words.items():
+            s = f"\x02{w}\x03"
+            for end in range(2, len(s) + 1):
+                out[s[max(0, end - 5) : end]] += n
+        return out
+    common = {"the": 500, "house": 300, "tree": 200}
+    ratio = LogRatio(grams(common | {"vile": 80}), grams(common | {"kind": 80}))
+    assert ratio("vile") > 2 and ratio("kind") < -2 and abs(ratio("house")) < 1
+
+
+def test_logistic_fit_equals_its_optimum():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 2))
+    y = (x[:, 0] + rng.normal(size=400) > 0).astype(float)
+    b = fit_logistic(x, y, np.ones(400))
+    p = 1 / (1 + np.exp(-(b[0] + x @ b[1:])))
+    assert abs((y - p).sum()) < 1e-3 and np.allclose(x.T @ (y - p), b[1:], atol=1e-3)
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, vocabulary):
+    rng = random.Random(41)
+    bad = ["zuxot", "zuxarn", "kwemol"]
+    rows = []
+    for i in range(900):
+        words = [rng.choice(vocabulary) for _ in range(rng.randint(5, 200))]
+        toxic = i % 8 == 3
+        for _ in range(max(1, len(words) // 30) if toxic else 0):
+            words[rng.randrange(len(words))] = rng.choice(bad) + rng.choice(["", "e", "ig"])
+        rows.append((i, " ".join(words), int(toxic)))
+    return spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+
+
+def test_held_out_rows(corpus):
+    model = fit_toxicity(corpus.where(~held_out(3, 1)))
+    got = score_documents(corpus, model).join(corpus, "doc_id").where(held_out(3, 1)).collect()
+    hits = sum(r.score >= 0.7 and r.toxic for r in got)
+    wrong = sum(r.score >= 0.7 and not r.toxic for r in got)
+    assert hits >= 0.75 * sum(r.toxic for r in got) and wrong <= 2
+    again = fit_toxicity(corpus.repartition(7).where(~held_out(3, 1)))
+    assert again.coefficients == model.coefficients
+
+
+def test_odd_documents_and_labels(odd_docs, corpus):
+    model = fit_toxicity(corpus)
+    scored = score_documents(odd_docs, model).collect()
+    assert len(scored) == odd_docs.count() and all(0 <= r.score <= 1 for r in scored)
+    assert score_documents(odd_docs.limit(0), model).count() == 0
+    for labels, want in ((corpus.limit(0), 0.0), (corpus.where("toxic = 1"), 1.0), (corpus.where("toxic = 0"), 0.0)):
+        constant = fit_toxicity(labels)
+        assert {r.score for r in score_documents(odd_docs, constant).collect()} == {want}
+    unlabelled = corpus.withColumn("toxic", F.lit(None).cast("int"))
+    assert fit_toxicity(unlabelled).constant == 0.0
+
+
+def test_query_columns(spark, sf_dir):
+    got = QUERIES["op3_toxicity"](spark, sf_dir)
+    assert got.columns[:4] == ["doc_id", "held_out", "score", "predicted"]
+    assert got.where((F.col("score") >= 0.7) != (F.col("predicted") == 1)).count() == 0
+    assert got.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()

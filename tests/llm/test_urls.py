@@ -1,0 +1,87 @@
+"""URL parts and rules against plain Python, and the regression against its formula."""
+
+import math
+import re
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from ledgerstrata.llm.queries import URL_RULES
+from ledgerstrata.llm.urls import BUCKETS, SIZES, UrlModel, fit_urls, judge_urls, labelled_urls
+
+URLS = [
+    "https://WWW.Example.com/en/1?x=1#y", "http://example.com/en", "http://example.com/en/", "x://net/fr/",
+    "x://a.net/es/2", "x://notnet/es/2", "ftp://sub.www.example.com/en/a", "https://example.com", None, "",
+    "no scheme", "a://b://c/d", "http://h?q=/en/", "http://h#/en/", "http://É.com/ß", "http:///en/",
+    "http://example.com/de/\nnext", "http://u:p@net:80/es/", "://net/es/", "http://com/",
+]
+
+
+def parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.split(r"[/?#]", rest)[0]
+    path = re.split(r"[?#]", rest[len(host) :])[0]
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host), path
+
+
+def best_rule(host, path):
+    fits = []
+    for action, rule in URL_RULES:
+        own, slash, rest = rule.partition("/")
+        if (host == own or host.endswith("." + own)) and path.startswith(slash + rest):
+            fits.append((len(rule), rule, action))
+    return max(fits)[1:] if fits else (None, None)
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return fit_urls(labelled_urls(spark))
+
+
+def score(model, host, path):
+    text = f"^{host}{path}$"
+    buckets = [
+        (xxhash.xxh64_intdigest(text[i : i + n].encode(), 42)) for n in SIZES
+        for i in range(max(1, len(text) - n + 1))
+    ]
+    signed = [b - (1 << 64) if b >> 63 else b for b in buckets]
+    return 1 / (1 + math.exp(-(model.constant + sum(model.weights[b % BUCKETS] for b in signed) / math.sqrt(len(buckets)))))
+
+
+def test_every_url_is_judged_as_in_plain_python(spark, model):
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(URLS)] * 2 + [(None, None)], "page_id long, url string")
+    pages = pages.withColumn("host", F.lit("clash")).withColumn("score", F.lit(1))
+    got = judge_urls(pages, URL_RULES, model).collect()
+    assert len(got) == 2 * len(URLS) + 1
+    for r in got:
+        host, path = parts(URLS[r.page_id] if r.page_id is not None else None)
+        rule, action = best_rule(host, path)
+        want = score(model, host, path)
+        assert (r.host, r.path, r.rule) == (host, path, rule)
+        assert math.isclose(r.score, want, rel_tol=1e-9)
+        assert r.verdict == (action or ("block" if want >= 0.5 else "allow"))
+    assert judge_urls(pages.limit(0), URL_RULES, model).count() == 0
+
+
+def test_names_decide(spark, model):
+    urls = [(1, "https://m.casino-jackpot.example.net/en/12"), (2, "https://m.library.example.net/en/12")]
+    got = judge_urls(spark.createDataFrame(urls, "page_id long, url string"), [], model)
+    assert [r.verdict for r in got.orderBy("page_id").collect()] == ["block", "allow"]
+
+
+def test_labelled_rows_are_learned(spark, model):
+    labelled = labelled_urls(spark)
+    got = judge_urls(labelled, [], model, id_column="label").collect()
+    assert sum((r.verdict == "block") == (r.label == 1) for r in got) > 0.95 * len(got)
+    one_sided = fit_urls(labelled.where("label = 1"))
+    assert judge_urls(labelled, [], one_sided, id_column="label").where("verdict = 'allow'").count() == 0
+    assert fit_urls(labelled.limit(0)).constant < 0
+
+
+def test_main_path_is_native(spark, sf_dir, model):
+    df = judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES, model)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|Exchange", plan) and "struct<page_id:bigint,url:string>" in plan
