@@ -16,8 +16,9 @@ from ledgerstrata.sources.scratch import scratch_path
 
 SLOTS = 200
 BANDS = 40
-# Hashes that are signed at a time, and the members and hashes of a verification block.
-_ELEMENTS = 200_000
+# Rows and hashes that are signed at a time, and the members and hashes of a verification block.
+_ROWS = 256
+_ELEMENTS = 100_000
 _BLOCK_MEMBERS = 256
 _BLOCK_HASHES = 2_000_000
 
@@ -43,10 +44,17 @@ def _signed(sets: list[np.ndarray], slots: int) -> np.ndarray:
     return signatures(np.concatenate(sets), offsets, slots)
 
 
+def _parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time: their texts, words and hashes are all in memory together."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, _ROWS):
+            yield batch.slice(at, _ROWS)
+
+
 def _sketcher(shingle: int, slots: int, bands: int):
     def sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHasher()
-        for batch in batches:
+        words = WordHasher(200_000)
+        for batch in _parts(batches):
             sets = _shingled(batch.column(1).to_pylist(), words, shingle)
             for a, b in _in_slices(sets):
                 part = sets[a:b]
@@ -70,8 +78,8 @@ def _sketcher(shingle: int, slots: int, bands: int):
 
 def _set_builder(shingle: int):
     def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHasher()
-        for batch in batches:
+        words = WordHasher(200_000)
+        for batch in _parts(batches):
             sets = _shingled(batch.column(1).to_pylist(), words, shingle)
             for a, b in _in_slices(sets):
                 yield pa.RecordBatch.from_arrays(
