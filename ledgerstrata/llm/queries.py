@@ -17,7 +17,7 @@ from ledgerstrata.llm.near_dup import near_duplicates
 from ledgerstrata.llm.quality import quality_verdicts
 from ledgerstrata.llm.shipping import make_importable
 from ledgerstrata.llm.token_counts import token_counts
-from ledgerstrata.llm.toxicity import fit_toxicity, held_out, score_documents, with_labels
+from ledgerstrata.llm.toxicity import fit_toxicity, held_out, score_documents
 from ledgerstrata.llm.urls import judge_urls
 
 # The rules of the URL query.
@@ -47,8 +47,8 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    learned = with_labels(docs, _table(spark, sf_dir, "labels")).where(~held_out(3, 1))
-    scored = score_documents(docs, fit_toxicity(learned))
+    labels = _table(spark, sf_dir, "labels").where(~held_out(3, 1))
+    scored = score_documents(docs, fit_toxicity(docs, labels))
     return scored.select(
         "doc_id",
         held_out(3, 1).alias("held_out"),

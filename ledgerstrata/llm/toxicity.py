@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerstrata.sources.scratch import cut_lineage
+
 ORDER = 5
 # Orders up to this one use counts of both classes together.
 SHARED = 2
@@ -181,33 +183,39 @@ def _words_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit_toxicity(
-    labelled: DataFrame,
+    docs: DataFrame,
+    labels: DataFrame,
     sample_rows: int = SAMPLE_ROWS,
     id_column: str = "doc_id",
     text_column: str = "text",
     label_column: str = "toxic",
 ) -> ToxicityModel:
-    """Learn from rows of ``labelled`` (id, text, label 0 or 1); rows with a NULL label are left out.
-
-    A bounded sample is enough to learn from: the ``sample_rows`` rows of each class whose ids have
-    the least hashes. A third of them, again by hash, fits the logistic curve and is kept out of the
-    models. With labels of one class only, or none, every score is the share of toxic labels (0
-    without labels). Counts are made by Spark; the driver gets n-gram counts of the sample.
+    """Learn from ``docs`` (id, text) whose id has a label 0 or 1 in ``labels`` (id, label).
+
+    A bounded sample is enough to learn from: the ``sample_rows`` documents of each class whose ids
+    have the least hashes. They are chosen from ids alone, so no text is shuffled. A third of them,
+    again by hash, fits the logistic curve and is kept out of the models. NULL labels and ids are left
+    out; of conflicting labels the larger counts. With labels of one class only, or none, every score
+    is the share of toxic labels (0 without labels). Counts are made by Spark; the driver gets n-gram
+    counts of the sample.
     """
-    rows = labelled.where(F.col(label_column).isin(0, 1)).select(
-        F.col(id_column).cast("string").alias("_id"),
-        F.col(text_column).alias("_text"),
-        F.col(label_column).cast("int").alias("_toxic"),
+    known = (
+        labels.select(F.col(id_column).cast("string").alias("_id"), F.col(label_column).alias("_toxic"))
+        .where(F.col("_id").isNotNull() & F.col("_toxic").isin(0, 1))
+        .groupBy("_id")
+        .agg(F.max("_toxic").cast("int").alias("_toxic"))
     )
-    totals = {r[0]: r[1] for r in rows.groupBy("_toxic").count().collect()}
+    rows = docs.select(F.col(id_column).cast("string").alias("_id"), F.col(text_column).alias("_text"))
+    present = known.join(rows.select("_id"), "_id", "left_semi")
+    totals = {r[0]: r[1] for r in present.groupBy("_toxic").count().collect()}
     if len(totals) < 2:
         return ToxicityModel({}, {}, [], float(1 in totals))
     by_hash = F.xxhash64("_id"), F.col("_id")
     ids = [
-        rows.where(F.col("_toxic") == k).select("_id", "_toxic").orderBy(*by_hash).limit(sample_rows)
-        for k in (0, 1)
+        present.where(F.col("_toxic") == k).orderBy(*by_hash).limit(sample_rows) for k in (0, 1)
     ]
-    sample = rows.join(F.broadcast(ids[0].union(ids[1])), ["_id", "_toxic"], "left_semi")
+    # At most two times sample_rows ids.
+    sample = rows.join(F.broadcast(cut_lineage(ids[0].union(ids[1]))), "_id")
     kept_back = F.pmod(F.xxhash64("_id", F.lit("kept back")), F.lit(3)) == 0
     words = sample.select("_toxic", kept_back.alias("_kept_back"), "_text").mapInArrow(
         _words_of, "_toxic int, _kept_back boolean, _word string"
@@ -286,17 +294,6 @@ def score_documents(
     return docs.select(F.col(id_column), F.col(text_column).alias("_text")).mapInArrow(score, schema)
 
 
-def with_labels(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> DataFrame:
-    """Documents that have a label: doc_id, text and the label; of conflicting ones the larger."""
-    known = (
-        labels.where(F.col("doc_id").isNotNull())
-        .groupBy("doc_id")
-        .agg(F.max(column).alias(column))
-        .where(F.col(column).isNotNull())
-    )
-    return docs.select("doc_id", "text").join(known, "doc_id")
-
-
 def held_out(modulus: int, remainder: int, id_column: str = "doc_id"):
     """Whether crc32 of the id as text leaves ``remainder``; never for a NULL id."""
     crc = F.crc32(F.col(id_column).cast("string").cast("binary"))

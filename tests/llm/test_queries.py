@@ -11,7 +11,7 @@ from ledgerstrata.llm.decontam import benchmark_overlaps
 from ledgerstrata.llm.near_dup import near_duplicates
 from ledgerstrata.llm.queries import QUERIES
 from ledgerstrata.llm.quality import quality_verdicts
-from ledgerstrata.llm.toxicity import fit_toxicity, score_documents, with_labels
+from ledgerstrata.llm.toxicity import fit_toxicity, score_documents
 
 
 @pytest.mark.parametrize("name", list(oracle.SQL))
@@ -50,7 +50,7 @@ def test_stages_keep_what_their_operators_keep(spark, sf_dir, stages):
     judged = {r.doc_id for r in quality_verdicts(stages["input"]).where("kept").collect()}
     assert ids["quality"] == judged
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = fit_toxicity(with_labels(stages["quality"], labels))
+    model = fit_toxicity(stages["quality"], labels)
     mild = {r.doc_id for r in score_documents(stages["quality"], model).where("score < 0.7").collect()}
     assert ids["toxicity"] == mild
     kept = {r.doc_id for r in near_duplicates(stages["toxicity"]).where("kept").collect()}

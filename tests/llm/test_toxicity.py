@@ -68,25 +68,25 @@ def corpus(spark, vocabulary):
 
 
 def test_held_out_rows(corpus):
-    model = fit_toxicity(corpus.where(~held_out(3, 1)))
+    model = fit_toxicity(corpus, corpus.where(~held_out(3, 1)))
     got = score_documents(corpus, model).join(corpus, "doc_id").where(held_out(3, 1)).collect()
     hits = sum(r.score >= 0.7 and r.toxic for r in got)
     wrong = sum(r.score >= 0.7 and not r.toxic for r in got)
     assert hits >= 0.75 * sum(r.toxic for r in got) and wrong <= 2
-    again = fit_toxicity(corpus.repartition(7).where(~held_out(3, 1)))
+    again = fit_toxicity(corpus.repartition(7), corpus.where(~held_out(3, 1)))
     assert again.coefficients == model.coefficients
 
 
 def test_odd_documents_and_labels(odd_docs, corpus):
-    model = fit_toxicity(corpus)
+    model = fit_toxicity(corpus, corpus)
     scored = score_documents(odd_docs, model).collect()
     assert len(scored) == odd_docs.count() and all(0 <= r.score <= 1 for r in scored)
     assert score_documents(odd_docs.limit(0), model).count() == 0
     for labels, want in ((corpus.limit(0), 0.0), (corpus.where("toxic = 1"), 1.0), (corpus.where("toxic = 0"), 0.0)):
-        constant = fit_toxicity(labels)
+        constant = fit_toxicity(corpus, labels)
         assert {r.score for r in score_documents(odd_docs, constant).collect()} == {want}
     unlabelled = corpus.withColumn("toxic", F.lit(None).cast("int"))
-    assert fit_toxicity(unlabelled).constant == 0.0
+    assert fit_toxicity(corpus, unlabelled).constant == 0.0
 
 
 def test_query_columns(spark, sf_dir):
