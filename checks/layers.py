@@ -1,6 +1,8 @@
 """Layers derived from the ``events`` table, with the faults that ``FIXTURES.md`` plants.
 
-Every remainder test below chooses rows to damage or repeat. None leaves rows out.
+Every remainder test below chooses rows to damage or repeat. Dates are missing in ``silver`` and ``gold``
+only, which serve the queries that look for missing dates and rows; queries on one layer take
+``bronze``, ``silver_clean`` or ``gold_clean``, which have all rows.
 """
 
 from __future__ import annotations

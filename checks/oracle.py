@@ -7,7 +7,7 @@ averages and ratios. Money is returned as DOUBLE.
 
 from __future__ import annotations
 
-_LAYERS = """
+_CLEANED = """
 WITH typed AS (
     SELECT event_id AS e, ts, value::DECIMAL(18,2) AS v,
            CASE event_type WHEN 'signup' THEN 'deposit' WHEN 'click' THEN 'withdrawal'
@@ -43,7 +43,9 @@ WITH typed AS (
            count(*) AS record_count, booked_date
     FROM silver_clean WHERE amount_valid
     GROUP BY ALL
-), silver AS (
+"""
+
+_FAULTY = """), silver AS (
     SELECT * REPLACE (
         (CASE WHEN substr(transaction_id, 2)::BIGINT % 251 = 43 THEN NULL
               WHEN substr(transaction_id, 2)::BIGINT % 241 = 41 THEN amount + 0.01
@@ -57,11 +59,26 @@ WITH typed AS (
     FROM gold_clean WHERE booked_date NOT IN (DATE '2024-01-10', DATE '2024-01-20')
     UNION ALL
     SELECT 'deposit', 100.00, 1, DATE '2024-02-01'
-), valid AS (
+"""
+
+# Queries on one layer take it as it was cleaned, with all its dates.
+_WHOLE = """), silver AS (
+    FROM silver_clean
+), gold AS (
+    FROM gold_clean
+"""
+
+_VALID = """), valid AS (
     FROM silver WHERE amount_valid
 )
 """
 
+_ON_WHOLE_LAYERS = """
+    silver_partitions gold_partitions silver_sample silver_validity_by_day silver_type_breakdown silver_flagged silver_running_balance
+    silver_percentiles silver_daily_totals silver_weekly silver_top3_per_day silver_liquidity_ratio
+    silver_percentiles_approx silver_day_over_day lifetime_balance daily_pivot gold_sample gold_by_day gold_by_type gold_cumulative gold_weekly
+""".split()
+
 
 def _half_up(numerator: str, denominator: str) -> str:
     """Whole-number quotient, halves away from zero; the denominator is positive or NULL."""
@@ -191,6 +208,13 @@ _BODIES: dict[str, str] = {
                quantile_disc(amount, 0.75)::DOUBLE AS p75,
                quantile_disc(amount, 0.95)::DOUBLE AS p95
         FROM valid GROUP BY ALL""",
+    "silver_percentiles_approx": """
+        SELECT transaction_type,
+               quantile_disc(amount, 0.25)::DOUBLE AS p25,
+               quantile_disc(amount, 0.50)::DOUBLE AS median,
+               quantile_disc(amount, 0.75)::DOUBLE AS p75,
+               quantile_disc(amount, 0.95)::DOUBLE AS p95
+        FROM valid GROUP BY ALL""",
     "recon_layer_counts": """
         SELECT booked_date, count(transaction_id) AS bronze_count,
                count(transaction_id) FILTER (held) AS silver_count,
@@ -260,11 +284,12 @@ _BODIES: dict[str, str] = {
                sum(amount)::DOUBLE AS weekly_net, count(*) AS txn_count
         FROM valid GROUP BY ALL""",
     "silver_top3_per_day": """
-        SELECT booked_date, transaction_id, transaction_type, amount::DOUBLE AS amount, rnk
-        FROM (SELECT *, rank() OVER (PARTITION BY booked_date
-                                     ORDER BY abs(amount) DESC NULLS LAST) AS rnk
-              FROM valid)
-        WHERE rnk < 4""",
+        SELECT booked_date, transaction_id, transaction_type, amount::DOUBLE AS amount,
+               1 + larger AS rnk
+        FROM (SELECT *, (SELECT count(*) FROM valid o
+                         WHERE o.booked_date = v.booked_date AND abs(o.amount) > abs(v.amount)) AS larger
+              FROM valid v)
+        WHERE larger < 3""",
     "silver_liquidity_ratio": f"""
         SELECT booked_date, money_in::DOUBLE AS deposits, money_out::DOUBLE AS withdrawals,
                ({_half_up('100 * ' + _cents('money_in'), f'nullif({_cents("money_out")}, 0)')}
@@ -314,6 +339,10 @@ _BODIES: dict[str, str] = {
         SELECT b.transaction_type AS trans_type, count(*) AS total_transactions
         FROM bronze b JOIN silver s USING (transaction_id)
         GROUP BY ALL""",
+    "matched_by_type_where": """
+        SELECT b.transaction_type AS trans_type, count(*) AS total_transactions
+        FROM bronze b JOIN silver s USING (transaction_id) WHERE b.amount > 0
+        GROUP BY ALL""",
     "bronze_ingest": "SELECT * REPLACE (amount::DOUBLE AS amount) FROM bronze",
     "silver_clean": "SELECT * REPLACE (amount::DOUBLE AS amount) FROM silver_clean",
     "silver_rejects": """
@@ -329,6 +358,10 @@ _BODIES: dict[str, str] = {
         GROUP BY ALL""",
     "gold_build": "SELECT * REPLACE (daily_total::DOUBLE AS daily_total) FROM gold_clean",
     "layer_round_trip": "SELECT * REPLACE (amount::DOUBLE AS amount) FROM silver_clean",
+    "silver_by_name": """SELECT * REPLACE (amount::DOUBLE AS amount),
+        'booked_date=' || booked_date::VARCHAR AS directory FROM silver_clean""",
+    "silver_incremental": "SELECT * REPLACE (amount::DOUBLE AS amount) FROM silver_clean",
+    "gold_incremental": "SELECT * REPLACE (daily_total::DOUBLE AS daily_total) FROM gold_clean",
     "compaction": "SELECT * REPLACE (amount::DOUBLE AS amount) FROM bronze",
     "quality_report": "SELECT *, failing = 0 AS passed FROM (\n"
     + "\nUNION ALL\n".join(
@@ -340,4 +373,7 @@ _BODIES: dict[str, str] = {
 
 
 def statements() -> dict[str, str]:
-    return {name: _LAYERS + body for name, body in _BODIES.items()}
+    return {
+        name: _CLEANED + (_WHOLE if name in _ON_WHOLE_LAYERS else _FAULTY) + _VALID + body
+        for name, body in _BODIES.items()
+    }

@@ -13,9 +13,11 @@ from ledgerstrata.operators import analytics, audits, reconcile
 from ledgerstrata.operators.percentiles import silver_percentiles
 from ledgerstrata.plans import jobs
 from ledgerstrata.plans.compaction import compact_layer
+from ledgerstrata.plans.jobs import LayerPaths
 from ledgerstrata.plans.quality import quality_report
 from ledgerstrata.sources import schemas
-from ledgerstrata.sources.layers import layer_files, read_layer, write_layer
+from ledgerstrata.sources.catalog import register_layers, table_name
+from ledgerstrata.sources.layers import read_layer, read_table, stored_files, write_layer
 from ledgerstrata.sources.scratch import scratch_path
 
 
@@ -25,13 +27,36 @@ def _stored(df: DataFrame, schema: T.StructType) -> DataFrame:
     return read_layer(df.sparkSession, path, schema)
 
 
-def _partition_dirs(df: DataFrame, schema: T.StructType) -> DataFrame:
+def _partition_dirs(df: DataFrame) -> DataFrame:
     """Store a layer and list its files, reduced to what does not vary from run to run."""
+    path = scratch_path(df.sparkSession, "layer")
+    write_layer(df, path)
     directory = F.regexp_extract("file_path", "/([^/]+)/[^/]+$", 1)
-    files = layer_files(_stored(df, schema))
+    files = stored_files(df.sparkSession, path)
     return files.select("booked_date", directory.alias("directory")).distinct()
 
 
+def _by_name(t: SampleLayers) -> DataFrame:
+    """Store Silver, register it as a table and read it by name, with the directory of each file."""
+    spark, path = t.spark, scratch_path(t.spark, "layer")
+    write_layer(t.silver_clean, path)
+    spark.sql(f"DROP TABLE IF EXISTS {table_name('silver', 'default')}")
+    register_layers(spark, {"silver": path}, "default")
+    table = read_table(spark, table_name("silver", "default"))
+    directory = F.regexp_extract("_metadata.file_path", "/([^/]+)/[^/]+$", 1)
+    return table.select("*", directory.alias("directory"))
+
+
+def _incremental(t: SampleLayers) -> LayerPaths:
+    """Build all layers by two dated runs, each over every other date."""
+    paths = LayerPaths(scratch_path(t.spark, "layers"))
+    days = sorted(str(r[0]) for r in t.bronze.select("booked_date").distinct().collect())
+    for dates in (days[::2], days[1::2]):
+        jobs.run_bronze(t.raw, paths, dates)
+        jobs.run_gold(t.spark, paths, jobs.run_silver(t.spark, paths, dates))
+    return paths
+
+
 def _quality_report(t: SampleLayers) -> DataFrame:
     """Silver and Gold serve several rules each, so they are stored once."""
     return quality_report(
@@ -49,21 +74,22 @@ def _compacted(bronze: DataFrame) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SampleLayers], DataFrame]] = {
-    "bronze_partitions": lambda t: _partition_dirs(t.bronze, schemas.BRONZE),
-    "silver_partitions": lambda t: _partition_dirs(t.silver, schemas.SILVER),
-    "gold_partitions": lambda t: _partition_dirs(t.gold, schemas.GOLD),
+    "bronze_partitions": lambda t: _partition_dirs(t.bronze),
+    "silver_partitions": lambda t: _partition_dirs(t.silver_clean),
+    "gold_partitions": lambda t: _partition_dirs(t.gold_clean),
     "bronze_sample": lambda t: audits.bronze_sample(t.bronze),
     "bronze_volume_by_day": lambda t: audits.bronze_volume_by_day(t.bronze),
     "bronze_type_distribution": lambda t: audits.bronze_type_distribution(t.bronze),
     "bronze_null_audit": lambda t: audits.bronze_null_audit(t.bronze),
     "bronze_duplicates": lambda t: audits.bronze_duplicates(t.bronze),
     "bronze_cash_flow": lambda t: audits.bronze_cash_flow(t.bronze),
-    "silver_sample": lambda t: audits.silver_sample(t.silver),
-    "silver_validity_by_day": lambda t: audits.silver_validity_by_day(t.silver),
-    "silver_type_breakdown": lambda t: audits.silver_type_breakdown(t.silver),
-    "silver_flagged": lambda t: audits.silver_flagged(t.silver),
-    "silver_running_balance": lambda t: analytics.silver_running_balance(t.silver),
-    "silver_percentiles": lambda t: silver_percentiles(t.silver),
+    "silver_sample": lambda t: audits.silver_sample(t.silver_clean),
+    "silver_validity_by_day": lambda t: audits.silver_validity_by_day(t.silver_clean),
+    "silver_type_breakdown": lambda t: audits.silver_type_breakdown(t.silver_clean),
+    "silver_flagged": lambda t: audits.silver_flagged(t.silver_clean),
+    "silver_running_balance": lambda t: analytics.silver_running_balance(t.silver_clean),
+    "silver_percentiles": lambda t: silver_percentiles(t.silver_clean),
+    "silver_percentiles_approx": lambda t: silver_percentiles(t.silver_clean, accuracy=1_000_000),
     "recon_layer_counts": lambda t: reconcile.recon_layer_counts(t.bronze, t.silver),
     "recon_missing_in_silver": lambda t: reconcile.recon_missing_in_silver(t.bronze, t.silver),
     "recon_amount_discrepancy": lambda t: reconcile.recon_amount_discrepancy(t.bronze, t.silver),
@@ -71,34 +97,40 @@ QUERIES: dict[str, Callable[[SampleLayers], DataFrame]] = {
     "recon_dates_bronze_not_silver": lambda t: reconcile.recon_dates_bronze_not_silver(
         t.bronze, t.silver
     ),
-    "gold_sample": lambda t: audits.gold_sample(t.gold),
-    "gold_by_day": lambda t: analytics.gold_by_day(t.gold),
-    "gold_by_type": lambda t: analytics.gold_by_type(t.gold),
+    "gold_sample": lambda t: audits.gold_sample(t.gold_clean),
+    "gold_by_day": lambda t: analytics.gold_by_day(t.gold_clean),
+    "gold_by_type": lambda t: analytics.gold_by_type(t.gold_clean),
     "recon_silver_gold": lambda t: reconcile.recon_silver_gold(t.silver, t.gold),
     "recon_dates_silver_not_gold": lambda t: reconcile.recon_dates_silver_not_gold(
         t.silver, t.gold
     ),
-    "gold_cumulative": lambda t: analytics.gold_cumulative(t.gold),
-    "gold_weekly": lambda t: analytics.gold_weekly(t.gold),
-    "silver_daily_totals": lambda t: analytics.silver_daily_totals(t.silver),
-    "silver_weekly": lambda t: analytics.silver_weekly(t.silver),
-    "silver_top3_per_day": lambda t: analytics.silver_top3_per_day(t.silver),
-    "silver_liquidity_ratio": lambda t: analytics.silver_liquidity_ratio(t.silver),
-    "silver_day_over_day": lambda t: analytics.silver_day_over_day(t.silver),
+    "gold_cumulative": lambda t: analytics.gold_cumulative(t.gold_clean),
+    "gold_weekly": lambda t: analytics.gold_weekly(t.gold_clean),
+    "silver_daily_totals": lambda t: analytics.silver_daily_totals(t.silver_clean),
+    "silver_weekly": lambda t: analytics.silver_weekly(t.silver_clean),
+    "silver_top3_per_day": lambda t: analytics.silver_top3_per_day(t.silver_clean),
+    "silver_liquidity_ratio": lambda t: analytics.silver_liquidity_ratio(t.silver_clean),
+    "silver_day_over_day": lambda t: analytics.silver_day_over_day(t.silver_clean),
     "medallion_journey": lambda t: reconcile.medallion_journey(t.bronze, t.silver),
-    "lifetime_balance": lambda t: analytics.lifetime_balance(t.silver),
-    "daily_pivot": lambda t: analytics.daily_pivot(t.silver),
+    "lifetime_balance": lambda t: analytics.lifetime_balance(t.silver_clean),
+    "daily_pivot": lambda t: analytics.daily_pivot(t.silver_clean),
     "silver_coverage": lambda t: reconcile.silver_coverage(t.bronze, t.silver),
     "silver_coverage_by_bronze_date": lambda t: reconcile.silver_coverage(
         t.bronze, t.silver, by="bronze"
     ),
     "freshness": lambda t: reconcile.freshness(t.bronze, t.silver, t.gold),
     "matched_by_type": lambda t: reconcile.matched_by_type(t.bronze, t.silver),
+    "matched_by_type_where": lambda t: reconcile.matched_by_type(
+        t.bronze, t.silver, where="amount > 0"
+    ),
     "bronze_ingest": lambda t: jobs.ingest_bronze(t.raw),
     "silver_clean": lambda t: t.silver_clean,
     "silver_rejects": lambda t: jobs.rejected_rows(t.bronze),
     "gold_build": lambda t: t.gold_clean,
     "layer_round_trip": lambda t: _stored(t.silver_clean, schemas.SILVER),
+    "silver_by_name": _by_name,
+    "silver_incremental": lambda t: read_layer(t.spark, _incremental(t).silver, schemas.SILVER),
+    "gold_incremental": lambda t: read_layer(t.spark, _incremental(t).gold, schemas.GOLD),
     "compaction": lambda t: _compacted(t.bronze),
     "quality_report": _quality_report,
 }

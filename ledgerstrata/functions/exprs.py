@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,13 +13,26 @@ def money(value: Column, digits: int = 2) -> Column:
     return F.round(value, digits)
 
 
-def mean(name: str) -> Column:
-    """Average as sum over non-NULL count.
+def ratio(numerator: Column, denominator: Column, digits: int = 2) -> Column:
+    """Quotient of decimals with up to two digits, rounded half up once; NULL if divided by zero.
 
-    ``avg`` of a decimal is itself rounded to six digits, and rounding that a second time to cents
-    can go the wrong way; one division keeps twelve or more.
+    A decimal quotient is itself cut to some digits, and rounding that a second time can go the wrong
+    way. Here whole hundredths are divided as whole numbers, so every digit counts.
     """
-    return F.sum(name) / F.nullif(F.count(name), F.lit(0))
+    whole = "decimal(32,0)"
+    top = (numerator * 100).cast(whole)
+    bottom = F.nullif((denominator * 100).cast(whole), F.lit(0))
+    doubled = F.abs(top) * (2 * 10**digits) + F.abs(bottom)
+    size = F.call_function("div", doubled, F.abs(bottom) * 2).cast("decimal(19,0)")
+    unit = F.lit(Decimal(1).scaleb(-digits))
+    return (F.signum(top).cast("int") * F.signum(bottom).cast("int") * size * unit).cast(
+        f"decimal(20,{digits})"
+    )
+
+
+def mean(name: str) -> Column:
+    """Average of the non-NULL values, rounded half up once to cents."""
+    return ratio(F.sum(name), F.count(name))
 
 
 def inflow(amount: str) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerstrata.columns import DEFAULT, Columns
-from ledgerstrata.functions.exprs import asc, desc, inflow, money, outflow, week_start
+from ledgerstrata.functions.exprs import asc, desc, inflow, money, outflow, ratio, week_start
 from ledgerstrata.sources.schemas import TRANSACTION_TYPES
 
 
@@ -81,7 +81,7 @@ def silver_top3_per_day(silver: DataFrame, c: Columns = DEFAULT, k: int = 3) ->
     above = F.size(F.filter("_largest", lambda x: F.col(c.amount).isNull() | (x > size)))
     same_date = F.col(c.date).eqNullSafe(F.col("_date"))
     return (
-        valid.join(F.broadcast(largest), same_date & enough)  # one row per calendar date
+        valid.join(largest, same_date & enough)
         .withColumn("rnk", (above + 1).cast("bigint"))
         .select(c.date, c.id, c.type, c.amount, "rnk")
         .orderBy(*asc(c.date, "rnk", c.id))
@@ -99,7 +99,7 @@ def silver_liquidity_ratio(silver: DataFrame, c: Columns = DEFAULT) -> DataFrame
         c.date,
         money(F.col("_in")).alias("deposits"),
         money(F.col("_out")).alias("withdrawals"),
-        money(F.col("_in") / F.nullif(F.col("_out"), F.lit(0))).alias("deposit_withdrawal_ratio"),
+        ratio(F.col("_in"), F.col("_out")).alias("deposit_withdrawal_ratio"),
     ).orderBy(*asc(c.date))
 
 

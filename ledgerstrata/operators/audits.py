@@ -29,7 +29,7 @@ def bronze_type_distribution(bronze: DataFrame, c: Columns = DEFAULT) -> DataFra
         .agg(
             F.count("*").alias("txn_count"),
             money(F.sum(c.amount)).alias("total_amount"),
-            money(mean(c.amount)).alias("avg_amount"),
+            mean(c.amount).alias("avg_amount"),
             money(F.min(c.amount)).alias("min_amount"),
             money(F.max(c.amount)).alias("max_amount"),
         )
@@ -95,7 +95,7 @@ def silver_type_breakdown(silver: DataFrame, c: Columns = DEFAULT) -> DataFrame:
         .agg(
             F.count("*").alias("txn_count"),
             money(F.sum(c.amount)).alias("total_amount"),
-            money(mean(c.amount)).alias("avg_amount"),
+            mean(c.amount).alias("avg_amount"),
         )
         .orderBy(desc("txn_count"), *asc(c.type))
     )

@@ -14,12 +14,10 @@ from pyspark.sql import functions as F
 
 from ledgerstrata.columns import DEFAULT, Columns
 from ledgerstrata.functions.exprs import asc
-from ledgerstrata.operators.skew import broadcast_if_small
 from ledgerstrata.sources.scratch import cut_lineage
 
 # Buckets per doubling of the absolute value: each is 0.3 % wide, about 27,000 in all.
 _BUCKETS_PER_DOUBLING = 256
-_MAX_BROADCAST_ROWS = 100_000
 
 SILVER_PERCENTILES = {"p25": "0.25", "median": "0.50", "p75": "0.75", "p95": "0.95"}
 
@@ -37,7 +35,8 @@ def discrete_percentiles(
     """Smallest value at or below which at least the given share of a group's rows lies.
 
     One row per group, one column per entry of ``percentiles`` (name to share). NULL values do not
-    count; a group of NULLs only has NULL percentiles.
+    count; a group of NULLs only has NULL percentiles. The first scan runs, and its counts are stored
+    in the checkpoint folder, while the DataFrame is built.
     """
     values = df.select(F.col(group), F.col(value), _bucket(F.col(value)).alias("_bucket"))
     counts = cut_lineage(values.groupBy(group, "_bucket").agg(F.count(value).alias("_rows")))
@@ -69,16 +68,14 @@ def discrete_percentiles(
             (F.col("_rank") - (F.col("_upto") - F.col("_rows"))).alias("_rank_in_bucket"),
         )
     )
-    buckets = targets.select("_group", "_in_bucket").distinct()
     same_bucket = F.col(group).eqNullSafe(F.col("_group")) & (
         F.col("_bucket") == F.col("_in_bucket")
     )
+    # Counted before the join: a popular value leaves each task as one row.
     value_counts = (
-        values.join(
-            broadcast_if_small(buckets, _MAX_BROADCAST_ROWS), same_bucket, "left_semi"
-        )
-        .groupBy(group, "_bucket", value)
+        values.groupBy(group, "_bucket", value)
         .agg(F.count("*").alias("_rows"))
+        .join(targets.select("_group", "_in_bucket").distinct(), same_bucket, "left_semi")
     )
     by_value = (
         Window.partitionBy(group, "_bucket")

@@ -1,41 +1,34 @@
 """Checks between layers.
 
-Joins by transaction id use ``skew_join``: Bronze may repeat an id, or lack it, in a large part of
-its rows, while Silver holds one row per id. A transaction id repeated on both sides counts once per
-pair of rows.
+A transaction id repeated on both sides counts once per pair of rows. Where only counts, sums or
+presence are asked for, both sides are first reduced to one row per id and what else is grouped by, so
+an id with very many rows leaves each task as one row and pairs are multiplied instead of built. Joins
+that return rows are left to adaptive execution, which splits the partition of a hot or missing id.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerstrata.columns import DEFAULT, Columns
-from ledgerstrata.functions.exprs import asc, desc, money
+from ledgerstrata.functions.exprs import asc, money, ratio
 from ledgerstrata.operators.analytics import daily_totals
-from ledgerstrata.operators.skew import skew_join
 from ledgerstrata.sources.scratch import cut_lineage
 
 
-def recon_layer_counts(bronze: DataFrame, silver: DataFrame, c: Columns = DEFAULT) -> DataFrame:
-    """Distinct ids per Bronze date, and how many of them Silver does not hold on any date.
+def _counted(df: DataFrame, name: str, *columns: str) -> DataFrame:
+    return df.groupBy(*columns).agg(F.count("*").alias(name))
 
-    Ids are made distinct where the join left them, without another shuffle. Only a hot id can
-    then occur more than once per date, so only hot ids are counted by id.
-    """
-    kept = silver.select(c.id).withColumn("_kept", F.lit(True))
-    ids = skew_join(bronze.select(c.date, c.id), kept, c.id, "left", keep_salt=True).distinct()
-    hot_id = F.when(F.col("_salt") > 0, F.col(c.id))
-    counts = ids.groupBy(c.date, hot_id.alias("_hot"), "_kept").agg(F.count(c.id).alias("_ids"))
-    distinct = F.when(F.col("_hot").isNull(), F.col("_ids")).otherwise(1)
+
+def recon_layer_counts(bronze: DataFrame, silver: DataFrame, c: Columns = DEFAULT) -> DataFrame:
+    """Distinct ids per Bronze date, and how many of them Silver does not hold on any date."""
+    ids = bronze.select(c.date, c.id).distinct()
+    kept = silver.select(c.id).distinct().withColumn("_kept", F.lit(True))
     return (
-        counts.groupBy(c.date)
-        .agg(
-            F.sum(distinct).alias("bronze_count"),
-            F.sum(F.when(F.col("_kept"), distinct).otherwise(0)).alias("silver_count"),
-        )
+        ids.join(kept, c.id, "left")
+        .groupBy(c.date)
+        .agg(F.count(c.id).alias("bronze_count"), F.count("_kept").alias("silver_count"))
         .withColumn("dropped_in_silver", F.col("bronze_count") - F.col("silver_count"))
         .orderBy(*asc(c.date))
     )
@@ -44,8 +37,12 @@ def recon_layer_counts(bronze: DataFrame, silver: DataFrame, c: Columns = DEFAUL
 def recon_missing_in_silver(
     bronze: DataFrame, silver: DataFrame, c: Columns = DEFAULT
 ) -> DataFrame:
-    """Bronze rows, all columns, whose id Silver does not hold. Rows without id are among them."""
-    return skew_join(bronze, silver.select(c.id), c.id, "left_anti")
+    """Bronze rows, all columns, whose id Silver does not hold. Rows without id are among them.
+
+    Silver ids are not made distinct first: adaptive execution splits the rows of a hot or missing id
+    only where both sides come straight from their shuffles.
+    """
+    return bronze.join(silver.select(c.id), c.id, "left_anti").select(*bronze.columns)
 
 
 def recon_amount_discrepancy(
@@ -55,20 +52,20 @@ def recon_amount_discrepancy(
     before = bronze.select(c.id, c.date, F.col(c.amount).alias("bronze_amount"))
     after = silver.select(c.id, F.col(c.amount).alias("silver_amount"))
     return (
-        skew_join(before, after, c.id, "inner")
+        before.join(after, c.id)
         .where(~F.col("bronze_amount").eqNullSafe(F.col("silver_amount")))
         .withColumn("delta", F.col("bronze_amount") - F.col("silver_amount"))
     )
 
 
 def recon_type_mismatch(bronze: DataFrame, silver: DataFrame, c: Columns = DEFAULT) -> DataFrame:
-    before = bronze.select(c.id, F.col(c.type).alias("bronze_type"))
-    after = silver.select(c.id, F.col(c.type).alias("silver_type"))
+    before = _counted(bronze, "_n", c.id, c.type).withColumnRenamed(c.type, "bronze_type")
+    after = _counted(silver, "_m", c.id, c.type).withColumnRenamed(c.type, "silver_type")
     return (
-        skew_join(before, after, c.id)
+        before.join(after, c.id)
         .where(F.col("bronze_type") != F.col("silver_type"))
         .groupBy("bronze_type", "silver_type")
-        .agg(F.count("*").alias("mismatch_count"))
+        .agg(F.sum(F.col("_n") * F.col("_m")).alias("mismatch_count"))
     )
 
 
@@ -127,26 +124,18 @@ def silver_coverage(
     unmatched rows share one group without date. ``by="bronze"`` groups by the Bronze date, which
     shows where rows are missing.
     """
-    before = bronze.select(c.id, c.date, F.col(c.date).alias("_bronze_date"))
-    after = silver.select(
-        c.id, c.date, F.col(c.date).alias("_silver_date"), F.col(c.id).alias("_silver_id")
-    )
+    before = _counted(bronze, "_n", c.id, c.date).withColumn("_bronze_date", F.col(c.date))
+    after = _counted(silver, "_m", c.id, c.date).withColumn("_silver_date", F.col(c.date))
+    joined = before.join(after, [c.id, c.date], "left")
+    pairs = F.col("_n") * F.coalesce("_m", F.lit(1))
+    silver_rows, bronze_rows = F.col("silver_row_count"), F.col("bronze_row_count")
     return (
-        skew_join(before, after, c.id, "left", also=[c.date])
-        .groupBy(F.col(f"_{by}_date").alias(c.date))
+        joined.groupBy(F.col(f"_{by}_date").alias(c.date))
         .agg(
-            F.count("_silver_id").alias("silver_row_count"),
-            F.count(c.id).alias("bronze_row_count"),
-        )
-        .withColumn(
-            "silver_coverage_pct",
-            F.round(
-                F.lit(Decimal("100.0"))
-                * F.col("silver_row_count")
-                / F.nullif(F.col("bronze_row_count"), F.lit(0)),
-                1,
-            ),
+            F.sum(F.when(F.col("_m").isNotNull(), pairs).otherwise(0)).alias("silver_row_count"),
+            F.sum(F.when(F.col(c.id).isNotNull(), pairs).otherwise(0)).alias("bronze_row_count"),
         )
+        .withColumn("silver_coverage_pct", ratio(silver_rows * 100, bronze_rows, 1))
         .orderBy(*asc(c.date))
     )
 
@@ -160,9 +149,10 @@ def matched_by_type(
     """
     source = bronze if where is None else bronze.where(where)
     return (
-        skew_join(source.select(c.id, c.type), silver.select(c.id), c.id)
+        _counted(source, "_n", c.id, c.type)
+        .join(_counted(silver, "_m", c.id), c.id)
         .groupBy(F.col(c.type).alias("trans_type"))
-        .agg(F.count("*").alias("total_transactions"))
+        .agg(F.sum(F.col("_n") * F.col("_m")).alias("total_transactions"))
     )
 
 
@@ -173,7 +163,8 @@ def medallion_journey(
 
     Every row of the outer join comes from one Bronze row and sorts by Bronze columns first, so the
     first n Bronze rows are enough to find the result. They are found once and stored; then only
-    their groups are totalled, reading only their dates.
+    their groups are totalled, reading only their dates. Finding them starts a job while the DataFrame
+    is built, and stores them in the checkpoint folder.
     """
     keys = asc(c.date, c.type, c.id, "bronze_amount")
     first = cut_lineage(
@@ -181,16 +172,14 @@ def medallion_journey(
         .orderBy(*keys)
         .limit(n)
     )
-    wanted_ids = F.broadcast(first.select(c.id).distinct())  # at most n rows
+    wanted_ids = first.select(c.id).distinct()
     found = silver.join(wanted_ids, c.id, "left_semi").select(
         c.id, F.col(c.valid).alias("silver_valid"), F.col(c.amount).alias("silver_amount")
     )
     order = keys + asc("silver_amount", "silver_valid")
     rows = first.join(found, c.id, "left").orderBy(*order).limit(n)
 
-    groups = F.broadcast(  # at most n rows
-        first.select(F.col(c.date).alias("_date"), F.col(c.type).alias("_type")).distinct()
-    )
+    groups = first.select(F.col(c.date).alias("_date"), F.col(c.type).alias("_type")).distinct()
     same_group = F.col(c.date).eqNullSafe(F.col("_date")) & F.col(c.type).eqNullSafe(F.col("_type"))
     dates = [row[0] for row in first.select(c.date).distinct().collect()]  # at most n
     in_dates = F.col(c.date).isin([d for d in dates if d is not None])
@@ -201,11 +190,12 @@ def medallion_journey(
         .join(groups, same_group)
         .select(c.id, "_date", "_type")
     )
-    amounts = silver.select(c.id, F.col(c.amount).alias("_amount"))
+    amounts = silver.groupBy(c.id).agg(F.sum(c.amount).alias("_amount"))
     totals = (
-        skew_join(in_groups, amounts, c.id)
+        _counted(in_groups, "_n", "_date", "_type", c.id)
+        .join(amounts, c.id)
         .groupBy("_date", "_type")
-        .agg(money(F.sum("_amount")).alias("daily_type_total"))
+        .agg(money(F.sum(F.col("_n") * F.col("_amount"))).alias("daily_type_total"))
     )
     return (
         rows.join(totals, same_group, "left")

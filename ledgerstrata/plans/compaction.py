@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,17 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerstrata.columns import DEFAULT, Columns
-from ledgerstrata.sources.layers import only_dates, read_layer, write_as_partitioned
+from ledgerstrata.sources.layers import file_sizes, only_dates, read_layer, write_layer
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
-
-
-def file_sizes(spark: SparkSession, path: str, c: Columns = DEFAULT) -> DataFrame:
-    """One row per data file from a directory listing; file contents are not read."""
-    listing = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    )
-    return listing.select("path", "length", F.col(c.date).cast("date").alias(c.date))
+# Bytes of a row in a shuffle against those in a Parquet file, as measured on transactions.
+_SHUFFLE_TO_FILE = 1
 
 
 def scattered_dates(
@@ -55,23 +50,29 @@ def compact_layer(
 ) -> bool:
     """Rewrite in place the dates whose files are too many; True if any were.
 
-    The rows of a date are dealt to as many files as its size needs by the number of the task that
-    reads them, so the next run finds nothing to do, and a date with very many rows, alike or not,
-    is written by many tasks. Only directories of rewritten dates are replaced, and not before every
-    new file is complete, so a lost executor leaves the layer as it was. One run shuffles all it
-    rewrites: give ``dates`` to take a very large layer in parts.
+    The rebalance hint deals the rows of each date to files near ``target_bytes``, however they were
+    spread before, and a second run finds nothing to do. Only directories of rewritten dates are
+    replaced, and not before every new file is complete, so a lost executor leaves the layer as it
+    was; if the driver is lost while it swaps directories, run it again for the same ``dates`` from
+    Bronze. One run shuffles all it rewrites: give ``dates`` to take a very large layer in parts.
     """
     todo = scattered_dates(spark, path, target_bytes, dates, c)
-    files = todo.agg(F.sum("wanted")).first()[0]
-    if files is None:
+    found = [r[0] for r in todo.select(c.date).collect()]  # one row per calendar date
+    if not found:
         return False
-    layer = read_layer(spark, path, schema, dates, c)
-    wanted = F.broadcast(todo.select(c.date, "wanted"))  # one row per calendar date
-    dealt = (
-        layer.join(wanted, c.date)
-        .withColumn("_file", F.spark_partition_id() % F.col("wanted"))
-        .repartition(files, c.date, "_file")
-        .drop("wanted", "_file")
-    )
-    write_as_partitioned(dealt, path, c)
+    # Rows are larger in a shuffle than in a Parquet file: ask for as much more at a time.
+    layer = read_layer(spark, path, schema, found, c)
+    with _advisory_size(spark, target_bytes * _SHUFFLE_TO_FILE):
+        write_layer(layer, path, c)
     return True
+
+
+@contextmanager
+def _advisory_size(spark: SparkSession, size: int) -> Iterator[None]:
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)

@@ -11,14 +11,20 @@ from datetime import date
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerstrata.columns import DEFAULT, Columns
 from ledgerstrata.operators.analytics import daily_totals
-from ledgerstrata.operators.skew import heavy_keys, shuffle_partitions
 from ledgerstrata.sources import schemas
-from ledgerstrata.sources.layers import only_dates, read_layer, write_layer
+from ledgerstrata.sources.layers import (
+    layer_dates,
+    layer_exists,
+    only_dates,
+    read_layer,
+    write_layer,
+)
+from ledgerstrata.sources.scratch import cut_lineage
 
 AMOUNT_LIMIT = 1_000_000
 
@@ -43,6 +49,10 @@ class LayerPaths:
     def rejects(self) -> str:
         return f"{self.root}/rejected_transactions"
 
+    @property
+    def quarantine(self) -> str:
+        return f"{self.root}/quarantine_transactions"
+
     def as_dict(self) -> dict[str, str]:
         return {"bronze": self.bronze, "silver": self.silver, "gold": self.gold}
 
@@ -115,31 +125,50 @@ def clean_silver(bronze: DataFrame, c: Columns = DEFAULT, limit: int = AMOUNT_LI
 def rejected_rows(bronze: DataFrame, c: Columns = DEFAULT) -> DataFrame:
     """What ``clean_silver`` drops: each distinct row once, with the reason and its number.
 
-    For most ids the rows after the latest are the dropped ones. The rows of a hot id are never
-    gathered: they are counted in the tasks that read them, and one is taken away for the row that
-    is kept.
+    Identical rows are counted where they are read, and one is taken away from the row that each id
+    keeps. Sums are by whole rows and minima by id, so no group of rows is ever gathered.
     """
     columns = [c.id, c.booked_at, c.amount, c.type, c.date]
-    missing = _incomplete(bronze, c)
-    complete = _complete(bronze, c).select(*columns)
-    heavy = F.broadcast(heavy_keys(complete, c.id, shuffle_partitions(bronze)))
-    later = _placed(complete.join(heavy, c.id, "left_anti"), c).where("_place > 1")
-    hot = complete.join(heavy, c.id, "left_semi")
-    hot_kept = _placed(hot, c).where("_place = 1")
-
-    def counted(df: DataFrame, reason: Column, n: int) -> DataFrame:
-        return df.select(*columns, reason.alias("reason"), F.lit(n).alias("_n"))
-
-    duplicate = F.lit("duplicate")
-    return (
-        counted(missing, F.col("reason"), 1)
-        .union(counted(later, duplicate, 1))
-        .union(counted(hot, duplicate, 1))
-        .union(counted(hot_kept, duplicate, -1))
-        .groupBy(*columns, "reason")
-        .agg(F.sum("_n").alias("copies"))
+    epoch = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    # The least of these is the row that an id keeps, and each can be turned back into its row.
+    place = F.struct(
+        (-(F.col(c.booked_at) - epoch)).alias("at"),
+        F.col(c.amount).isNull().alias("no_amount"),
+        (-F.col(c.amount)).alias("amount"),
+        F.col(c.type).alias("type"),
+        F.col(c.date).isNull().alias("no_date"),
+        (-F.unix_date(F.col(c.date))).alias("date"),
+    )
+    counted = (
+        _complete(bronze, c)
+        .groupBy(*columns)
+        .agg(F.count("*").alias("copies"))
+        .withColumn("_place", place)
+    )
+    # The sign of the sum is 1; it makes both uses of the counts alike, so they are shuffled once.
+    kept = (
+        counted.groupBy(c.id)
+        .agg(F.min("_place").alias("_kept"), (-F.signum(F.sum("copies"))).alias("copies"))
+        .select(
+            c.id,
+            (epoch - F.col("_kept.at")).alias(c.booked_at),
+            (-F.col("_kept.amount")).alias(c.amount),
+            F.col("_kept.type").alias(c.type),
+            F.date_from_unix_date(-F.col("_kept.date")).alias(c.date),
+            F.col("copies").cast("long"),
+        )
+    )
+    duplicates = (
+        counted.select(*columns, "copies")
+        .unionByName(kept)
+        .groupBy(*columns)
+        .agg(F.sum("copies").alias("copies"))
         .where("copies > 0")
-        .select(c.id, c.booked_at, c.amount, c.type, "reason", "copies", c.date)
+        .withColumn("reason", F.lit("duplicate"))
+    )
+    missing = _incomplete(bronze, c).groupBy(*columns, "reason").agg(F.count("*").alias("copies"))
+    return duplicates.unionByName(missing).select(
+        c.id, c.booked_at, c.amount, c.type, "reason", "copies", c.date
     )
 
 
@@ -150,7 +179,27 @@ def build_gold(silver: DataFrame, c: Columns = DEFAULT) -> DataFrame:
 
 
 def run_bronze(raw: DataFrame, paths: LayerPaths, dates: Iterable[date | str] | None = None) -> None:
-    write_layer(only_dates(ingest_bronze(raw), dates), paths.bronze)
+    """Store raw rows as Bronze; dates that got no rows are emptied.
+
+    With ``dates``, rows of other dates are left to their own runs. Rows whose date cannot be told
+    belong to no dated run: they go to the quarantine, in the folder of this run, and a repeated run
+    replaces them. Without ``dates`` they are stored in Bronze without date.
+    """
+    bronze = ingest_bronze(raw)
+    if dates is None:
+        write_layer(bronze, paths.bronze, clear=True)
+        return
+    dates = [str(d) for d in dates]
+    write_layer(only_dates(bronze, dates), paths.bronze, dates=dates, clear=True)
+    run = f"{min(dates)}_{max(dates)}_{len(dates)}"
+    undated = bronze.where(F.col(DEFAULT.date).isNull()).withColumn("reason", F.lit("missing_date"))
+    (
+        undated.withColumn("run", F.lit(run))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run")
+        .parquet(paths.quarantine)
+    )
 
 
 def run_silver(
@@ -158,18 +207,67 @@ def run_silver(
     paths: LayerPaths,
     dates: Iterable[date | str] | None = None,
     limit: int = AMOUNT_LIMIT,
-) -> None:
-    """Clean Bronze into Silver and store the rejected rows.
+) -> list[str] | None:
+    """Clean Bronze into Silver and store the rejected rows; returns the dates that were replaced.
 
-    With ``dates``, only these partitions are read and replaced, and an id is made unique within
-    them; an id that reappears on another date is caught by a run over all dates.
+    A dated run gives what a run over all these dates together would: an id is unique across dates.
+    Dates that were stored before and share an id with ``dates``, in Bronze as it is or in Silver as
+    it was, are cleaned again, and an id that another stored date holds stays there. Pass the
+    returned dates on to ``run_gold``. Dates that got no rows are emptied. None means all dates.
     """
-    bronze = read_layer(spark, paths.bronze, schemas.BRONZE, dates)
-    write_layer(clean_silver(bronze, limit=limit), paths.silver)
-    write_layer(rejected_rows(bronze), paths.rejects)
+    c = DEFAULT
+    bronze = read_layer(spark, paths.bronze, schemas.BRONZE)
+    if dates is None:
+        write_layer(clean_silver(bronze, limit=limit), paths.silver, clear=True)
+        write_layer(rejected_rows(bronze), paths.rejects, clear=True)
+        return None
+    dates = {str(d) for d in dates}
+    stored = _stored_dates(spark, paths.silver) | _stored_dates(spark, paths.rejects)
+    todo = dates
+    if stored:
+        ids = only_dates(bronze, dates).select(c.id)
+        if _stored_dates(spark, paths.silver):
+            ids = ids.union(read_layer(spark, paths.silver, schemas.SILVER, dates).select(c.id))
+        # One scan of the ids of all dates; what comes back is a list of calendar dates.
+        shared = bronze.join(ids.distinct(), c.id, "left_semi").select(c.date).distinct().collect()
+        todo = dates | (stored & {str(r[0]) for r in shared})
+    dates_todo = sorted(todo)
+    taken = only_dates(bronze, dates_todo)
+    elsewhere = stored - todo
+    if elsewhere:
+        held = read_layer(spark, paths.silver, schemas.SILVER, sorted(elsewhere)).select(c.id)
+        again = cut_lineage(taken.join(held.distinct(), c.id, "left_semi").select(c.id).distinct())
+        later = taken.join(again, c.id, "left_semi").where(F.col(c.id).isNotNull())
+        free = taken.join(again, c.id, "left_anti")
+    else:
+        later, free = None, taken
+    silver = cut_lineage(clean_silver(free, limit=limit))
+    rejects = rejected_rows(free)
+    if later is not None:
+        # Ids that another date holds: all their complete rows here are duplicates.
+        columns = [c.id, c.booked_at, c.amount, c.type, c.date]
+        duplicate = _complete(later, c).groupBy(*columns).agg(F.count("*").alias("copies"))
+        lacking = _incomplete(later, c).groupBy(*columns, "reason").agg(F.count("*").alias("copies"))
+        rejects = rejects.unionByName(duplicate.withColumn("reason", F.lit("duplicate")))
+        rejects = rejects.unionByName(lacking)
+    rejects = cut_lineage(rejects)
+    write_layer(silver, paths.silver, dates=dates_todo, clear=True)
+    write_layer(rejects, paths.rejects, dates=dates_todo, clear=True)
+    return dates_todo
+
+
+def _stored_dates(spark: SparkSession, path: str) -> set[str]:
+    """Dates of a stored layer from its directories; none if it does not exist."""
+    if not layer_exists(spark, path):
+        return set()
+    found = layer_dates(spark, path).where(F.col(DEFAULT.date).isNotNull()).collect()
+    return {str(r[0]) for r in found}
 
 
 def run_gold(
     spark: SparkSession, paths: LayerPaths, dates: Iterable[date | str] | None = None
 ) -> None:
-    write_layer(build_gold(read_layer(spark, paths.silver, schemas.SILVER, dates)), paths.gold)
+    """Total Silver into Gold; dates that got no rows are emptied."""
+    dates = None if dates is None else [str(d) for d in dates]
+    silver = read_layer(spark, paths.silver, schemas.SILVER, dates)
+    write_layer(build_gold(silver), paths.gold, dates=dates, clear=True)

@@ -40,14 +40,61 @@ def only_dates(df: DataFrame, dates: Iterable[date | str] | None, c: Columns = D
     return df.where(F.col(c.date).isin([F.lit(str(d)).cast("date") for d in dates]))
 
 
-def write_layer(df: DataFrame, path: str, c: Columns = DEFAULT) -> None:
-    """Write one directory per date, replacing only the dates present in ``df``.
+def write_layer(
+    df: DataFrame,
+    path: str,
+    c: Columns = DEFAULT,
+    dates: Iterable[date | str] | None = None,
+    clear: bool = False,
+) -> None:
+    """Write one directory per date, replacing the dates present in ``df``.
+
+    With ``clear``, the other dates are emptied as well: those among ``dates``, or all without them.
+    That happens after the write has succeeded, so a failed write removes nothing.
 
     The rebalance hint gathers each date into files near
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes``: small dates share a task, and a date that
     holds a large part of the rows is split over many.
     """
+    spark = df.sparkSession
+    before = _date_files(spark, path, c, dates) if clear else {}
     write_as_partitioned(df.hint("rebalance", c.date), path, c)
+    after = _date_files(spark, path, c, dates) if clear else {}
+    for directory, files in before.items():
+        # Replaced dates hold new files; one that still holds its old files got no rows.
+        if files & after.get(directory, set()):
+            _delete(spark, directory)
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _date_files(
+    spark: SparkSession, path: str, c: Columns, dates: Iterable[date | str] | None
+) -> dict[str, set[str]]:
+    """Data files by date directory, from listings of the given dates, or of all of them."""
+    fs, root = _file_system(spark, path)
+    if not fs.exists(root):
+        return {}
+    if dates is None:
+        found = [s.getPath() for s in fs.listStatus(root) if s.isDirectory()]
+        found = [p for p in found if p.getName().startswith(f"{c.date}=")]
+    else:
+        path_of = spark._jvm.org.apache.hadoop.fs.Path
+        found = [path_of(root, f"{c.date}={d}") for d in dates]
+        found = [p for p in found if fs.exists(p)]
+    return {
+        str(p): {str(s.getPath()) for s in fs.listStatus(p) if s.getPath().getName()[0] not in "._"}
+        for p in found
+    }
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, where = _file_system(spark, path)
+    fs.delete(where, True)
 
 
 def write_as_partitioned(df: DataFrame, path: str, c: Columns = DEFAULT) -> None:
@@ -62,14 +109,44 @@ def write_as_partitioned(df: DataFrame, path: str, c: Columns = DEFAULT) -> None
     )
 
 
+def file_sizes(spark: SparkSession, path: str, c: Columns = DEFAULT) -> DataFrame:
+    """One row per data file from a directory listing; no file is opened."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return listing.select("path", "length", F.col(c.date).cast("date").alias(c.date))
+
+
+def stored_files(spark: SparkSession, path: str, c: Columns = DEFAULT) -> DataFrame:
+    """Every data file of a stored layer with its date, from a directory listing."""
+    return (
+        file_sizes(spark, path, c)
+        .select(F.col("path").alias("file_path"), F.col(c.date))
+        .orderBy(*asc(c.date, "file_path"))
+    )
+
+
 def layer_files(df: DataFrame, c: Columns = DEFAULT) -> DataFrame:
-    """Every data file with its date. ``df`` must come straight from a reader or a table.
+    """As ``stored_files``, for a DataFrame that comes straight from a reader or a table.
 
-    Reads no data column: partition values and file names are constants per file, and they are
-    reduced inside each task.
+    Reads no data column, but opens the files; where the path is known, list it instead.
     """
     return (
         df.select(F.col("_metadata.file_path").alias("file_path"), F.col(c.date))
         .distinct()
         .orderBy(*asc(c.date, "file_path"))
     )
+
+
+def layer_dates(spark: SparkSession, path: str, c: Columns = DEFAULT) -> DataFrame:
+    """Dates of a stored layer from a directory listing; rows without date give NULL.
+
+    Stands in for the layer where only its dates matter: freshness and date gaps.
+    """
+    return file_sizes(spark, path, c).select(c.date).distinct()
+
+
+def layer_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a stored layer has any data file."""
+    fs, root = _file_system(spark, path)
+    return fs.exists(root) and any(
+        s.isDirectory() and s.getPath().getName()[0] not in "._" for s in fs.listStatus(root)
+    )

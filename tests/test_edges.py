@@ -81,6 +81,16 @@ def test_pivot_totals_unlisted_types(make):
     assert rows(analytics.daily_pivot(silver)) == [(DAY, 5.0, None, None, None, None, 7.0)]
 
 
+def test_ratio_is_rounded_once(make):
+    day = "2024-01-01"
+    rows_ = [("a", f"{day} 01:00:00", "499999999.99", "fee", "true", day)]
+    rows_ += [("b", f"{day} 01:00:00", "-99999999999.99", "fee", "true", day), ("c", f"{day} 01:00:00", "-0.01", "fee", "true", day)]
+    got = analytics.silver_liquidity_ratio(make.silver(*rows_))
+    assert rows(got, "deposit_withdrawal_ratio") == [(0.0,)]
+    half = [("a", f"{day} 01:00:00", "0.01", "fee", "true", day), ("b", f"{day} 01:00:00", "-2.00", "fee", "true", day)]
+    assert rows(analytics.silver_liquidity_ratio(make.silver(*half)), "deposit_withdrawal_ratio") == [(0.01,)]
+
+
 def test_averages_round_half_up_once(make):
     bronze = make.bronze(
         *[bronze_row(str(i), a) for i, a in enumerate(["0.01", "0.00"])],

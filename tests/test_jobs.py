@@ -115,3 +115,87 @@ def test_quality_report_passes_on_clean_layers(make):
     report = quality_report(bronze, silver, jobs.build_gold(silver))
     assert report.count() == 19
     assert report.where("NOT passed").isEmpty()
+
+
+def layer(spark, path, schema):
+    return sorted(rows(read_layer(spark, path, schema)), key=repr)
+
+
+def raw_rows(spark, *given):
+    names = "transaction_id string, booked_at string, amount string, transaction_type string, booked_date string"
+    return spark.createDataFrame(given, names)
+
+
+OTHER = "2024-01-02"
+
+
+def test_corrected_dates_leave_nothing_behind(spark, tmp_path):
+    paths = jobs.LayerPaths(str(tmp_path))
+    good = ("a", f"{DAY} 08:00:00", "5.00", "fee", DAY)
+    bad = (None, f"{DAY} 08:00:00", "1.00", "fee", DAY)
+    other = ("b", f"{OTHER} 08:00:00", "7.00", "fee", OTHER)
+
+    def run(*given, dates):
+        jobs.run_bronze(raw_rows(spark, *given), paths, dates)
+        redone = jobs.run_silver(spark, paths, dates)
+        jobs.run_gold(spark, paths, redone)
+
+    run(good, bad, other, dates=[DAY, OTHER])
+    assert [r[1] for r in layer(spark, paths.gold, schemas.GOLD)] == [5.0, 7.0]
+    assert len(layer(spark, paths.rejects, schemas.REJECTS)) == 1
+    # The only good row becomes invalid and the bad one is gone: no total, no reject stays.
+    run(("a", f"{DAY} 08:00:00", "0.00", "fee", DAY), dates=[DAY])
+    assert [r[1] for r in layer(spark, paths.gold, schemas.GOLD)] == [7.0]
+    assert layer(spark, paths.rejects, schemas.REJECTS) == []
+    # Without dates, every date that is not in the data goes.
+    run(other, dates=None)
+    assert [r[0] for r in layer(spark, paths.bronze, schemas.BRONZE)] == ["b"]
+    assert [r[0] for r in layer(spark, paths.silver, schemas.SILVER)] == ["b"]
+
+
+def test_dated_ingest_keeps_undated_rows(spark, tmp_path):
+    paths = jobs.LayerPaths(str(tmp_path))
+    raw = raw_rows(
+        spark, ("a", f"{DAY} 08:00:00", "1.00", "fee", DAY), ("b", "yesterday", "2.00", "fee", None)
+    )
+    for _ in range(2):
+        jobs.run_bronze(raw, paths, [DAY])
+    assert len(layer(spark, paths.bronze, schemas.BRONZE)) == 1
+    kept = spark.read.parquet(paths.quarantine).select("transaction_id", "amount", "reason")
+    assert rows(kept) == [("b", 2.0, "missing_date")]
+
+
+def test_daily_runs_equal_one_run_over_all_dates(spark, tmp_path):
+    days = [f"2024-01-0{d}" for d in range(1, 6)]
+    given = []
+    for i in range(60):
+        for k in range(1 + i % 3):
+            day = days[(i * 7 + k * 3) % 5]
+            given.append((f"t{i % 40}", f"{day} 0{(i + k) % 9}:00:00", f"{i}.00", ["fee", "Payment"][k % 2], day))
+    given += [(None, f"{days[0]} 01:00:00", "1.00", "fee", days[0]), ("t1", None, "1.00", "fee", days[1])]
+    raw = raw_rows(spark, *given)
+    whole, daily = jobs.LayerPaths(f"{tmp_path}/whole"), jobs.LayerPaths(f"{tmp_path}/daily")
+    jobs.run_bronze(raw, whole)
+    jobs.run_silver(spark, whole)
+    jobs.run_gold(spark, whole)
+
+    def run(day, source):
+        jobs.run_bronze(source, daily, [day])
+        jobs.run_gold(spark, daily, jobs.run_silver(spark, daily, [day]))
+
+    def same():
+        return [
+            layer(spark, getattr(daily, name), schema) == layer(spark, getattr(whole, name), schema)
+            for name, schema in (("silver", schemas.SILVER), ("gold", schemas.GOLD), ("rejects", schemas.REJECTS))
+        ]
+
+    for day in (days[3], days[0], days[4], days[1], days[2], days[0]):
+        run(day, raw)
+    assert same() == [True] * 3
+    # A correction that takes a date's rows away gives their ids back to other dates.
+    fewer = raw.where(f"booked_date <> '{days[4]}' OR CAST(amount AS DOUBLE) > 30")
+    run(days[4], fewer)
+    jobs.run_bronze(fewer, whole)
+    jobs.run_silver(spark, whole)
+    jobs.run_gold(spark, whole)
+    assert same() == [True] * 3

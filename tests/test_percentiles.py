@@ -4,7 +4,6 @@ from collections import defaultdict
 
 import pytest
 
-from ledgerstrata.operators import percentiles
 from ledgerstrata.operators.percentiles import (
     SILVER_PERCENTILES,
     approx_percentiles,
@@ -55,9 +54,14 @@ def test_ends(table, pairs):
     assert got == brute_force(pairs, [0, 1])
 
 
-def test_without_broadcast(table, pairs, monkeypatch):
-    monkeypatch.setattr(percentiles, "_MAX_BROADCAST_ROWS", 0)
-    got = as_dict(discrete_percentiles(table, "kind", "v", SILVER_PERCENTILES))
+def test_without_broadcast(spark, table, pairs):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        got = as_dict(discrete_percentiles(table, "kind", "v", SILVER_PERCENTILES))
+    finally:
+        spark.conf.set(key, old)
     assert got == brute_force(pairs, [0.25, 0.50, 0.75, 0.95])
 
 

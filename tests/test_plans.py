@@ -7,7 +7,8 @@ import pytest
 from ledgerstrata.operators import analytics, audits, reconcile
 from ledgerstrata.plans import jobs
 from ledgerstrata.sources import schemas
-from ledgerstrata.sources.layers import layer_files, read_layer
+from ledgerstrata.plans.quality import quality_report
+from ledgerstrata.sources.layers import layer_dates, layer_files, read_layer, stored_files
 
 from .conftest import rows
 
@@ -89,3 +90,45 @@ def test_windows_without_partition_come_after_aggregation(stored):
     for operator in (analytics.silver_running_balance, analytics.silver_day_over_day):
         text = plan(operator(stored.silver))
         assert text.index("Window [") < text.index("HashAggregate")
+
+
+def test_listings_open_no_parquet_file(spark, stored):
+    paths = stored.paths
+    dates = [layer_dates(spark, p) for p in (paths.bronze, paths.silver, paths.gold)]
+    for df in (
+        stored_files(spark, paths.bronze),
+        reconcile.freshness(*dates),
+        reconcile.recon_dates_bronze_not_silver(*dates[:2]),
+        reconcile.recon_dates_silver_not_gold(*dates[1:]),
+    ):
+        text = plan(df)
+        assert "Scan binaryFile" in text.replace("FileScan binaryFile", "Scan binaryFile")
+        assert "parquet [" not in text and "ReadSchema: struct<content" not in text
+    assert rows(reconcile.freshness(*dates)) == rows(
+        reconcile.freshness(stored.bronze, stored.silver, stored.gold)
+    )
+    assert rows(reconcile.recon_dates_bronze_not_silver(*dates[:2])) == [("2024-01-20",)]
+    listed = rows(stored_files(spark, paths.bronze), "booked_date").__len__()
+    assert listed == layer_files(stored.bronze).count()
+
+
+def test_no_broadcast_is_forced(stored):
+    for df in (
+        analytics.silver_top3_per_day(stored.silver),
+        reconcile.medallion_journey(stored.bronze, stored.silver),
+        reconcile.recon_missing_in_silver(stored.bronze, stored.silver),
+        jobs.rejected_rows(stored.bronze),
+    ):
+        assert "ResolvedHint" not in df._jdf.queryExecution().analyzed().toString()
+
+
+def test_quality_report_reads_each_layer_few_times(stored):
+    text = plan(quality_report(stored.bronze, stored.silver, stored.gold))
+    scans = [len(re.findall(rf"FileScan parquet \[[^\]]*\][^\n]*{name}_transactions", text)) for name in ("bronze", "silver")]
+    assert scans[0] <= 3 and scans[1] <= 5
+
+
+def test_rejects_share_one_count_of_complete_rows(stored):
+    df = jobs.rejected_rows(stored.bronze)
+    df.collect()
+    assert "ReusedExchange" in plan(df)

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerstrata.operators import reconcile
-from ledgerstrata.operators.skew import broadcast_if_small, heavy_keys, skew_join
 from ledgerstrata.plans import jobs
+from ledgerstrata.plans.quality import quality_report
+from ledgerstrata.sources.scratch import cut_lineage
 
 from .conftest import rows
 
@@ -32,51 +33,79 @@ def hot(spark):
     )
 
 
-@pytest.fixture(scope="module")
-def right(spark):
-    keys = spark.range(0, 9000, 2).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("id"))
-    more = spark.createDataFrame([("hot",), ("hot",), (None,), ("k2",)], "id string")
-    return keys.union(more).select(
-        F.col("id").alias("transaction_id"), F.length("id").cast("int").alias("size")
-    )
+@pytest.fixture
+def small_parts(spark):
+    """Shuffle joins, and skew handling at the size of the test data."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
 
 
-def test_heavy_keys_finds_only_the_hot_one(hot):
-    assert rows(heavy_keys(hot, "transaction_id", 8)) == [("hot", True)]
-    assert rows(heavy_keys(hot.where("transaction_id <> 'hot'"), "transaction_id", 8)) == []
-    assert rows(heavy_keys(hot.limit(0), "transaction_id", 8)) == []
+def largest_task(df):
+    per_task = df.groupBy(F.spark_partition_id().alias("task")).count()
+    return per_task.agg(F.max("count")).first()[0]
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_equals_a_plain_join(how, hot, right):
-    plain = hot.join(right, "transaction_id", how)
-    ours = skew_join(hot, right, "transaction_id", how)
-    assert sorted(ours.columns) == sorted(plain.columns)
-    assert Counter(rows(ours, *sorted(plain.columns))) == Counter(rows(plain, *sorted(plain.columns)))
+def test_hot_and_missing_ids_are_spread(hot, small_parts):
+    """No join task receives much more than its share, though a third of the rows share an id."""
+    silver = cut_lineage(jobs.clean_silver(hot).where("transaction_id LIKE 'k1%'"))
+    missing = reconcile.recon_missing_in_silver(hot, silver)
+    assert largest_task(missing) < 2.5 * ROWS / 8
 
 
-def test_more_than_one_key(hot):
-    ones = hot.where("amount = 1").select("transaction_id", "booked_date").distinct()
-    right = ones.withColumn("seen", F.col("transaction_id") == "hot")
-    plain = hot.join(right, ["transaction_id", "booked_date"], "left").groupBy("seen").count()
-    ours = skew_join(hot, right, "transaction_id", "left", ["booked_date"]).groupBy("seen").count()
-    assert sorted(rows(ours), key=repr) == sorted(rows(plain), key=repr)
+def test_a_hot_id_on_the_right_is_spread(spark, hot, small_parts):
+    left = hot.where("transaction_id <> 'hot'").union(
+        hot.where("transaction_id = 'hot'").limit(1)
+    )
+    wide = hot.withColumn("amount", F.lit(99).cast("decimal(18,2)"))
+    pairs = reconcile.recon_amount_discrepancy(left, wide.where("transaction_id = 'hot'"))
+    assert pairs.count() == ROWS // 3
+    assert largest_task(pairs) < 0.6 * ROWS / 3
 
 
-def test_hot_rows_are_spread(spark, hot, right):
-    """No join task receives much more than its share, though a third of the rows share a key."""
-    key = "spark.sql.autoBroadcastJoinThreshold"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "-1")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        joined = skew_join(hot, right.where("size > 3"), "transaction_id", "left")
-        per_task = joined.groupBy(F.spark_partition_id().alias("task")).count()
-        largest = per_task.agg(F.max("count")).first()[0]
-    finally:
-        spark.conf.set(key, old)
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert largest < 2.5 * ROWS / 8
+def test_many_hot_ids_on_both_sides(spark):
+    """1,500 ids of twenty rows on both sides: every count equals that of single pairs."""
+    n = F.col("id")
+    both = spark.range(0, 30_000).select(
+        F.concat(F.lit("k"), (n % 1500).cast("string")).alias("transaction_id"),
+        F.lit(None).cast("timestamp_ntz").alias("booked_at"),
+        (n % 2).cast("decimal(18,2)").alias("amount"),
+        F.when(n % 3 == 0, "fee").otherwise("payment").alias("transaction_type"),
+        F.lit("2024-01-01").cast("date").alias("booked_date"),
+    )
+    silver = both.withColumn("amount_valid", F.lit(True))
+    plain = both.alias("b").join(both.alias("s"), "transaction_id")
+    matched = plain.groupBy("b.transaction_type").count()
+    assert sorted(rows(reconcile.matched_by_type(both, silver))) == sorted(rows(matched))
+    mismatch = (
+        plain.where("b.transaction_type <> s.transaction_type")
+        .groupBy("b.transaction_type", "s.transaction_type")
+        .count()
+    )
+    assert sorted(rows(reconcile.recon_type_mismatch(both, silver))) == sorted(rows(mismatch))
+    coverage = rows(reconcile.silver_coverage(both, silver))
+    assert [r[1:3] for r in coverage] == [(plain.count(), plain.count())]
+    assert reconcile.recon_amount_discrepancy(both, silver).count() == plain.where("b.amount <> s.amount").count()
+    report = {r[1]: r[2] for r in rows(quality_report(both, silver, jobs.build_gold(silver)))}
+    assert report["amount_kept"] == plain.where("b.amount <> s.amount").count()
+
+
+@pytest.mark.parametrize(
+    "operator", [reconcile.matched_by_type, reconcile.recon_type_mismatch, reconcile.silver_coverage]
+)
+def test_both_sides_are_counted_before_they_are_joined(operator, stored):
+    text = operator(stored.bronze, stored.silver)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("partial_count") == 2 and text.index("Join") < text.index("partial_count")
 
 
 def test_checks_and_jobs_on_hot_ids(hot):
@@ -111,13 +140,3 @@ def test_checks_and_jobs_on_hot_ids(hot):
     ]
     missing = reconcile.recon_missing_in_silver(hot, silver.where("transaction_id <> 'hot'"))
     assert missing.count() == sum(r[0] in (None, "hot") for r in bronze)
-
-
-def test_broadcast_only_below_the_bound(spark):
-    df = spark.range(10)
-
-    def hinted(d):
-        return "broadcast" in d._jdf.queryExecution().logical().toString().lower()
-
-    assert hinted(broadcast_if_small(df, 10))
-    assert not hinted(broadcast_if_small(df, 9))
