@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 BUCKETS_LOG2 = 12
 # At most so many rows of each language are learned from.
 SAMPLE_ROWS = 400
+# At most so many rows of all languages together.
+MAX_ROWS = 50_000
 CENTROIDS = 4
 # Slack added to the largest distance that a language's own sample shows.
 _SLACK = 0.15
@@ -109,13 +111,15 @@ def fit_language(
     docs: DataFrame,
     sample_rows: int = SAMPLE_ROWS,
     centroids: int = CENTROIDS,
+    max_rows: int = MAX_ROWS,
     id_column: str = "doc_id",
     text_column: str = "text",
     lang_column: str = "lang",
 ) -> LanguageModel:
     """Learn from the rows of ``docs`` that have a language and a text with letters.
 
-    A bounded sample is enough: per language the ``sample_rows`` rows whose ids have the least hashes.
+    A bounded sample is enough: per language the ``sample_rows`` rows whose ids have the least hashes,
+    and ``max_rows`` of them in all, equally many of each language. Texts are not shuffled for it.
     Without any such row the model knows no language and calls every text ``und``.
     """
     letter = F.regexp_like(F.col("_text"), F.lit(r"\p{L}"))
@@ -130,12 +134,14 @@ def fit_language(
         rows.where(letter).select("_lang", "_id")
         .withColumn("_place", F.row_number().over(by_hash))
         .where(F.col("_place") <= sample_rows)
+        .orderBy("_place", "_lang")
+        .limit(max_rows)
         .select("_lang", "_id")
         .distinct()
     )
     sample = (
         rows.where(letter)
-        .join(chosen, ["_lang", "_id"], "left_semi")
+        .join(F.broadcast(chosen), ["_lang", "_id"], "left_semi")  # at most max_rows rows
         .select("_lang", "_id", "_text")
         .mapInArrow(_counted, "_lang string, _id string, _at array<int>, _count array<long>")
         .collect()
