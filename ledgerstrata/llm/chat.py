@@ -125,9 +125,17 @@ def swapped_replies(conversations: DataFrame) -> DataFrame:
     last = convs.select(
         "conv_id", "turns", F.try_element_at(replies, F.lit(-1)).alias("_last")
     ).where("_last IS NOT NULL")
-    reply = last.select(
-        F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"),
-        F.slice("turns", F.col("_last") + 1, F.lit(1)).alias("_reply"),
+    # Found apart from the turns: each task sends one reply per conversation, not all texts again.
+    reply = (
+        conversations.where("conv_id IS NOT NULL AND role = 'assistant'")
+        .groupBy("conv_id")
+        .agg(F.max(F.struct("turn", F.coalesce("text", F.lit("")).alias("text"))).alias("_best"))
+        .select(
+            F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"),
+            F.array(F.struct(F.lit("assistant").alias("role"), F.col("_best.text").alias("text")))
+            .cast(_TURNS)
+            .alias("_reply"),
+        )
     )
     nothing = F.array().cast(_TURNS)
     return last.join(reply, "conv_id", "left").select(
