@@ -14,8 +14,6 @@ from ledgerstrata.columns import DEFAULT, Columns
 from ledgerstrata.sources.layers import file_sizes, only_dates, read_layer, write_layer
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
-# Bytes of a row in a shuffle against those in a Parquet file, as measured on transactions.
-_SHUFFLE_TO_FILE = 1
 
 
 def scattered_dates(
@@ -50,8 +48,8 @@ def compact_layer(
 ) -> bool:
     """Rewrite in place the dates whose files are too many; True if any were.
 
-    The rebalance hint deals the rows of each date to files near ``target_bytes``, however they were
-    spread before, and a second run finds nothing to do. Only directories of rewritten dates are
+    The rebalance hint deals the rows of each date to files near ``target_bytes``, measured as the rows
+    are shuffled, however they were spread before. Only directories of rewritten dates are
     replaced, and not before every new file is complete, so a lost executor leaves the layer as it
     was; if the driver is lost while it swaps directories, run it again for the same ``dates`` from
     Bronze. One run shuffles all it rewrites: give ``dates`` to take a very large layer in parts.
@@ -60,9 +58,8 @@ def compact_layer(
     found = [r[0] for r in todo.select(c.date).collect()]  # one row per calendar date
     if not found:
         return False
-    # Rows are larger in a shuffle than in a Parquet file: ask for as much more at a time.
     layer = read_layer(spark, path, schema, found, c)
-    with _advisory_size(spark, target_bytes * _SHUFFLE_TO_FILE):
+    with _advisory_size(spark, target_bytes):
         write_layer(layer, path, c)
     return True
 

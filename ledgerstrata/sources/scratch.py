@@ -24,9 +24,29 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+# Paths handed out in this process.
+_handed_out: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the scratch root."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete what was written to scratch paths of this process; the number of folders deleted.
+
+    DataFrames that read them, or checkpoints made from them, must not be used any more. Checkpoints
+    are deleted by Spark itself where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
+    """
+    deleted = 0
+    while _handed_out:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        deleted += bool(fs.delete(path, True))
+    return deleted
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

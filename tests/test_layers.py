@@ -2,8 +2,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerstrata.plans.compaction import compact_layer, scattered_dates
-from ledgerstrata.sources import catalog, schemas
-from ledgerstrata.sources.layers import layer_files, read_layer, read_table, write_layer
+from ledgerstrata.sources import catalog, schemas, scratch
+from ledgerstrata.sources.layers import (
+    layer_exists,
+    layer_files,
+    read_layer,
+    read_table,
+    write_layer,
+)
+from ledgerstrata.sources.scratch import remove_scratch, scratch_path
 
 from .conftest import rows
 
@@ -125,3 +132,15 @@ def test_describe_table(spark, database):
         ("amount_valid", "boolean", ""),
         ("booked_date", "date", "partition key"),
     ]
+
+
+def test_scratch_is_removed(spark, sample):
+    path = scratch_path(spark, "layer")
+    write_layer(sample.gold_clean, path)
+    handed_out = list(scratch._handed_out)
+    scratch._handed_out[:] = [path]  # other tests still use theirs
+    try:
+        assert remove_scratch(spark) == 1
+    finally:
+        scratch._handed_out[:] = handed_out[:-1]
+    assert not layer_exists(spark, path)
