@@ -37,3 +37,34 @@ EXPECTED = {
 @pytest.mark.parametrize("name", list(EXPECTED))
 def test_planted_faults_are_found(name, spark):
     assert registry.run(name, spark, "/root/testdata/sf0.001").count() == EXPECTED[name]
+
+
+# Sort keys of queries that promise an order; a minus sign means descending.
+ORDERED = {
+    "bronze_volume_by_day": ["booked_date"],
+    "bronze_type_distribution": ["-txn_count", "transaction_type"],
+    "bronze_duplicates": ["-occurrences", "transaction_id"],
+    "silver_type_breakdown": ["-txn_count", "transaction_type"],
+    "gold_by_type": ["-grand_total", "transaction_type"],
+    "gold_cumulative": ["transaction_type", "booked_date"],
+    "silver_daily_totals": ["booked_date", "transaction_type"],
+    "silver_top3_per_day": ["booked_date", "rnk", "transaction_id"],
+    "lifetime_balance": ["-lifetime_net", "transaction_type"],
+    "recon_silver_gold": ["booked_date", "transaction_type"],
+    "freshness": ["layer"],
+}
+
+
+@pytest.mark.parametrize("name", list(ORDERED))
+def test_rows_come_in_order(name, spark, sf_dir):
+    got = registry.run(name, spark, sf_dir).collect()
+
+    def place(row):
+        out = []
+        for key in ORDERED[name]:
+            value = row[key.lstrip("-")]
+            # NULL comes last in either direction.
+            out.append((value is None, -value if key[0] == "-" and value is not None else value or ""))
+        return out
+
+    assert len(got) > 1 and [place(r) for r in got] == sorted(place(r) for r in got)
