@@ -17,7 +17,7 @@ from ledgerstrata.llm.decontam import benchmark_overlaps
 from ledgerstrata.llm.near_dup import near_duplicates
 from ledgerstrata.llm.quality import quality_verdicts
 from ledgerstrata.llm.shipping import make_importable
-from ledgerstrata.llm.toxicity import fit_toxicity, score_documents
+from ledgerstrata.llm.toxicity import fit_toxicity, mild_documents
 from ledgerstrata.sources.scratch import scratch_path
 
 TOXIC_FROM = 0.7
@@ -57,9 +57,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score of 0.7 or more go (operator 3); they are not shuffled for it."""
     make_importable(spark)
     model = fit_toxicity(docs, _table(spark, sf_dir, "labels"))
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text")
-    scored = score_documents(rows, model, id_column="_row")
-    return scored.where(F.col("score") < TOXIC_FROM).select("_row.*")
+    return mild_documents(docs, model, below=TOXIC_FROM)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,12 +28,12 @@ ORDER = 5
 # Orders up to this one use counts of both classes together.
 SHARED = 2
 # At most so many labelled rows of each class are learned from.
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS = 2000
 # Words whose log ratio is above this count as telling.
 _TELLING = 3.0
 _START, _END = "\x02", "\x03"
 _WORD = re.compile(r"[^\W\d_]+")
-_REMEMBERED = 300_000
+_REMEMBERED = 100_000
 
 
 def distinct_words(text: str | None) -> set[str]:
@@ -267,7 +267,15 @@ def _featurizer(model: ToxicityModel):
     return features
 
 
-_scorers: dict = {}
+# The model that this worker used last, with its scorer: building one takes longer than many texts.
+_last: list = [None, None]
+
+
+def _scorer_of(model: ToxicityModel):
+    if _last[0] is not model:
+        _last[:] = [None, None]
+        _last[:] = [model, model.scorer()]
+    return _last[1]
 
 
 def score_documents(
@@ -281,7 +289,7 @@ def score_documents(
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = shared.value.scorer()
+        scorer = _scorer_of(shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
@@ -294,6 +302,23 @@ def score_documents(
     return docs.select(F.col(id_column), F.col(text_column).alias("_text")).mapInArrow(score, schema)
 
 
+def mild_documents(
+    docs: DataFrame, model: ToxicityModel, below: float = 0.7, text_column: str = "text"
+) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is less than ``below``; nothing is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _scorer_of(shared.value)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                texts = part.column(text_column).to_pylist()
+                yield part.filter(pa.array([scorer(t) < below for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def held_out(modulus: int, remainder: int, id_column: str = "doc_id"):
     """Whether crc32 of the id as text leaves ``remainder``; never for a NULL id."""
     crc = F.crc32(F.col(id_column).cast("string").cast("binary"))
