@@ -20,7 +20,7 @@ BUCKETS_LOG2 = 12
 # At most so many rows of each language are learned from.
 SAMPLE_ROWS = 400
 # At most so many rows of all languages together.
-MAX_ROWS = 50_000
+MAX_ROWS = 10_000
 CENTROIDS = 4
 # Slack added to the largest distance that a language's own sample shows.
 _SLACK = 0.15
@@ -100,8 +100,8 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [
                     pa.array([lang]),
                     pa.array([id_], pa.string()),
-                    pa.array([at.tolist()], pa.list_(pa.int32())),
-                    pa.array([counts[at].tolist()], pa.list_(pa.int64())),
+                    pa.array([at.astype(np.uint16).tobytes()], pa.binary()),
+                    pa.array([counts[at].astype(np.float32).tobytes()], pa.binary()),
                 ],
                 ["_lang", "_id", "_at", "_count"],
             )
@@ -143,17 +143,19 @@ def fit_language(
         rows.where(letter)
         .join(F.broadcast(chosen), ["_lang", "_id"], "left_semi")  # at most max_rows rows
         .select("_lang", "_id", "_text")
-        .mapInArrow(_counted, "_lang string, _id string, _at array<int>, _count array<long>")
+        .mapInArrow(_counted, "_lang string, _id string, _at binary, _count binary")
         .collect()
     )
-    seen = sorted(sample, key=lambda r: (r["_lang"], r["_id"], r["_at"], r["_count"]))
+    seen = sorted(
+        sample, key=lambda r: (r["_lang"], r["_id"], bytes(r["_at"]), bytes(r["_count"]))
+    )
     size = 1 << BUCKETS_LOG2
     if not seen:
         none = np.zeros((0, size), np.float32)
         return LanguageModel(np.zeros(size, np.float32), none, [], np.zeros(0))
     counts = np.zeros((len(seen), size), np.float32)
     for i, row in enumerate(seen):
-        counts[i, row["_at"]] = row["_count"]
+        counts[i, np.frombuffer(row["_at"], np.uint16)] = np.frombuffer(row["_count"], np.float32)
     idf = np.log((1 + len(seen)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 1
     vectors = _unit(np.log1p(counts) * idf)
     names = np.array([r["_lang"] for r in seen])
