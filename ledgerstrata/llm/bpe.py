@@ -21,6 +21,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerstrata.llm.text import MEMORY
+
 # Ids take this many bits, which leaves room for vocabularies of a million tokens.
 _BITS = 20
 _LOW = (1 << _BITS) - 1
@@ -221,6 +223,7 @@ class Encoder:
     def __init__(self, bpe: Bpe):
         self._bpe = bpe
         self._known: dict[str, tuple[int, ...]] = {}
+        self._held = 0
 
     def __call__(self, text: str | None) -> np.ndarray:
         bpe, known = self._bpe, self._known
@@ -230,10 +233,12 @@ class Encoder:
         try:
             found = list(map(known.__getitem__, chunks))
         except KeyError:
-            if len(known) > _REMEMBERED:
+            if len(known) > _REMEMBERED or self._held > MEMORY:
                 known.clear()
+                self._held = 0
             for chunk in set(chunks).difference(known):
                 known[chunk] = tuple(bpe.plain_ids(chunk))
+                self._held += len(chunk)
             found = list(map(known.__getitem__, chunks))
         return np.fromiter(chain.from_iterable(found), np.int32)
 
@@ -296,13 +301,15 @@ class Digester:
         self._bpe = bpe
         self._known: dict[str, tuple[str, str]] = {"": ("", "")}
         self._older: dict[str, tuple[str, str]] = {}
+        self._held = 0
         self._number = {i: f"{i} " for i in bpe.token}
         self._token = {i: f"{t} " for i, t in bpe.token.items()}
 
     def _learn(self, chunks: set[str]) -> None:
         """Remember new chunks; of the older ones only those that are still in use."""
-        if len(self._known) > _REMEMBERED // 2:
-            self._known, self._older = {"": ("", "")}, self._known
+        if len(self._known) > _REMEMBERED // 2 or self._held > MEMORY:
+            self._known, self._older = {"": ("", "")}, self._known if self._held <= MEMORY else {}
+            self._held = 0
         known, older = self._known, self._older
         encode, number, token = self._bpe.plain_ids, self._number, self._token
         for chunk in chunks.difference(known):
@@ -311,6 +318,7 @@ class Digester:
                 ids = encode(chunk)
                 entry = "".join([number[i] for i in ids]), "".join([token[i] for i in ids])
             known[chunk] = entry
+            self._held += len(chunk)
 
     def __call__(self, text: str | None) -> tuple[str, str]:
         """Ids in decimal, and the decoded text."""

@@ -79,8 +79,16 @@ def _sketcher(shingle: int, slots: int, bands: int):
 def _set_builder(shingle: int):
     def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHasher(200_000)
+        seen: set[tuple[int, bytes]] = set()
         for batch in _parts(batches):
             sets = _shingled(batch.column(1).to_pylist(), words, shingle)
+            # The rows of an id are together here: of repeated rows one is compared.
+            new = []
+            for k, key in enumerate(zip(batch.column(0).to_pylist(), map(fingerprint, sets))):
+                if key not in seen:
+                    seen.add(key)
+                    new.append(k)
+            batch, sets = batch.take(pa.array(new, pa.int64())), [sets[k] for k in new]
             for a, b in _in_slices(sets):
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -113,7 +121,7 @@ def linked(
     least = percent / 100
     least = (least - margin * np.sqrt(least * (1 - least) / slots)) * slots
     size = np.array([len(s) for s in sets])
-    left, right = (np.array(side) for side in sides)
+    left, right = (np.array(side, np.int64) for side in sides)  # a block may be empty
     within = sides[0] == sides[1]
     near: list[tuple[int, int, int]] = []
     for k, i in enumerate(left):

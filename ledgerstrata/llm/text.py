@@ -42,25 +42,33 @@ def plain_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").translate(_SEPARATE).split() if text else []
 
 
+# Characters or bytes of words and chunks that a memory holds at most, besides those of one text.
+MEMORY = 30_000_000
+
+
 class WordHasher:
     """64-bit hashes of words, remembered for the words of the last few batches.
 
-    The memory is emptied when it holds ``limit`` words, so it stays small whatever the corpus.
+    The memory is emptied when it holds ``limit`` words or ``MEMORY`` bytes of them, so it stays small
+    whatever the corpus.
     """
 
     def __init__(self, limit: int = 400_000):
         self._known: dict[bytes, int] = {}
+        self._held = 0
         self._limit = limit
 
     def __call__(self, words: Sequence[bytes]) -> np.ndarray:
         known = self._known
-        if len(known) > self._limit:
+        if len(known) > self._limit or self._held > MEMORY:
             known.clear()
+            self._held = 0
         try:
             return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         except KeyError:
             for word in set(words).difference(known):
                 known[word] = xxhash.xxh3_64_intdigest(word)
+                self._held += len(word)
             return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 

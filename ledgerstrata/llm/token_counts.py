@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerstrata.llm.bpe import _BITS, _LOW, _SHORT, Bpe, Shipped, as_chars
+from ledgerstrata.llm.text import MEMORY
 
 _PAIRS = 1_000_000
 # Length of the beginnings that words share.
@@ -52,6 +53,7 @@ class PrefixCounter:
         self._stems: dict[str, tuple[list[int], list[int]]] = {}
         self._chunks: dict[str, int] = {}
         self._older: dict[str, int] = {}
+        self._held = 0
 
     def _stands_alone(self, token: int) -> bool:
         """Whether the bytes of a token encode to that token."""
@@ -166,12 +168,14 @@ class PrefixCounter:
 
     def _learn(self, chunks: set[str]) -> None:
         """Remember new chunks; of the older ones only those that are still in use."""
-        if len(self._chunks) > _REMEMBERED // 2:
-            self._chunks, self._older = {}, self._chunks
+        if len(self._chunks) > _REMEMBERED // 2 or self._held > MEMORY:
+            self._chunks, self._older = {}, self._chunks if self._held <= MEMORY else {}
+            self._held = 0
         known, older = self._chunks, self._older
         for chunk in chunks.difference(known):
             n = older.get(chunk)
             known[chunk] = self._count_chunk(chunk) if n is None else n
+            self._held += len(chunk)
 
     def _chunk_counts(self, text: str) -> Iterator[tuple[str, int]]:
         for piece, special in self._bpe.pieces(text):

@@ -5,7 +5,7 @@ import random
 import numpy as np
 
 from ledgerstrata.llm.components import connected_components
-from ledgerstrata.llm.near_dup import near_duplicates
+from ledgerstrata.llm.near_dup import linked, near_duplicates
 from ledgerstrata.llm.superminhash import signatures
 from ledgerstrata.llm.text import blank_words
 
@@ -100,3 +100,17 @@ def test_components_of_paths_stars_and_loops(spark):
     )
     assert got == {i: 0 for i in range(42)} | {100 + i: 100 for i in range(300)}
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_repeated_rows_of_one_id_and_empty_blocks(spark, vocabulary):
+    rng = random.Random(13)
+    words = [rng.choice(vocabulary) for _ in range(60)]
+    near = words[:-1] + ["other"]
+    rows = [(1, " ".join(words))] * 500 + [(2, " ".join(near)), (3, " ".join(reversed(words)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicates(docs, 4).collect()
+    assert len(got) == 502
+    assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1), (3, 3)}
+    ids, sets = [1, 2], [np.arange(5, dtype=np.uint64)] * 2
+    assert linked(ids, sets, ([0, 1], []), 80) == []
+    assert linked(ids, sets, ([0], [1]), 80) == [(1, 2)]
