@@ -12,19 +12,49 @@ from ledgerstrata.operators import reconcile
 from ledgerstrata.sources.schemas import TRANSACTION_TYPES
 
 
-def _rules(df: DataFrame, layer: str, rules: dict[str, Column]) -> DataFrame:
-    """One aggregation gives all rules of a table; its single row then becomes one row per rule."""
-    one_row = df.agg(*[F.coalesce(failing, F.lit(0)).alias(name) for name, failing in rules.items()])
-    return one_row.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(name).alias("rule"), F.col(name).cast("bigint").alias("failing"))
-                    for name in rules
-                ]
-            )
-        ).alias("r")
-    ).select(F.lit(layer).alias("layer"), "r.rule", "r.failing")
+def _failing(rules: dict[str, Column]) -> list[Column]:
+    return [F.coalesce(n, F.lit(0)).cast("bigint").alias(rule) for rule, n in rules.items()]
+
+
+def _as_rows(layer: str, rules: dict[str, Column]) -> Column:
+    """Array of (layer, rule, failing) from the columns that ``_failing`` made."""
+    return F.array(
+        *[
+            F.struct(F.lit(layer).alias("layer"), F.lit(r).alias("rule"), F.col(r).alias("failing"))
+            for r in rules
+        ]
+    )
+
+
+def _layer(df: DataFrame, layer: str, rules: dict[str, Column], c: Columns) -> DataFrame:
+    """One row for a layer from one aggregation: its rules, its dates, and whether any is missing.
+
+    There are as many dates as the calendar has.
+    """
+    return df.agg(
+        *_failing(rules),
+        F.collect_set(c.date).alias("dates"),
+        F.count_if(F.col(c.date).isNull()).alias("undated"),
+    ).select(F.lit(layer).alias("name"), _as_rows(layer, rules).alias("rules"), "dates", "undated")
+
+
+def _gate(df: DataFrame, name: str, rules: dict[str, Column]) -> DataFrame:
+    """One row for a gate between layers, in the form of ``_layer``."""
+    return df.agg(*_failing(rules)).select(
+        F.lit(name).alias("name"),
+        _as_rows(name, rules).alias("rules"),
+        F.array().cast("array<date>").alias("dates"),
+        F.lit(0).cast("bigint").alias("undated"),
+    )
+
+
+def _date_gap(left: str, right: str, gate: str, rule: str) -> Column:
+    """Dates of one layer that another lacks, as NOT IN counts them: none if it has a NULL date."""
+    here, there = F.col(f"{left}.dates"), F.col(f"{right}.dates")
+    undated_too = F.when((F.size(there) == 0) & (F.col(f"{left}.undated") > 0), 1).otherwise(0)
+    missing = F.size(F.array_except(here, there)) + undated_too
+    failing = F.when(F.col(f"{right}.undated") > 0, 0).otherwise(missing).cast("bigint")
+    return F.struct(F.lit(gate).alias("layer"), F.lit(rule).alias("rule"), failing.alias("failing"))
 
 
 def _id_gate(bronze: DataFrame, silver: DataFrame, c: Columns) -> DataFrame:
@@ -48,7 +78,7 @@ def quality_report(
     """One row per rule: layer, rule, number of failing rows (or ids, dates, groups), passed."""
     id_, amount, type_ = F.col(c.id), F.col(c.amount), F.col(c.type)
     repeated = F.count(id_) - F.count_distinct(id_)
-    in_bronze = _rules(
+    in_bronze = _layer(
         bronze,
         "bronze",
         {
@@ -59,8 +89,9 @@ def quality_report(
             "type_normalized": F.count_if(type_ != F.lower(F.trim(type_))),
             "id_unique": repeated,
         },
+        c,
     )
-    in_silver = _rules(
+    in_silver = _layer(
         silver,
         "silver",
         {
@@ -70,19 +101,24 @@ def quality_report(
             "amount_valid": F.count_if(~F.coalesce(F.col(c.valid), F.lit(False))),
             "id_unique": repeated,
         },
+        c,
     )
-    in_gold = _rules(
+    in_gold = _layer(
         gold,
         "gold",
         {
             "total_present": F.count_if(F.col(c.total).isNull()),
             "count_positive": F.count_if(F.coalesce(F.col(c.count), F.lit(0)) <= 0),
         },
+        c,
     )
     gold_gate = reconcile.recon_silver_gold(silver, gold, c)
     same_count = F.col("silver_count").eqNullSafe(F.col("gold_count"))
-    gates = [
-        _rules(
+    parts = [
+        in_bronze,
+        in_silver,
+        in_gold,
+        _gate(
             _id_gate(bronze, silver, c),
             "bronze_silver",
             {
@@ -94,12 +130,7 @@ def quality_report(
                 ),
             },
         ),
-        _rules(
-            reconcile.recon_dates_bronze_not_silver(bronze, silver, c),
-            "bronze_silver",
-            {"date_in_silver": F.count("*")},
-        ),
-        _rules(
+        _gate(
             gold_gate,
             "silver_gold",
             {
@@ -107,13 +138,22 @@ def quality_report(
                 "count_matches": F.count_if(~same_count),
             },
         ),
-        _rules(
-            reconcile.recon_dates_silver_not_gold(silver, gold, c),
-            "silver_gold",
-            {"date_in_gold": F.count("*")},
-        ),
     ]
-    report = in_bronze.unionByName(in_silver).unionByName(in_gold)
-    for gate in gates:
-        report = report.unionByName(gate)
-    return report.withColumn("passed", F.col("failing") == 0).orderBy("layer", "rule")
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    # Five rows, brought together as one.
+    of = lambda name: F.max(F.when(F.col("name") == name, F.struct("dates", "undated"))).alias(name)
+    together = rows.agg(
+        F.flatten(F.collect_list("rules")).alias("rules"), of("bronze"), of("silver"), of("gold")
+    )
+    gaps = F.array(
+        _date_gap("bronze", "silver", "bronze_silver", "date_in_silver"),
+        _date_gap("silver", "gold", "silver_gold", "date_in_gold"),
+    )
+    return (
+        together.select(F.explode(F.concat("rules", gaps)).alias("r"))
+        .select("r.layer", "r.rule", "r.failing")
+        .withColumn("passed", F.col("failing") == 0)
+        .orderBy("layer", "rule")
+    )

@@ -125,7 +125,7 @@ def test_no_broadcast_is_forced(stored):
 def test_quality_report_reads_each_layer_few_times(stored):
     text = plan(quality_report(stored.bronze, stored.silver, stored.gold))
     scans = [len(re.findall(rf"FileScan parquet \[[^\]]*\][^\n]*{name}_transactions", text)) for name in ("bronze", "silver")]
-    assert scans[0] <= 3 and scans[1] <= 5
+    assert scans == [2, 3]
 
 
 def test_rejects_share_one_count_of_complete_rows(stored):
