@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from ledgerstrata.llm.queries import URL_RULES
-from ledgerstrata.llm.urls import BUCKETS, SIZES, UrlModel, fit_urls, judge_urls, labelled_urls
+from ledgerstrata.llm.urls import BUCKETS, SIZES, fit_urls, judge_urls, labelled_urls
 
 URLS = [
     "https://WWW.Example.com/en/1?x=1#y", "http://example.com/en", "http://example.com/en/", "x://net/fr/",
