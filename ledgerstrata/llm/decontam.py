@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerstrata.llm.text import mix, plain_words
+from ledgerstrata.llm.text import mix, plain_words, released
 
 WINDOW = 13
 PERCENT = 80
@@ -177,4 +177,4 @@ def _searcher(shared, id_column: str):
             ids = batch.column(0).take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays([ids, *numbers], [id_column, *_FOUND])
 
-    return search
+    return lambda batches: released(search(batches))

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from ledgerstrata.llm.components import UnionFind, connected_components
 from ledgerstrata.llm.superminhash import band_keys, signatures
-from ledgerstrata.llm.text import WordHasher, blank_words, fingerprint, shingle_hashes
-from ledgerstrata.sources.scratch import scratch_path
+from ledgerstrata.llm.text import WordHasher, blank_words, fingerprint, released, shingle_hashes
+from ledgerstrata.sources.scratch import cut_lineage, scratch_path
 
 SLOTS = 200
 BANDS = 40
@@ -73,7 +73,7 @@ def _sketcher(shingle: int, slots: int, bands: int):
                     ["_id", "_size", "_key", "_bands"],
                 )
 
-    return sketch
+    return lambda batches: released(sketch(batches))
 
 
 def _set_builder(shingle: int):
@@ -100,7 +100,7 @@ def _set_builder(shingle: int):
                     ["_id", "_set", "_cluster", "_blocks"],
                 )
 
-    return build
+    return lambda batches: released(build(batches))
 
 
 def linked(
@@ -263,7 +263,8 @@ def near_duplicates(
     )
     sizes = reps.groupBy("_rep").agg(F.sum("_size").alias("_size"))
     clusters = connected_components(_candidate_edges(reps))
-    links = _verified_links(texts, clusters, sizes, shingle, percent)
+    # Stored, so that no task runs two Python workers at once.
+    links = cut_lineage(_verified_links(texts, clusters, sizes, shingle, percent))
     joined = connected_components(links)
     classes = (
         reps.select("_key", "_rep")

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerstrata.llm.text import WordHasher, mix
+from ledgerstrata.llm.text import WordHasher, mix, released
 from ledgerstrata.sources.scratch import cut_lineage, scratch_path
 
 _BLANKS = b" \t\n\v\f\r"
@@ -275,7 +275,7 @@ def quality_verdicts(
         F.col("lang").cast("string").alias("_lang"),
         F.col("source").cast("string").alias("_source"),
         F.col("text").alias("_text"),
-    ).mapInArrow(_count, schema).write.parquet(path)
+    ).mapInArrow(lambda batches: released(_count(batches)), schema).write.parquet(path)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     counted = (
         spark.read.parquet(path)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import gc
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 # Odd multipliers of the mixing function (splitmix64) and of the n-gram polynomial; fixed values.
@@ -46,6 +48,16 @@ def plain_words(text: str | None) -> list[bytes]:
 MEMORY = 30_000_000
 
 
+def released(rows: Iterable) -> Iterator:
+    """Pass rows on, and give memory that is no longer used back to the system when they end.
+
+    Python workers wait for further tasks between stages, with all they hold.
+    """
+    yield from rows
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 class WordHasher:
     """64-bit hashes of words, remembered for the words of the last few batches.
 

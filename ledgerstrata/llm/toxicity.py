@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerstrata.llm.text import released
 from ledgerstrata.sources.scratch import cut_lineage
 
 ORDER = 5
@@ -316,7 +317,7 @@ def mild_documents(
                 texts = part.column(text_column).to_pylist()
                 yield part.filter(pa.array([scorer(t) < below for t in texts], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(lambda batches: released(keep(batches)), docs.schema)
 
 
 def held_out(modulus: int, remainder: int, id_column: str = "doc_id"):
