@@ -268,17 +268,6 @@ def _featurizer(model: ToxicityModel):
     return features
 
 
-# The model that this worker used last, with its scorer: building one takes longer than many texts.
-_last: list = [None, None]
-
-
-def _scorer_of(model: ToxicityModel):
-    if _last[0] is not model:
-        _last[:] = [None, None]
-        _last[:] = [model, model.scorer()]
-    return _last[1]
-
-
 def score_documents(
     docs: DataFrame, model: ToxicityModel, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -290,7 +279,7 @@ def score_documents(
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer_of(shared.value)
+        scorer = shared.value.scorer()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
@@ -300,7 +289,8 @@ def score_documents(
                 )
 
     schema = T.StructType([docs.schema[id_column], T.StructField("score", T.DoubleType())])
-    return docs.select(F.col(id_column), F.col(text_column).alias("_text")).mapInArrow(score, schema)
+    texts = docs.select(F.col(id_column), F.col(text_column).alias("_text"))
+    return texts.mapInArrow(lambda batches: released(score(batches)), schema)
 
 
 def mild_documents(
@@ -310,7 +300,7 @@ def mild_documents(
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer_of(shared.value)
+        scorer = shared.value.scorer()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
