@@ -2,9 +2,11 @@
 
 Each document becomes a vector of transformed statistics. For each language and source a minimum
 covariance determinant estimate is computed over all its documents: from medians and median
-deviations, concentration steps keep the three quarters of the rows that lie nearest and take their
-mean and covariance again, until nothing changes. Documents far from it by Mahalanobis distance are
-rejected.
+deviations, concentration steps keep the half of the rows that lie nearest and take their mean and
+covariance again, until nothing changes; so junk does not enter before it is half of all rows. Where
+many rows are copies of one text, that half is narrower than the rest: reweighting steps then take all
+rows within the 0.975 quantile, again until nothing changes. Documents far from the estimate by
+Mahalanobis distance are rejected.
 
 A step is one aggregation: rows are counted by distance bucket, and the sums of a bucket are sums of
 whole numbers, so neither the order of tasks nor lost executors change a result, and a source with a
@@ -14,7 +16,7 @@ third of all rows costs each task one row per bucket.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from statistics import NormalDist
 
 import numpy as np
@@ -45,7 +47,8 @@ _FLOORS = {
     "dup_lines": 0.20,
     "repeats": 0.16,
 }
-KEPT_SHARE = 0.75
+KEPT_SHARE = 0.5
+REWEIGHTED_SHARE = 0.975
 MIN_ROWS = 50
 CONFIDENCE = 0.99999
 _BUCKETS_PER_E = 16
@@ -170,13 +173,26 @@ def _start(counts: pd.DataFrame) -> pd.DataFrame:
     return _params(counts["_group"].iloc[0], rows, np.array(centre), np.diag(np.square(spread)), 1.0)
 
 
-def _step(sums: pd.DataFrame) -> pd.DataFrame:
-    """Mean and covariance of the nearest rows, from the sums of each distance bucket."""
+def _step(sums: pd.DataFrame, reweighted: bool) -> pd.DataFrame:
+    """Mean and covariance of the nearest rows, from the sums of each distance bucket.
+
+    They are the nearest ``KEPT_SHARE`` of the rows or, ``reweighted``, all rows that are no farther
+    than ``REWEIGHTED_SHARE`` of a normal sample.
+    """
     sums = sums.sort_values("_bucket")
     n = sums["_n"].to_numpy()
     rows = int(n.sum())
     upto = n.cumsum()
-    last = int(np.searchsorted(upto, math.ceil(KEPT_SHARE * rows)))
+    middle = int(np.searchsorted(upto, (rows + 1) // 2))
+    median = math.exp((sums["_bucket"].iloc[middle] + 0.5) / _BUCKETS_PER_E)
+    scale = max(1.0, median / chi_square(0.5, _P))
+    share = REWEIGHTED_SHARE if reweighted else KEPT_SHARE
+    cut = chi_square(share, _P)
+    if reweighted:
+        farthest = math.floor(math.log(scale * cut) * _BUCKETS_PER_E)
+        last = int(np.searchsorted(sums["_bucket"].to_numpy(), farthest, side="right")) - 1
+    else:
+        last = int(np.searchsorted(upto, math.ceil(share * rows)))
     near, total = sums.iloc[: last + 1], int(upto[last])
     x = np.array([int(near[f"_s{i}"].sum()) for i in range(_P)], dtype=float)
     cov = np.empty((_P, _P))
@@ -186,14 +202,14 @@ def _step(sums: pd.DataFrame) -> pd.DataFrame:
         top = both * total - int(near[f"_s{i}"].sum()) * int(near[f"_s{j}"].sum())
         cov[i, j] = cov[j, i] = top / total**2
     # The nearest rows vary less than all rows do; this brings a normal sample back to its spread.
-    cut = chi_square(KEPT_SHARE, _P)
-    cov *= KEPT_SHARE / _chi_share(cut, _P + 2) / _UNIT**2
-    middle = int(np.searchsorted(upto, (rows + 1) // 2))
-    median = math.exp((sums["_bucket"].iloc[middle] + 0.5) / _BUCKETS_PER_E)
-    scale = max(1.0, median / chi_square(0.5, _P))
+    cov *= share / _chi_share(cut, _P + 2) / _UNIT**2
     return _params(sums["_group"].iloc[0], rows, x / total / _UNIT, cov, scale)
 
 
+def _steps(reweighted: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    return lambda sums: _step(sums, reweighted)
+
+
 def _chi_share(value: float, freedom: int) -> float:
     """Share of the chi-square distribution below a value: the inverse of ``chi_square``."""
     z = ((value / freedom) ** (1 / 3) - 1 + 2 / (9 * freedom)) / math.sqrt(2 / (9 * freedom))
@@ -211,7 +227,7 @@ def _distance() -> Column:
 
 
 def robust_estimates(vectors: DataFrame, steps: int = _STEPS) -> DataFrame:
-    """Minimum covariance determinant estimate of ``_x`` for each ``_group``, over all rows.
+    """Reweighted minimum covariance determinant estimate of ``_x`` for each ``_group``, over all rows.
 
     Columns: ``_group``, ``_rows``, ``_centre``, ``_precision`` (inverse covariance, upper triangle
     with doubled off-diagonal entries) and ``_scale`` (squared distances of the middle row against
@@ -223,19 +239,20 @@ def robust_estimates(vectors: DataFrame, steps: int = _STEPS) -> DataFrame:
     sums = [F.sum(F.col("_x")[i]).alias(f"_s{i}") for i in range(_P)] + [
         F.sum(F.col("_x")[i] * F.col("_x")[j]).alias(f"_s{i}_{j}") for i, j in _PAIRS
     ]
-    for _ in range(steps):
-        bucket = F.floor(F.log(_distance() + 1e-6) * _BUCKETS_PER_E).cast("int")
-        counted = (
-            vectors.join(params, "_group")
-            .withColumn("_bucket", bucket)
-            .groupBy("_group", "_bucket")
-            .agg(F.count("*").alias("_n"), *sums)
-        )
-        moved = cut_lineage(counted.groupBy("_group").applyInPandas(_step, _PARAMS))
-        same = moved.join(params, ["_group", "_rows", "_centre", "_precision"], "left_anti").isEmpty()
-        params = moved
-        if same:
-            break
+    bucket = F.floor(F.log(_distance() + 1e-6) * _BUCKETS_PER_E).cast("int")
+    for reweighted in (False, True):
+        for _ in range(steps):
+            counted = (
+                vectors.join(params, "_group")
+                .withColumn("_bucket", bucket)
+                .groupBy("_group", "_bucket")
+                .agg(F.count("*").alias("_n"), *sums)
+            )
+            moved = cut_lineage(counted.groupBy("_group").applyInPandas(_steps(reweighted), _PARAMS))
+            before = params.select("_group", "_rows", "_centre", "_precision")
+            params = moved
+            if moved.join(before, before.columns, "left_anti").isEmpty():
+                break
     return params
 
 

@@ -86,6 +86,22 @@ def test_junk_is_rejected_and_prose_is_kept(spark, vocabulary):
     assert {r.doc_id for r in got if not r.kept} == {i for i in range(400) if i % 20 == 7}
 
 
+@pytest.mark.parametrize("kind", ["copies of junk", "mixed junk", "copies of prose"])
+def test_a_third_of_a_group(spark, vocabulary, kind):
+    rng = random.Random(34)
+    prose = lambda: [rng.choice(vocabulary) for _ in range(rng.randint(60, 600))]
+    rows = [(i, " ".join(prose()), "en", "a") for i in range(300)]
+    one = " ".join(prose() if "prose" in kind else [w.upper() + "%%%" for w in prose()])
+    for i in range(300, 450):
+        marked = " ".join(w.upper() + "%" * rng.randint(1, 6) for w in prose())
+        rows.append((i, marked if "mixed" in kind else one, "en", "a"))
+    got = quality_verdicts(
+        spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    ).collect()
+    junk = set() if "prose" in kind else set(range(300, 450))
+    assert {r.doc_id for r in got if not r.kept} == junk
+
+
 def test_odd_documents(odd_docs):
     got = quality_verdicts(odd_docs).collect()
     assert len(got) == odd_docs.count()
