@@ -63,11 +63,24 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, the one of least id (operator 9).
 
-    Of repeated rows one stays. A row without id cannot be named, and stays.
+    Groups are found between rows, named by a hash of all columns, so that each row follows its own
+    verdict whatever its id: rows that share an id are judged apart, and a row without id stays only
+    where no other of its group stays. Of repeated rows one stays.
     """
     make_importable(spark)
-    gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns).distinct()
+    keyed, key = _keyed(docs, *docs.columns)
+    cols = [F.col(c) for c in docs.columns]
+    # A number, as near_duplicates takes no other ids.
+    keyed = keyed.withColumn(key, F.xxhash64(*cols, *[c.isNull() for c in cols]))
+    found = near_duplicates(keyed, id_column=key).select(key, "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", key)
+    stays = (
+        found.join(keyed.select(key, "doc_id"), key)
+        .groupBy("component_id")
+        .agg(F.min_by(key, order).alias(key))
+        .select(key)
+    )
+    return keyed.join(stays, key, "left_semi").select(*docs.columns).distinct()
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
