@@ -236,9 +236,12 @@ def near_duplicates(
        tasks: signatures first, then full sets. A block sends on a forest of links, never all pairs.
     4. Components of those links are spread to all rows of each class.
 
-    NULL, empty and blank texts have ``n_shingles`` 0 and are linked with nothing. Rows with equal
-    ids count as one document. A row with a NULL id gets the component of its text's class and is
-    not kept if another row stands for it. Other columns are ignored. An empty table gives no rows.
+    NULL, empty and blank texts have ``n_shingles`` 0 and are linked with nothing. Rows of equal ids
+    and texts count as one document; two texts of one id are joined with each other only where it is
+    the least id of both. A row with a NULL id gets the component of its text's class and is not kept if another row
+    stands for it. A text that occurs only with NULL ids is linked with nothing: its rows have
+    ``component_id`` NULL and are all kept. Name such rows by a key of their own to have them linked.
+    Other columns are ignored. An empty table gives no rows.
     Sketches and links are stored below the checkpoint folder while the DataFrame is built.
     """
     spark = docs.sparkSession
