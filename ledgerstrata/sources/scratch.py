@@ -35,6 +35,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def drop_scratch(spark: SparkSession, path: str) -> bool:
+    """Delete one path that ``scratch_path`` gave and that nothing reads any more."""
+    _handed_out.remove(path)
+    return _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True))
+
+
 def remove_scratch(spark: SparkSession) -> int:
     """Delete what was written to scratch paths of this process; the number of folders deleted.
 
@@ -43,9 +54,7 @@ def remove_scratch(spark: SparkSession) -> int:
     """
     deleted = 0
     while _handed_out:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
-        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        deleted += bool(fs.delete(path, True))
+        deleted += _delete(spark, _handed_out.pop())
     return deleted
 
 
