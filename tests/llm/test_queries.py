@@ -26,7 +26,7 @@ def test_equals_statement(name, spark, sf_dir, duck):
 def test_all_are_registered():
     names = set(spark_entry.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
 
 
 @pytest.fixture(scope="module")
