@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ledgerstrata.columns import DEFAULT, Columns
 from ledgerstrata.functions.exprs import asc, money, ratio
 from ledgerstrata.operators.analytics import daily_totals
+from ledgerstrata.sources.keys import runtime_filter, store_rows_with_keys
 from ledgerstrata.sources.scratch import cut_lineage
 
 
@@ -163,8 +164,9 @@ def medallion_journey(
 
     Every row of the outer join comes from one Bronze row and sorts by Bronze columns first, so the
     first n Bronze rows are enough to find the result. They are found once and stored; then only
-    their groups are totalled, reading only their dates. Finding them starts a job while the DataFrame
-    is built, and stores them in the checkpoint folder.
+    their groups are totalled, reading only their dates. Silver rows that no such group needs are
+    dropped where Silver is scanned. These steps run while the DataFrame is built and store what they
+    find (at most n rows and groups, and the ids of the groups) in shared scratch storage.
     """
     keys = asc(c.date, c.type, c.id, "bronze_amount")
     first = cut_lineage(
@@ -172,8 +174,8 @@ def medallion_journey(
         .orderBy(*keys)
         .limit(n)
     )
-    wanted_ids = first.select(c.id).distinct()
-    found = silver.join(wanted_ids, c.id, "left_semi").select(
+    wanted_ids = [row[0] for row in first.select(c.id).distinct().collect()]  # at most n
+    found = silver.where(F.col(c.id).isin([i for i in wanted_ids if i is not None])).select(
         c.id, F.col(c.valid).alias("silver_valid"), F.col(c.amount).alias("silver_amount")
     )
     order = keys + asc("silver_amount", "silver_valid")
@@ -190,13 +192,14 @@ def medallion_journey(
         .join(groups, same_group)
         .select(c.id, "_date", "_type")
     )
-    amounts = silver.groupBy(c.id).agg(F.sum(c.amount).alias("_amount"))
-    totals = (
-        _counted(in_groups, "_n", "_date", "_type", c.id)
-        .join(amounts, c.id)
-        .groupBy("_date", "_type")
-        .agg(money(F.sum(F.col("_n") * F.col("_amount"))).alias("daily_type_total"))
-    )
+    ids = store_rows_with_keys(_counted(in_groups, "_n", "_date", "_type", c.id), c.id)
+    amounts = ids.those_in(silver.select(c.id, c.amount)).groupBy(c.id).agg(F.sum(c.amount).alias("_amount"))
+    with runtime_filter(silver.sparkSession, ids):
+        totals = cut_lineage(
+            ids.rows.join(amounts, c.id)
+            .groupBy("_date", "_type")
+            .agg(money(F.sum(F.col("_n") * F.col("_amount"))).alias("daily_type_total"))
+        )
     return (
         rows.join(totals, same_group, "left")
         .select(

@@ -24,6 +24,7 @@ from ledgerstrata.sources.layers import (
     read_layer,
     write_layer,
 )
+from ledgerstrata.sources.keys import StoredKeys, runtime_filter, store_keys
 from ledgerstrata.sources.scratch import cut_lineage
 
 AMOUNT_LIMIT = 1_000_000
@@ -214,6 +215,9 @@ def run_silver(
     Dates that were stored before and share an id with ``dates``, in Bronze as it is or in Silver as
     it was, are cleaned again, and an id that another stored date holds stays there. Pass the
     returned dates on to ``run_gold``. Dates that got no rows are emptied. None means all dates.
+
+    Of other dates a run reads the id column only, and a Bloom filter over its own ids drops the rest
+    in the scan: what is shuffled grows with the run, not with the history.
     """
     c = DEFAULT
     bronze = read_layer(spark, paths.bronze, schemas.BRONZE)
@@ -223,20 +227,22 @@ def run_silver(
         return None
     dates = {str(d) for d in dates}
     stored = _stored_dates(spark, paths.silver) | _stored_dates(spark, paths.rejects)
-    todo = dates
-    if stored:
+    todo, keys = dates, None
+    if stored - dates:
         ids = only_dates(bronze, dates).select(c.id)
         if _stored_dates(spark, paths.silver):
             ids = ids.union(read_layer(spark, paths.silver, schemas.SILVER, dates).select(c.id))
-        # One scan of the ids of all dates; what comes back is a list of calendar dates.
-        shared = bronze.join(ids.distinct(), c.id, "left_semi").select(c.date).distinct().collect()
-        todo = dates | (stored & {str(r[0]) for r in shared})
+        keys = store_keys(ids, c.id)
+        todo = dates | dates_with_keys(bronze, keys, sorted(stored - dates), c)
     dates_todo = sorted(todo)
     taken = only_dates(bronze, dates_todo)
     elsewhere = stored - todo
     if elsewhere:
+        if todo != dates:
+            keys = store_keys(taken, c.id)
         held = read_layer(spark, paths.silver, schemas.SILVER, sorted(elsewhere)).select(c.id)
-        again = cut_lineage(taken.join(held.distinct(), c.id, "left_semi").select(c.id).distinct())
+        with runtime_filter(spark, keys):
+            again = cut_lineage(keys.those_in(held).distinct())
         later = taken.join(again, c.id, "left_semi").where(F.col(c.id).isNotNull())
         free = taken.join(again, c.id, "left_anti")
     else:
@@ -256,6 +262,15 @@ def run_silver(
     return dates_todo
 
 
+def dates_with_keys(
+    bronze: DataFrame, keys: StoredKeys, dates: Iterable[date | str], c: Columns = DEFAULT
+) -> set[str]:
+    """Which of ``dates`` hold an id of a set. Ids of these dates are scanned, and filtered there."""
+    found = keys.those_in(only_dates(bronze, dates, c).select(c.id, c.date)).select(c.date).distinct()
+    with runtime_filter(bronze.sparkSession, keys):
+        return {str(r[0]) for r in found.collect()}
+
+
 def _stored_dates(spark: SparkSession, path: str) -> set[str]:
     """Dates of a stored layer from its directories; none if it does not exist."""
     if not layer_exists(spark, path):
