@@ -371,6 +371,18 @@ _BODIES: dict[str, str] = {
     + ")",
 }
 
+# Queries that must give what another one does, from layers that are stored in another way.
+_ALIKE = {
+    "colocated_layer_counts": "recon_layer_counts",
+    "colocated_missing_in_silver": "recon_missing_in_silver",
+    "colocated_amount_discrepancy": "recon_amount_discrepancy",
+    "colocated_type_mismatch": "recon_type_mismatch",
+    "colocated_matched_by_type": "matched_by_type",
+    "digest_amount_discrepancy": "recon_amount_discrepancy",
+    "digest_silver_gold": "recon_silver_gold",
+}
+_BODIES |= {name: _BODIES[other] for name, other in _ALIKE.items()}
+
 
 def statements() -> dict[str, str]:
     return {

@@ -13,9 +13,15 @@ from ledgerstrata.operators import analytics, audits, reconcile
 from ledgerstrata.operators.percentiles import silver_percentiles
 from ledgerstrata.plans import jobs
 from ledgerstrata.plans.compaction import compact_layer
+from ledgerstrata.plans.digests import (
+    amount_discrepancy_by_digests,
+    silver_gold_by_digests,
+    store_digests,
+)
 from ledgerstrata.plans.jobs import LayerPaths
 from ledgerstrata.plans.quality import quality_report
 from ledgerstrata.sources import schemas
+from ledgerstrata.sources.buckets import read_colocated, write_bucketed
 from ledgerstrata.sources.catalog import register_layers, table_name
 from ledgerstrata.sources.layers import read_layer, read_table, stored_files, write_layer
 from ledgerstrata.sources.scratch import scratch_path
@@ -47,6 +53,37 @@ def _by_name(t: SampleLayers) -> DataFrame:
     return table.select("*", directory.alias("directory"))
 
 
+def _colocated(t: SampleLayers, operator: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """Store Bronze and the faulty Silver in buckets by id, and join them where they lie."""
+    names = []
+    for layer, df in (("bronze", t.bronze), ("silver", t.silver)):
+        path = scratch_path(t.spark, "buckets")
+        names.append(f"default.{layer}_{path.rpartition('-')[2]}")
+        write_bucketed(df, names[-1], path, buckets=8)
+    return operator(*read_colocated(t.spark, *names))
+
+
+def _discrepancy_by_digests(t: SampleLayers) -> DataFrame:
+    """Store the digests of Bronze and the faulty Silver, and join what differs."""
+    layers = _stored(t.bronze, schemas.BRONZE), _stored(t.silver, schemas.SILVER)
+    paths = [scratch_path(t.spark, "digests") for _ in layers]
+    for df, path, distinct in zip(layers, paths, (True, False)):
+        store_digests(df, path, ["transaction_id", "amount"], distinct=distinct)
+    return amount_discrepancy_by_digests(*layers, *paths)
+
+
+def _gold_by_digests(t: SampleLayers) -> DataFrame:
+    """Compare the faulty Gold with Silver twice; the second time only dates that differ."""
+    silver, gold = _stored(t.silver, schemas.SILVER), _stored(t.gold, schemas.GOLD)
+    paths = [scratch_path(t.spark, "digests") for _ in range(3)]
+    store_digests(
+        silver, paths[0], ["transaction_id", "transaction_type", "amount", "amount_valid"]
+    )
+    store_digests(gold, paths[1], ["transaction_type", "daily_total", "record_count"])
+    silver_gold_by_digests(silver, gold, *paths)
+    return silver_gold_by_digests(silver, gold, *paths)
+
+
 def _incremental(t: SampleLayers) -> LayerPaths:
     """Build all layers by two dated runs, each over every other date."""
     paths = LayerPaths(scratch_path(t.spark, "layers"))
@@ -129,6 +166,13 @@ QUERIES: dict[str, Callable[[SampleLayers], DataFrame]] = {
     "gold_build": lambda t: t.gold_clean,
     "layer_round_trip": lambda t: _stored(t.silver_clean, schemas.SILVER),
     "silver_by_name": _by_name,
+    "colocated_layer_counts": lambda t: _colocated(t, reconcile.recon_layer_counts),
+    "colocated_missing_in_silver": lambda t: _colocated(t, reconcile.recon_missing_in_silver),
+    "colocated_amount_discrepancy": lambda t: _colocated(t, reconcile.recon_amount_discrepancy),
+    "colocated_type_mismatch": lambda t: _colocated(t, reconcile.recon_type_mismatch),
+    "colocated_matched_by_type": lambda t: _colocated(t, reconcile.matched_by_type),
+    "digest_amount_discrepancy": _discrepancy_by_digests,
+    "digest_silver_gold": _gold_by_digests,
     "silver_incremental": lambda t: read_layer(t.spark, _incremental(t).silver, schemas.SILVER),
     "gold_incremental": lambda t: read_layer(t.spark, _incremental(t).gold, schemas.GOLD),
     "compaction": lambda t: _compacted(t.bronze),

@@ -1,0 +1,145 @@
+"""Reconciliation by digests against the plain joins, and what it leaves unread."""
+
+import shutil
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerstrata.operators import reconcile
+from ledgerstrata.plans.digests import (
+    amount_discrepancy_by_digests, differing_buckets, layer_digests, silver_gold_by_digests, store_digests,
+)
+from ledgerstrata.plans.jobs import build_gold, clean_silver
+from ledgerstrata.sources import schemas
+from ledgerstrata.sources.layers import read_layer, write_layer
+
+from .conftest import rows
+
+PAIR = ["transaction_id", "amount"]
+SILVER = ["transaction_id", "transaction_type", "amount", "amount_valid"]
+GOLD = ["transaction_type", "daily_total", "record_count"]
+
+
+def same(a, b):
+    assert a.columns == b.columns or sorted(a.columns) == sorted(b.columns)
+    return sorted(rows(a.select(b.columns)), key=repr) == sorted(rows(b), key=repr)
+
+
+def test_digests_do_not_depend_on_order_and_see_every_change(spark, make):
+    given = [("a", None, "1.00", "fee", "2024-01-01"), ("b", None, None, "fee", "2024-01-01"), (None, None, "1.00", "fee", None)]
+    base = make.bronze(*given)
+    digest = lambda df, **k: sorted(rows(layer_digests(df, PAIR, **k)), key=repr)
+    assert digest(base) == digest(make.bronze(*given[::-1]).repartition(3))
+    for i, other in enumerate([("a", None, "1.01", "fee", "2024-01-01"), ("b", None, "0.00", "fee", "2024-01-01"), ("x", None, "1.00", "fee", None)]):
+        changed = given.copy()
+        changed[i] = other
+        assert digest(base) != digest(make.bronze(*changed))
+    swapped = make.bronze(("a", None, None, "fee", "2024-01-01"), ("b", None, "1.00", "fee", "2024-01-01"), given[2])
+    assert digest(base) != digest(swapped)
+    assert digest(base) != digest(make.bronze(*given, given[0]))
+    assert digest(base, distinct=True) == digest(make.bronze(*given, given[0], given[2]), distinct=True)
+    assert digest(make.bronze()) == []
+
+
+@pytest.fixture(scope="module")
+def trees(stored, tmp_path_factory):
+    root = tmp_path_factory.mktemp("digests")
+    store_digests(stored.bronze, f"{root}/b", PAIR, distinct=True)
+    store_digests(stored.silver, f"{root}/s", PAIR)
+    store_digests(stored.silver, f"{root}/sg", SILVER)
+    store_digests(stored.gold, f"{root}/g", GOLD)
+    return str(root)
+
+
+def test_equals_the_join_on_faulty_layers(stored, trees):
+    got = amount_discrepancy_by_digests(stored.bronze, stored.silver, f"{trees}/b", f"{trees}/s")
+    assert same(got, reconcile.recon_amount_discrepancy(stored.bronze, stored.silver))
+    assert got.count() == 8
+
+
+def test_older_amounts_and_other_dates_are_found(spark, make, tmp_path):
+    bronze = make.bronze(
+        ("a", "2024-01-01 08:00:00", "1.00", "fee", "2024-01-01"),
+        ("a", "2024-01-02 08:00:00", "2.00", "fee", "2024-01-02"),
+        ("b", "2024-01-01 08:00:00", None, "fee", "2024-01-01"),
+        ("c", "2024-01-01 08:00:00", "4.00", "fee", None),
+        ("d", "2024-01-02 08:00:00", "5.00", "fee", "2024-01-02"),
+        ("d", "2024-01-02 08:00:00", "5.00", "fee", "2024-01-02"),
+    )
+    silver = clean_silver(bronze).withColumn("amount", F.when(F.col("transaction_id") == "b", 3).otherwise(F.col("amount")).cast("decimal(18,2)"))
+    store_digests(bronze, f"{tmp_path}/b", PAIR, distinct=True)
+    store_digests(silver, f"{tmp_path}/s", PAIR)
+    got = amount_discrepancy_by_digests(bronze, silver, f"{tmp_path}/b", f"{tmp_path}/s")
+    assert same(got, reconcile.recon_amount_discrepancy(bronze, silver))
+    assert sorted(rows(got, "transaction_id", "delta"), key=repr) == [("a", -1.0), ("b", None)]
+
+
+def clean_pair(sample):
+    bronze = sample.bronze.where("transaction_id IS NOT NULL AND booked_at IS NOT NULL AND transaction_type IS NOT NULL")
+    return bronze, clean_silver(bronze)
+
+
+def test_layers_that_agree_are_not_read(spark, sample, tmp_path):
+    bronze, silver = clean_pair(sample)
+    for name, df in (("bronze", bronze), ("silver", silver)):
+        write_layer(df, f"{tmp_path}/{name}")
+    bronze = read_layer(spark, f"{tmp_path}/bronze", schemas.BRONZE)
+    silver = read_layer(spark, f"{tmp_path}/silver", schemas.SILVER)
+    store_digests(bronze, f"{tmp_path}/b", PAIR, distinct=True)
+    store_digests(silver, f"{tmp_path}/s", PAIR)
+    assert differing_buckets(spark, f"{tmp_path}/b", f"{tmp_path}/s").isEmpty()
+    shutil.rmtree(tmp_path / "bronze")
+    shutil.rmtree(tmp_path / "silver")
+    got = amount_discrepancy_by_digests(bronze, silver, f"{tmp_path}/b", f"{tmp_path}/s")
+    assert got.collect() == []
+    assert got.columns == reconcile.recon_amount_discrepancy(bronze, silver).columns
+
+
+def test_dates_are_renewed_and_only_their_buckets_differ(spark, sample, tmp_path):
+    bronze, silver = clean_pair(sample)
+    store_digests(bronze, f"{tmp_path}/b", PAIR, distinct=True)
+    store_digests(silver, f"{tmp_path}/s", PAIR)
+    hit = silver.where("booked_date = DATE'2024-01-07'").orderBy("transaction_id").first()
+    changed = silver.withColumn(
+        "amount", F.when(F.col("transaction_id") == hit.transaction_id, F.lit(12.34)).otherwise(F.col("amount")).cast("decimal(18,2)")
+    )
+    store_digests(changed, f"{tmp_path}/s", PAIR, dates=["2024-01-07"])
+    assert [str(r[0]) for r in differing_buckets(spark, f"{tmp_path}/b", f"{tmp_path}/s").collect()] == ["2024-01-07"]
+    got = amount_discrepancy_by_digests(bronze, changed, f"{tmp_path}/b", f"{tmp_path}/s")
+    assert [r.transaction_id for r in got.collect()] == [hit.transaction_id]
+    # A date that has lost its rows loses its digests.
+    store_digests(silver.where("false"), f"{tmp_path}/s", PAIR, dates=["2024-01-07"])
+    left = spark.read.parquet(f"{tmp_path}/s/dates").where("booked_date = DATE'2024-01-07'")
+    assert left.isEmpty()
+
+
+def test_gold_is_recomputed_for_changed_dates_only(spark, stored, trees, tmp_path):
+    paths = f"{trees}/sg", f"{trees}/g", f"{tmp_path}/verified"
+    want = reconcile.recon_silver_gold(stored.silver, stored.gold)
+    first = silver_gold_by_digests(stored.silver, stored.gold, *paths)
+    assert rows(first) == rows(want)
+    # All but the dates that differ are now trusted: their Silver rows are not needed any more.
+    noted = {d for (d,) in rows(spark.read.parquet(paths[2]), "booked_date")}
+    wrong = want.where("total_delta <> 0 OR NOT silver_count <=> gold_count")
+    bad = {d for (d,) in rows(wrong, "booked_date")}
+    assert bad > {"2024-01-05", "2024-01-10"} and len(noted) > 10
+    assert noted == {f"2024-01-{d:02d}" for d in range(1, 31)} - bad - {"2024-01-20"}
+    part = stored.silver.where(F.col("booked_date").isin(*bad))
+    assert rows(silver_gold_by_digests(part, stored.gold, *paths)) == rows(want)
+    assert silver_gold_by_digests(part, stored.gold, *paths).schema == want.schema
+
+
+def test_a_changed_date_is_not_trusted_any_more(spark, sample, tmp_path):
+    silver, gold = sample.silver_clean, sample.gold_clean
+    paths = [f"{tmp_path}/{n}" for n in ("s", "g", "v")]
+    store_digests(silver, paths[0], SILVER)
+    store_digests(gold, paths[1], GOLD)
+    assert silver_gold_by_digests(silver, gold, *paths).where("total_delta <> 0").isEmpty()
+    less = silver.where("booked_date <> DATE'2024-01-04' OR transaction_type <> 'fee'")
+    store_digests(less, paths[0], SILVER, dates=["2024-01-04"])
+    got = silver_gold_by_digests(less, gold, *paths)
+    assert rows(got) == rows(reconcile.recon_silver_gold(less, gold))
+    assert rows(got.where("silver_count IS NULL"), "booked_date", "transaction_type") == [("2024-01-04", "fee")]
+    empty = build_gold(silver.where("false"))
+    store_digests(empty, paths[1], GOLD)
+    assert rows(silver_gold_by_digests(less, empty, *paths)) == rows(reconcile.recon_silver_gold(less, empty))
