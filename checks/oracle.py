@@ -360,6 +360,15 @@ _BODIES: dict[str, str] = {
     "layer_round_trip": "SELECT * REPLACE (amount::DOUBLE AS amount) FROM silver_clean",
     "silver_by_name": """SELECT * REPLACE (amount::DOUBLE AS amount),
         'booked_date=' || booked_date::VARCHAR AS directory FROM silver_clean""",
+    "bitmap_weekly_ids": """
+        SELECT date_trunc('week', booked_date)::DATE AS week_start,
+               count(DISTINCT transaction_id) AS distinct_ids
+        FROM bronze GROUP BY ALL""",
+    # Sketches promise ranks, not values: every percentile has to keep the promise.
+    "merged_percentile_ranks": """
+        SELECT transaction_type, count(amount) AS amounts,
+               true AS p25, true AS median, true AS p75, true AS p95
+        FROM silver_clean WHERE amount_valid GROUP BY ALL""",
     "silver_incremental": "SELECT * REPLACE (amount::DOUBLE AS amount) FROM silver_clean",
     "gold_incremental": "SELECT * REPLACE (daily_total::DOUBLE AS daily_total) FROM gold_clean",
     "compaction": "SELECT * REPLACE (amount::DOUBLE AS amount) FROM bronze",
@@ -380,6 +389,7 @@ _ALIKE = {
     "colocated_matched_by_type": "matched_by_type",
     "digest_amount_discrepancy": "recon_amount_discrepancy",
     "digest_silver_gold": "recon_silver_gold",
+    "bitmap_layer_counts": "recon_layer_counts",
 }
 _BODIES |= {name: _BODIES[other] for name, other in _ALIKE.items()}
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.layers import SampleLayers
-from ledgerstrata.operators import analytics, audits, reconcile
+from ledgerstrata.functions.exprs import week_start
+from ledgerstrata.operators import analytics, audits, reconcile, sketches
 from ledgerstrata.operators.percentiles import silver_percentiles
 from ledgerstrata.plans import jobs
 from ledgerstrata.plans.compaction import compact_layer
@@ -18,6 +19,12 @@ from ledgerstrata.plans.digests import (
     silver_gold_by_digests,
     store_digests,
 )
+from ledgerstrata.plans.distinct import (
+    distinct_ids,
+    layer_counts_by_bitmaps,
+    read_bitmaps,
+    store_bitmaps,
+)
 from ledgerstrata.plans.jobs import LayerPaths
 from ledgerstrata.plans.quality import quality_report
 from ledgerstrata.sources import schemas
@@ -84,6 +91,26 @@ def _gold_by_digests(t: SampleLayers) -> DataFrame:
     return silver_gold_by_digests(silver, gold, *paths)
 
 
+def _bitmaps(t: SampleLayers, *layers: DataFrame) -> list[DataFrame]:
+    """Number the ids of layers and store their bitmaps."""
+    dictionary, found = scratch_path(t.spark, "ids"), []
+    for df in layers:
+        path = scratch_path(t.spark, "bitmaps")
+        store_bitmaps(df, path, dictionary)
+        found.append(read_bitmaps(t.spark, path))
+    return found
+
+
+def _percentile_ranks(t: SampleLayers) -> DataFrame:
+    """Store a sketch for each date and type, merge all, and test each value's rank."""
+    path = scratch_path(t.spark, "sketches")
+    write_layer(sketches.daily_sketches(t.silver_clean), path)
+    merged = sketches.merged_percentiles(read_layer(t.spark, path))
+    off = sketches.rank_errors(t.silver_clean, merged)
+    within = [(F.col(n) <= sketches.RANK_ERROR).alias(n) for n in sketches.NAMES]
+    return off.select("transaction_type", "amounts", *within)
+
+
 def _incremental(t: SampleLayers) -> LayerPaths:
     """Build all layers by two dated runs, each over every other date."""
     paths = LayerPaths(scratch_path(t.spark, "layers"))
@@ -173,6 +200,11 @@ QUERIES: dict[str, Callable[[SampleLayers], DataFrame]] = {
     "colocated_matched_by_type": lambda t: _colocated(t, reconcile.matched_by_type),
     "digest_amount_discrepancy": _discrepancy_by_digests,
     "digest_silver_gold": _gold_by_digests,
+    "bitmap_layer_counts": lambda t: layer_counts_by_bitmaps(*_bitmaps(t, t.bronze, t.silver)),
+    "bitmap_weekly_ids": lambda t: distinct_ids(
+        *_bitmaps(t, t.bronze), week_start("booked_date").alias("week_start")
+    ),
+    "merged_percentile_ranks": _percentile_ranks,
     "silver_incremental": lambda t: read_layer(t.spark, _incremental(t).silver, schemas.SILVER),
     "gold_incremental": lambda t: read_layer(t.spark, _incremental(t).gold, schemas.GOLD),
     "compaction": lambda t: _compacted(t.bronze),
