@@ -11,7 +11,6 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-import unicodedata
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -21,6 +20,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerstrata.llm.characters import lower, normal, split
 from ledgerstrata.llm.text import MEMORY
 
 # Ids take this many bits, which leaves room for vocabularies of a million tokens.
@@ -137,10 +137,7 @@ class Bpe:
         return [x for x in ids if x >= 0]
 
     def pre_tokens(self, text: str) -> list[str]:
-        if self.lower:
-            # Each character by itself: sigma has one lower form wherever it stands.
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        return self.pattern.findall(text)
+        return split(self.pattern, lower(normal(text)) if self.lower else text)
 
     def _word(self, word: str) -> list[int]:
         known = self._words

@@ -150,7 +150,7 @@ class PrefixCounter:
         return counts
 
     def _count_chunk(self, chunk: str) -> int:
-        return sum(self.word_counts(word)[-1] for word in self._bpe.pattern.findall(chunk))
+        return sum(self.word_counts(word)[-1] for word in self._bpe.pre_tokens(chunk))
 
     def _plain_chunks(self, text: str) -> list[str]:
         """Cut a text where its pre-tokens cannot span: before a blank between two other characters."""
@@ -158,13 +158,14 @@ class PrefixCounter:
         chunks = [parts[0], *[" " + p for p in parts[1:]]]
         if not _BLANKS.search(text):
             return chunks
-        out: list[str] = [chunks[0]]
+        groups: list[list[str]] = [[chunks[0]]]
         for part, chunk in zip(parts[1:], chunks[1:]):
-            if out[-1][-1:].isspace() or not out[-1] or not part or part[0].isspace():
-                out[-1] += chunk
+            last = groups[-1][-1]
+            if last[-1:].isspace() or not last or not part or part[0].isspace():
+                groups[-1].append(chunk)
             else:
-                out.append(chunk)
-        return out
+                groups.append([chunk])
+        return ["".join(g) for g in groups]
 
     def _learn(self, chunks: set[str]) -> None:
         """Remember new chunks; of the older ones only those that are still in use."""
@@ -224,7 +225,7 @@ class PrefixCounter:
         out: list[int] = []
         total, place = 0, 0
         blank_from, before_blank = -1, 0
-        for word in self._bpe.pattern.findall(text):
+        for word in self._bpe.pre_tokens(text):
             counts = self.word_counts(word)
             # Counts at the ends of characters, which have one to four bytes.
             ends = list(accumulate(len(c.encode("utf-8", "replace")) for c in word))
