@@ -2,8 +2,8 @@
 
 Stages take (spark, docs, sf_dir) and return a DataFrame; all but the last return the columns of
 ``docs``. Each works on everything its predecessor kept. NULL texts and texts without words fall at the
-quality stage; a NULL language or source is a value like any other; extra columns are carried along up
-to the last stage. An empty table passes through all stages as an empty table.
+quality stage; a NULL language or source is a value like any other; extra columns of any type are
+carried along up to the last stage. An empty table passes through all stages as an empty table.
 """
 
 from __future__ import annotations
@@ -60,27 +60,56 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mild_documents(docs, model, below=TOXIC_FROM)
 
 
+def _hashable(docs: DataFrame) -> list[Column]:
+    """All columns in a form that can be hashed; maps, also inner ones, as JSON."""
+    kinds = dict(docs.dtypes)
+    return [
+        F.to_json(F.struct(c)) if "map<" in kinds[c] else F.col(c) for c in docs.columns
+    ]
+
+
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """Documents with a number that only repeated rows share, and its name.
+
+    The number is a 64-bit hash of all columns. Of ten billion rows about three pairs are expected to
+    share one by chance; a second hash finds them, and these rows (a list that grows with the square
+    of the rows over 2^65) get a number made of both.
+    """
+    name = "_key"
+    while name in docs.columns or f"{name}_2" in docs.columns:
+        name += "_"
+    second = f"{name}_2"
+    cols = _hashable(docs)
+    hashes = [F.xxhash64(F.lit(seed), *cols, *[c.isNull() for c in cols]) for seed in (1, 2)]
+    keyed = docs.withColumns({name: hashes[0], second: hashes[1]})
+    by_chance = (
+        keyed.groupBy(name)
+        .agg(F.min(second).alias("a"), F.max(second).alias("b"))
+        .where("a <> b")
+        .select(name)
+    )
+    shared = [r[0] for r in by_chance.collect()]
+    if shared:
+        both = F.when(F.col(name).isin(shared), F.xxhash64(name, second)).otherwise(F.col(name))
+        keyed = keyed.withColumn(name, both)
+    return keyed.drop(second), name
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, the one of least id (operator 9).
 
     Groups are found between rows, named by a hash of all columns, so that each row follows its own
     verdict whatever its id: rows that share an id are judged apart, and a row without id stays only
-    where no other of its group stays. Of repeated rows one stays.
+    where no other of its group stays. Of repeated rows one stays; they are reduced to one row before
+    verdicts and ids are brought together.
     """
     make_importable(spark)
-    keyed, key = _keyed(docs, *docs.columns)
-    cols = [F.col(c) for c in docs.columns]
-    # A number, as near_duplicates takes no other ids.
-    keyed = keyed.withColumn(key, F.xxhash64(*cols, *[c.isNull() for c in cols]))
-    found = near_duplicates(keyed, id_column=key).select(key, "component_id")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", key)
-    stays = (
-        found.join(keyed.select(key, "doc_id"), key)
-        .groupBy("component_id")
-        .agg(F.min_by(key, order).alias(key))
-        .select(key)
-    )
-    return keyed.join(stays, key, "left_semi").select(*docs.columns).distinct()
+    keyed, key = _numbered(docs)
+    found = near_duplicates(keyed, id_column=key).groupBy(key).agg(F.min("component_id").alias("component_id"))
+    ids = keyed.groupBy(key).agg(F.min("doc_id").alias("_doc"))
+    order = F.struct(F.col("_doc").isNull(), "_doc", key)
+    stays = found.join(ids, key).groupBy("component_id").agg(F.min_by(key, order).alias(key)).select(key)
+    return keyed.join(stays, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
