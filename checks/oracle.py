@@ -76,6 +76,7 @@ _VALID = """), valid AS (
 _ON_WHOLE_LAYERS = """
     silver_partitions gold_partitions silver_sample silver_validity_by_day silver_type_breakdown silver_flagged silver_running_balance
     silver_percentiles silver_daily_totals silver_weekly silver_top3_per_day silver_liquidity_ratio
+    carried_running_balance carried_day_over_day carried_gold_cumulative
     silver_percentiles_approx silver_day_over_day lifetime_balance daily_pivot gold_sample gold_by_day gold_by_type gold_cumulative gold_weekly
 """.split()
 
@@ -390,6 +391,9 @@ _ALIKE = {
     "digest_amount_discrepancy": "recon_amount_discrepancy",
     "digest_silver_gold": "recon_silver_gold",
     "bitmap_layer_counts": "recon_layer_counts",
+    "carried_running_balance": "silver_running_balance",
+    "carried_day_over_day": "silver_day_over_day",
+    "carried_gold_cumulative": "gold_cumulative",
 }
 _BODIES |= {name: _BODIES[other] for name, other in _ALIKE.items()}
 

@@ -12,7 +12,7 @@ from checks.layers import SampleLayers
 from ledgerstrata.functions.exprs import week_start
 from ledgerstrata.operators import analytics, audits, reconcile, sketches
 from ledgerstrata.operators.percentiles import silver_percentiles
-from ledgerstrata.plans import jobs
+from ledgerstrata.plans import carries, jobs
 from ledgerstrata.plans.compaction import compact_layer
 from ledgerstrata.plans.digests import (
     amount_discrepancy_by_digests,
@@ -111,6 +111,16 @@ def _percentile_ranks(t: SampleLayers) -> DataFrame:
     return off.select("transaction_type", "amounts", *within)
 
 
+def _running(values: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Store running totals with a lost and a wrong date, correct these dates, and read all."""
+    spark, path = values.sparkSession, scratch_path(values.sparkSession, "running")
+    wrong = F.when(F.col("booked_date") == "2024-01-09", F.col("value") + 1).otherwise(F.col("value"))
+    lost = values.where("booked_date <> DATE'2024-01-20'")
+    carries.store_running(lost.withColumn("value", wrong.cast("decimal(38,2)")), path, by)
+    carries.store_running(values, path, by, dates=["2024-01-09", "2024-01-20"])
+    return carries.read_running(spark, path, by)
+
+
 def _incremental(t: SampleLayers) -> LayerPaths:
     """Build all layers by two dated runs, each over every other date."""
     paths = LayerPaths(scratch_path(t.spark, "layers"))
@@ -205,6 +215,15 @@ QUERIES: dict[str, Callable[[SampleLayers], DataFrame]] = {
         *_bitmaps(t, t.bronze), week_start("booked_date").alias("week_start")
     ),
     "merged_percentile_ranks": _percentile_ranks,
+    "carried_running_balance": lambda t: carries.running_balance(
+        _running(carries.daily_net(t.silver_clean))
+    ),
+    "carried_day_over_day": lambda t: carries.day_over_day(
+        _running(carries.daily_net(t.silver_clean))
+    ),
+    "carried_gold_cumulative": lambda t: carries.cumulative(
+        _running(carries.daily_gold(t.gold_clean), ("transaction_type",))
+    ),
     "silver_incremental": lambda t: read_layer(t.spark, _incremental(t).silver, schemas.SILVER),
     "gold_incremental": lambda t: read_layer(t.spark, _incremental(t).gold, schemas.GOLD),
     "compaction": lambda t: _compacted(t.bronze),
