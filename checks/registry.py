@@ -13,7 +13,7 @@ from ledgerstrata.functions.exprs import week_start
 from ledgerstrata.operators import analytics, audits, reconcile, sketches
 from ledgerstrata.operators.percentiles import silver_percentiles
 from ledgerstrata.plans import carries, jobs
-from ledgerstrata.plans.compaction import compact_layer
+from ledgerstrata.plans.compaction import compact_layer, compact_published
 from ledgerstrata.plans.digests import (
     amount_discrepancy_by_digests,
     silver_gold_by_digests,
@@ -31,6 +31,7 @@ from ledgerstrata.sources import schemas
 from ledgerstrata.sources.buckets import read_colocated, write_bucketed
 from ledgerstrata.sources.catalog import register_layers, table_name
 from ledgerstrata.sources.layers import read_layer, read_table, stored_files, write_layer
+from ledgerstrata.sources.published import publish_layer, read_published
 from ledgerstrata.sources.scratch import scratch_path
 
 
@@ -131,6 +132,17 @@ def _incremental(t: SampleLayers) -> LayerPaths:
     return paths
 
 
+def _published(t: SampleLayers) -> DataFrame:
+    """Publish Silver with a wrong and a needless date, correct both at once, compact, and read it."""
+    spark, root = t.spark, scratch_path(t.spark, "published")
+    silver, wrong = t.silver_clean, F.col("booked_date") == "2024-01-09"
+    needless = silver.where(wrong).withColumn("booked_date", F.lit("1999-12-31").cast("date"))
+    publish_layer(silver.where(~wrong | F.col("booked_date").isNull()).unionByName(needless), root)
+    publish_layer(silver.where(wrong), root, dates=["1999-12-31"], clear=True)
+    compact_published(spark, root, schemas.SILVER)
+    return read_published(spark, root, schemas.SILVER)
+
+
 def _quality_report(t: SampleLayers) -> DataFrame:
     """Silver and Gold serve several rules each, so they are stored once."""
     return quality_report(
@@ -203,6 +215,7 @@ QUERIES: dict[str, Callable[[SampleLayers], DataFrame]] = {
     "gold_build": lambda t: t.gold_clean,
     "layer_round_trip": lambda t: _stored(t.silver_clean, schemas.SILVER),
     "silver_by_name": _by_name,
+    "published_corrections": _published,
     "colocated_layer_counts": lambda t: _colocated(t, reconcile.recon_layer_counts),
     "colocated_missing_in_silver": lambda t: _colocated(t, reconcile.recon_missing_in_silver),
     "colocated_amount_discrepancy": lambda t: _colocated(t, reconcile.recon_amount_discrepancy),

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ledgerstrata.columns import DEFAULT, Columns
 from ledgerstrata.sources.layers import file_sizes, only_dates, read_layer, write_layer
+from ledgerstrata.sources.published import publish_layer, published_files, read_published
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
@@ -27,9 +28,12 @@ def scattered_dates(
 
     Rows without date stay in the files they have.
     """
+    return _scattered(only_dates(file_sizes(spark, path, c), dates, c), target_bytes, c)
+
+
+def _scattered(files: DataFrame, target_bytes: int, c: Columns) -> DataFrame:
     return (
-        only_dates(file_sizes(spark, path, c), dates, c)
-        .where(F.col(c.date).isNotNull())
+        files.where(F.col(c.date).isNotNull())
         .groupBy(c.date)
         .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
         .withColumn("wanted", F.ceil(F.col("bytes") / target_bytes))
@@ -64,6 +68,27 @@ def compact_layer(
     return True
 
 
+def compact_published(
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType,
+    target_bytes: int = TARGET_FILE_BYTES,
+    dates: Iterable[date | str] | None = None,
+    c: Columns = DEFAULT,
+) -> bool:
+    """As ``compact_layer``, for a published layer: readers see the old files or the new ones.
+
+    A driver lost at any moment leaves the layer as it was, and nothing has to be run again.
+    """
+    todo = _scattered(only_dates(published_files(spark, root, c), dates, c), target_bytes, c)
+    found = [r[0] for r in todo.select(c.date).collect()]  # one row per calendar date
+    if not found:
+        return False
+    with _advisory_size(spark, target_bytes):
+        publish_layer(read_published(spark, root, schema, found, c=c), root, c)
+    return True
+
+
 @contextmanager
 def _advisory_size(spark: SparkSession, size: int) -> Iterator[None]:
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"

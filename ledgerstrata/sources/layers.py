@@ -66,7 +66,8 @@ def write_layer(
             _delete(spark, directory)
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """Hadoop file system of a path, and the path."""
     jvm = spark._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
@@ -76,7 +77,7 @@ def _date_files(
     spark: SparkSession, path: str, c: Columns, dates: Iterable[date | str] | None
 ) -> dict[str, set[str]]:
     """Data files by date directory, from listings of the given dates, or of all of them."""
-    fs, root = _file_system(spark, path)
+    fs, root = file_system(spark, path)
     if not fs.exists(root):
         return {}
     if dates is None:
@@ -93,7 +94,7 @@ def _date_files(
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    fs, where = _file_system(spark, path)
+    fs, where = file_system(spark, path)
     fs.delete(where, True)
 
 
@@ -146,7 +147,7 @@ def layer_dates(spark: SparkSession, path: str, c: Columns = DEFAULT) -> DataFra
 
 def layer_exists(spark: SparkSession, path: str) -> bool:
     """Whether a stored layer has any data file."""
-    fs, root = _file_system(spark, path)
+    fs, root = file_system(spark, path)
     return fs.exists(root) and any(
         s.isDirectory() and s.getPath().getName()[0] not in "._" for s in fs.listStatus(root)
     )
