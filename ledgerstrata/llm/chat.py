@@ -70,11 +70,15 @@ def loss_spans(turns: Column) -> Column:
     return F.aggregate(turns, empty, step, lambda s: s["spans"])
 
 
+_RESULTS = ("n_common", "prompt", "chosen", "rejected", "chosen_spans", "rejected_spans")
+
+
 def format_preferences(pairs: DataFrame) -> DataFrame:
     """Columns ``n_common``, ``prompt``, ``chosen``, ``rejected``, ``chosen_spans`` and
     ``rejected_spans`` in place of the arrays of turns ``chosen`` and ``rejected``.
 
-    Other columns are kept. Two equal conversations leave empty completions; if nothing is shared the
+    Other columns are kept, but for those named like a result (``prompt``, say; upper and lower case
+    are one): the result takes their place. A column must be left that names the pairs. Two equal conversations leave empty completions; if nothing is shared the
     prompt is empty. A NULL array counts as no turns. A role or text in a turn that is NULL counts as
     empty. Repeated pairs are kept, and an empty table gives no rows.
     """
@@ -90,13 +94,14 @@ def format_preferences(pairs: DataFrame) -> DataFrame:
             ),
         )
 
-    others = [c for c in pairs.columns if c not in ("chosen", "rejected")]
+    others = [c for c in pairs.columns if c.lower() not in _RESULTS]
     if not others:
         raise ValueError("pairs need a column that names them")
     n = F.col("_n")
     rest = lambda name: F.slice(F.col(name), n + 1, F.greatest(F.size(F.col(name)), F.lit(1)))
+    kept = [F.col(f"`{c.replace('`', '``')}`") for c in others]
     return (
-        pairs.select(F.struct(*others).alias("_others"), plain("chosen").alias("_chosen"), plain("rejected").alias("_rejected"))
+        pairs.select(F.struct(*kept).alias("_others"), plain("chosen").alias("_chosen"), plain("rejected").alias("_rejected"))
         .withColumn("_n", common_prefix(F.col("_chosen"), F.col("_rejected")))
         .select(
             "_others.*",
@@ -115,7 +120,8 @@ def swapped_replies(conversations: DataFrame) -> DataFrame:
 
     Chosen is a conversation up to its last assistant turn. Rejected is the same with that turn
     replaced by the last assistant turn of its neighbour (ids 2k and 2k + 1 are neighbours), or
-    without it where the neighbour has none. Conversations without assistant turn give no pair.
+    without it where the neighbour has none. Conversations without assistant turn give no pair. Ids
+    are whole numbers; of replies with equal turn numbers the one of the largest text counts.
     """
     convs = turns_of(conversations)
     replies = F.filter(

@@ -65,3 +65,13 @@ def test_turns_and_swapped_replies(spark):
     got = {r.conv_id: ([t.text for t in r.chosen], [t.text for t in r.rejected]) for r in swapped_replies(convs).collect()}
     assert got == {2: (["q2", "a2"], ["q2", "a3"]), 3: (["q3", "a3", "a3"], ["q3", "a3", "a2"]), 4: ([""], [])}
     assert swapped_replies(convs.limit(0)).count() == 0
+
+
+def test_columns_named_like_results_give_way(spark, tmp_path):
+    df = spark.createDataFrame([(1, [("user", "a")], [("user", "b")])], PAIRS)
+    for name in ("Prompt", "n_common", "chosen_spans", "rejected_spans", "a.b"):
+        df = df.withColumn(name, F.lit("old"))
+    got = format_preferences(df)
+    assert got.columns == ["pair_id", "a.b", "n_common", "prompt", "chosen", "rejected", "chosen_spans", "rejected_spans"]
+    got.write.parquet(str(tmp_path / "out"))
+    assert got.first().prompt == "" and got.first()["a.b"] == "old"
