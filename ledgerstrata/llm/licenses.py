@@ -1,8 +1,8 @@
 """Licence notices and identifier tags in texts.
 
 One Aho-Corasick pass over the words of a text finds all notice phrases and the words of identifier
-tags. Where a tag stands, the licence expression behind it is read by a shunting-yard parser and
-evaluated: of alternatives (``or``) the mildest terms count, of joint licences (``and``) the
+tags. Where a tag stands, the longest well-formed licence expression behind it is read by a shunting-yard
+parser and evaluated: of alternatives (``or``) the mildest terms count, of joint licences (``and``) the
 strictest, and an exception (``with``) softens a reciprocal licence.
 """
 
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerstrata.llm.text import plain_words
+from ledgerstrata.llm.text import plain_words, separate
 
 # Base phrases and their labels.
 BASE_PHRASES = {
@@ -46,22 +46,49 @@ PHRASES = {
     "all rights reserved": "all-rights-reserved",
 }
 _TAG_WORDS = "spdx license identifier"
-_TAG = re.compile(r"spdx-license-identifier:[ \t]*([^\r\n]*)", re.IGNORECASE)
+_TAG = b"spdx-license-identifier:"
+_WORD = re.compile(rb"[^ ]+")
 _TOKEN = re.compile(r"\(|\)|[A-Za-z0-9][A-Za-z0-9.+:-]*")
+_NEXT = re.compile(rf"[ \t]*({_TOKEN.pattern})")
 _PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
 # Terms, from mild to strict, by the beginning of an identifier; the longest beginning counts.
-TERMS = ("permissive", "reciprocal", "non-commercial", "reserved")
+TERMS = ("permissive", "reciprocal", "non-commercial", "unknown", "reserved")
+UNKNOWN = TERMS.index("unknown")
 _TERM_OF = {
+    "0bsd": 0, "apache": 0, "bsd": 0, "bsl": 0, "cc-by": 0, "cc0": 0, "isc": 0, "mit": 0, "unlicense": 0, "zlib": 0,
     "gpl": 1, "lgpl": 1, "agpl": 1, "mpl": 1, "epl": 1, "cc-by-sa": 1,
-    "cc-by-nc": 2, "cc-by-nd": 2, "all-rights-reserved": 3, "proprietary": 3,
+    "cc-by-nc": 2, "cc-by-nd": 2, "all-rights-reserved": 4, "proprietary": 4,
 }
 
 
 def term_of(identifier: str) -> int:
-    """How strict a licence is; unknown ones count as permissive."""
-    known = [k for k in _TERM_OF if identifier.startswith(k)]
-    return _TERM_OF[max(known, key=len)] if known else 0
+    """How strict a licence is. Of one that is not known nothing can be granted: it has a term of its
+    own, stricter than those of known public licences."""
+    known = [k for k in _TERM_OF if identifier == k or re.match(re.escape(k) + "[-+.]", identifier)]
+    return _TERM_OF[max(known, key=len)] if known else UNKNOWN
+
+
+def leading_expression(text: str) -> str:
+    """The longest well-formed expression that ``text`` begins with; empty if it begins with none.
+
+    Tokens follow one another with blanks or tabs between them. What cannot continue an expression
+    ends it: two identifiers in a row, another character, a dot, comma or semicolon behind a token.
+    """
+    at = depth = end = 0
+    operand_next, ended = True, False
+    while not ended and (found := _NEXT.match(text, at)):
+        whole = found[1]
+        token = whole.lower().rstrip(".")
+        ended, at = token != whole.lower(), found.start(1) + len(token)
+        joins = token in _PRECEDENCE or token == ")"
+        if operand_next == joins or (token == ")" and not depth):
+            break
+        depth += (token == "(") - (token == ")")
+        operand_next = token in _PRECEDENCE or token == "("
+        if not operand_next and not depth:
+            end = at
+    return text[:end].strip()
 
 
 def to_postfix(tokens: list[str]) -> list[str] | None:
@@ -154,30 +181,31 @@ class Scanner:
         places: list[int] = []
         base: set[str] = set()
         labels: set[str] = set()
-        hits = tags = 0
+        tags: list[int] = []
+        hits = covered = 0
         word = at = 0
         term: int | None = None
         for end, (size, is_tag, found) in sorted(self._found.iter(line), key=lambda x: x[0] - x[1][0]):
             start = end - size + 1
-            if is_tag:
-                tags += 1
-                continue
-            hits += 1
             # Word number: one blank stands before each word.
             word += line.count(" ", at, start)
             at = start
+            if is_tag:
+                tags.append(word)
+                continue
+            # Phrases that overlap are one notice; the blank between two of them is in both.
+            hits += start >= covered - 1
+            covered = max(covered, end + 1)
             for label, is_base in found:
                 labels.add(label)
                 if is_base:
                     base.add(label)
                     places.append(word)
                 term = max(term or 0, term_of(label))
-        if tags:
-            for match in _TAG.finditer(text):
-                expression = evaluate(match[1])
-                labels.update(expression.identifiers)
-                if expression.term is not None:
-                    term = max(term or 0, expression.term)
+        read = [e for e in self._expressions(text, tags) if e.term is not None] if tags else []
+        for expression in read:
+            labels.update(expression.identifiers)
+            term = max(term or 0, expression.term)
         return (
             len(words),
             len(places),
@@ -185,10 +213,23 @@ class Scanner:
             max(places, default=None),
             ",".join(sorted(base)),
             ",".join(sorted(labels)),
-            1.0 - 0.5 ** min(hits + 2 * tags, 60),
+            1.0 - 0.5 ** min(hits + 2 * len(read), 60),
             None if term is None else TERMS[term],
         )
 
+    @staticmethod
+    def _expressions(text: str, tags: list[int]) -> Iterator[Expression]:
+        """Expressions behind the tags whose first words have these numbers, up to the ends of lines."""
+        own, separated = text.encode("utf-8", "replace"), separate(text)
+        starts = enumerate(m.start() for m in _WORD.finditer(separated))
+        for number in tags:
+            at = next(start for i, start in starts if i == number)
+            if own[at : at + len(_TAG)].lower() != _TAG:
+                continue
+            line_end = min((e for e in (own.find(b"\n", at), own.find(b"\r", at)) if e >= 0), default=len(own))
+            rest = own[at + len(_TAG) : line_end].decode("utf-8", "replace")
+            yield evaluate(leading_expression(rest))
+
 
 _COLUMNS = {
     "n_words": pa.int64(), "n_base": pa.int64(), "first_word": pa.int64(), "last_word": pa.int64(),
@@ -209,9 +250,11 @@ def scan_licenses(
     ``n_base`` counts all places of base phrases, ``first_word`` and ``last_word`` are the least and
     largest of them (NULL without any). ``labels`` adds those of longer phrases, of ``phrases`` (phrase
     in words to label) and the identifiers of tagged expressions; both lists are distinct, sorted and
-    joined by commas. ``score`` grows from 0 (nothing found) towards 1 with the notices and tags.
-    ``terms`` is the strictest of what was found, NULL if nothing was. A malformed expression gives
-    its identifiers but no terms.
+    joined by commas. ``score`` grows from 0 (nothing found) towards 1 with the notices (overlapping
+    phrases are one) and the tags that an expression follows, which count twice. ``terms`` is the
+    strictest of what was found, NULL if nothing was; licences and labels that are not known are
+    ``unknown``. Of the text behind a tag the longest well-formed expression counts: prose behind it
+    gives no labels, and a tag without one gives nothing.
 
     NULL and empty texts have no words and labels. Repeated rows and NULL ids are kept, other columns
     ignored, and an empty table gives no rows.

@@ -39,9 +39,14 @@ _SEPARATE = bytes(
 )
 
 
+def separate(text: str) -> bytes:
+    """UTF-8 with A-Z lower-cased and a space in place of each byte that is not part of a plain word."""
+    return text.encode("utf-8", "replace").translate(_SEPARATE)
+
+
 def plain_words(text: str | None) -> list[bytes]:
     """UTF-8 words: runs of ASCII letters (lower-cased), ASCII digits and other characters."""
-    return text.encode("utf-8", "replace").translate(_SEPARATE).split() if text else []
+    return separate(text).split() if text else []
 
 
 # Characters or bytes of words and chunks that a memory holds at most, besides those of one text.

@@ -1,8 +1,21 @@
 """Licence scans against SQL and plain Python."""
 
+import random
+import re
+
 import pytest
 
-from ledgerstrata.llm.licenses import BASE_PHRASES, Scanner, evaluate, scan_licenses, to_postfix
+from ledgerstrata.llm.licenses import (
+    BASE_PHRASES,
+    PHRASES,
+    TERMS,
+    Scanner,
+    evaluate,
+    leading_expression,
+    scan_licenses,
+    term_of,
+    to_postfix,
+)
 from ledgerstrata.llm.text import plain_words
 
 WORDS = r"""
@@ -65,6 +78,77 @@ def test_postfix_order():
     assert to_postfix(["a", "b"]) is None and to_postfix(["and"]) is None and to_postfix([")"]) is None
 
 
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        (" MIT see the file for details", "MIT"),
+        ("MIT OR", "MIT"),
+        ("((MIT)", ""),
+        ("(MIT OR GPL-2.0) */ and more", "(MIT OR GPL-2.0)"),
+        ("MIT. And then", "MIT"),
+        ("GPL-2.0+ WITH x AND (MIT", "GPL-2.0+ WITH x"),
+        ("MIT) OR x", "MIT"),
+        ("OR MIT", ""),
+        ("; MIT", ""),
+        ("", ""),
+    ],
+)
+def test_longest_well_formed_expression(text, want):
+    assert leading_expression(text) == want
+
+
+def test_leading_expression_is_the_longest_prefix_that_parses():
+    rng = random.Random(31)
+    for _ in range(3000):
+        tokens = [rng.choice(["mit", "gpl-2.0", "or", "and", "with", "(", ")"]) for _ in range(rng.randint(0, 8))]
+        good = [n for n in range(len(tokens) + 1) if to_postfix(tokens[:n]) is not None]
+        # A prefix that cannot be continued ends the search; the parser refuses all that follow as well.
+        assert leading_expression(" ".join(tokens)) == " ".join(tokens[: max(good, default=0)])
+
+
+def plain_scan(text, extra):
+    """Labels, score and terms without an automaton: words one by one, tags by a regular expression."""
+    words = [w.decode() for w in plain_words(text)]
+    table = [*BASE_PHRASES.items(), *PHRASES.items(), *extra.items()]
+    found = []
+    for phrase, label in table:
+        own = phrase.split()
+        found += [(i, i + len(own), label) for i in range(len(words)) if words[i : i + len(own)] == own]
+    labels, strict = {x[2] for x in found}, [term_of(x[2]) for x in found]
+    notices, covered = 0, 0
+    for start, end, _ in sorted(found):
+        notices += start >= covered
+        covered = max(covered, end)
+    for rest in re.findall(r"(?i)(?<![A-Za-z0-9\x80-\U0010ffff])spdx-license-identifier:(?=([^\r\n]*))", text):
+        got = evaluate(leading_expression(rest))
+        if got.term is not None:
+            labels.update(got.identifiers)
+            strict.append(got.term)
+            notices += 2
+    return ",".join(sorted(labels)), 1 - 0.5 ** min(notices, 60), TERMS[max(strict)] if strict else None
+
+
+def test_labels_score_and_terms_equal_a_plain_scan():
+    rng = random.Random(32)
+    extra = {"apache license mit": "both", "own words": "own"}
+    pieces = ["GNU General Public License", "version 3", "apache license", "mit license", "license", "CC BY", "-SA",
+              "own words", "x", "spdx license identifier", "\n", "all rights reserved", "cc0",
+              "SPDX-License-Identifier: MIT", "spdx-license-identifier:", "SPDX-License-Identifier: GPL-2.0 OR (a",
+              "// SPDX-License-Identifier:\tLicenseRef-Own AND MIT read", "\r", "é", "xSPDX-License-Identifier: BSD"]
+    scanner = Scanner(extra)
+    for _ in range(3000):
+        text = rng.choice([" ", " - "]).join(rng.choice(pieces) for _ in range(rng.randint(0, 9)))
+        assert scanner(text)[5:] == plain_scan(text, extra), text
+
+
+def test_terms_and_tags_without_expression():
+    assert Scanner()("SPDX-License-Identifier: LicenseRef-Own")[5:] == ("licenseref-own", 0.75, "unknown")
+    assert Scanner()("SPDX-License-Identifier: LicenseRef-Own OR MIT")[7] == "permissive"
+    assert Scanner()("SPDX-License-Identifier: ?? x")[5:] == ("", 0.0, None)
+    assert Scanner()("gnu general public license version 2")[6] == 0.5
+    assert TERMS[term_of("mitre")] == "unknown" and TERMS[term_of("mit-0")] == "permissive"
+
+
 def test_tags_and_odd_documents(spark, odd_docs):
     text = "// SPDX-License-Identifier: Apache-2.0 OR (GPL-2.0 WITH x)\nReleased under the MIT License."
     got = Scanner()(text)
