@@ -359,6 +359,7 @@ _BODIES: dict[str, str] = {
         GROUP BY ALL""",
     "gold_build": "SELECT * REPLACE (daily_total::DOUBLE AS daily_total) FROM gold_clean",
     "layer_round_trip": "SELECT * REPLACE (amount::DOUBLE AS amount) FROM silver_clean",
+    "arrivals_bronze": "SELECT * REPLACE (amount::DOUBLE AS amount) FROM bronze",
     "published_corrections": "SELECT * REPLACE (amount::DOUBLE AS amount) FROM silver_clean",
     "silver_by_name": """SELECT * REPLACE (amount::DOUBLE AS amount),
         'booked_date=' || booked_date::VARCHAR AS directory FROM silver_clean""",
