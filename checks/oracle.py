@@ -374,6 +374,7 @@ _BODIES: dict[str, str] = {
         FROM silver_clean WHERE amount_valid GROUP BY ALL""",
     "silver_incremental": "SELECT * REPLACE (amount::DOUBLE AS amount) FROM silver_clean",
     "gold_incremental": "SELECT * REPLACE (daily_total::DOUBLE AS daily_total) FROM gold_clean",
+    "clustered_layer": "SELECT * REPLACE (amount::DOUBLE AS amount) FROM bronze",
     "compaction": "SELECT * REPLACE (amount::DOUBLE AS amount) FROM bronze",
     "quality_report": "SELECT *, failing = 0 AS passed FROM (\n"
     + "\nUNION ALL\n".join(

@@ -14,6 +14,7 @@ from ledgerstrata.operators import analytics, audits, reconcile, sketches
 from ledgerstrata.operators.percentiles import silver_percentiles
 from ledgerstrata.plans import carries, jobs
 from ledgerstrata.plans.compaction import compact_layer, compact_published
+from ledgerstrata.plans.curve import cluster_layer
 from ledgerstrata.plans.digests import (
     amount_discrepancy_by_digests,
     silver_gold_by_digests,
@@ -178,6 +179,15 @@ def _compacted(bronze: DataFrame) -> DataFrame:
     return read_layer(spark, path, schemas.BRONZE)
 
 
+def _clustered(bronze: DataFrame) -> DataFrame:
+    """Store Bronze, rewrite it along the curve and return what is there then."""
+    spark = bronze.sparkSession
+    path = scratch_path(spark, "layer")
+    write_layer(bronze, path)
+    cluster_layer(spark, path, schemas.BRONZE, target_bytes=64 * 1024)
+    return read_layer(spark, path, schemas.BRONZE)
+
+
 QUERIES: dict[str, Callable[[SampleLayers], DataFrame]] = {
     "bronze_partitions": lambda t: _partition_dirs(t.bronze),
     "silver_partitions": lambda t: _partition_dirs(t.silver_clean),
@@ -260,6 +270,7 @@ QUERIES: dict[str, Callable[[SampleLayers], DataFrame]] = {
     "silver_incremental": lambda t: read_layer(t.spark, _incremental(t).silver, schemas.SILVER),
     "gold_incremental": lambda t: read_layer(t.spark, _incremental(t).gold, schemas.GOLD),
     "compaction": lambda t: _compacted(t.bronze),
+    "clustered_layer": lambda t: _clustered(t.bronze),
     "quality_report": _quality_report,
 }
 
