@@ -374,6 +374,50 @@ _BODIES: dict[str, str] = {
         FROM silver_clean WHERE amount_valid GROUP BY ALL""",
     "silver_incremental": "SELECT * REPLACE (amount::DOUBLE AS amount) FROM silver_clean",
     "gold_incremental": "SELECT * REPLACE (daily_total::DOUBLE AS daily_total) FROM gold_clean",
+    "silver_drift": """
+        SELECT * FROM (WITH digits AS (
+            SELECT *, CAST(CAST(abs(amount * 100) AS BIGINT) AS VARCHAR) AS d FROM silver_clean
+            WHERE amount IS NOT NULL AND transaction_type IS NOT NULL AND booked_date IS NOT NULL),
+        counts AS (
+            SELECT transaction_type, booked_date, count(*) AS n,
+                   sign(amount)::INT * (length(d) * 1000 + rpad(substr(d, 1, 3), 3, '0')::INT) AS bucket
+            FROM digits GROUP BY ALL),
+        totals AS (
+            SELECT transaction_type, booked_date, sum(n) AS nb FROM counts GROUP BY ALL),
+        pairs AS (
+            SELECT *, lag(booked_date) OVER w AS previous_date, lag(nb) OVER w AS na FROM totals
+            WINDOW w AS (PARTITION BY transaction_type ORDER BY booked_date)
+            QUALIFY previous_date IS NOT NULL),
+        both_dates AS (
+            SELECT p.transaction_type, p.booked_date, previous_date, na, nb, bucket,
+                   sum(CASE WHEN c.booked_date = previous_date THEN n ELSE 0 END) AS a,
+                   sum(CASE WHEN c.booked_date = p.booked_date THEN n ELSE 0 END) AS b
+            FROM pairs p JOIN counts c
+              ON c.transaction_type = p.transaction_type AND c.booked_date IN (p.booked_date, previous_date)
+            GROUP BY ALL),
+        cumulated AS (
+            SELECT *, sum(a) OVER w AS ca, sum(b) OVER w AS cb FROM both_dates
+            WINDOW w AS (PARTITION BY transaction_type, booked_date ORDER BY bucket)),
+        ks AS (
+            SELECT transaction_type, booked_date, previous_date, na::BIGINT AS previous_count,
+                   nb::BIGINT AS record_count,
+                   round(max(abs(ca::DOUBLE / na::DOUBLE - cb::DOUBLE / nb::DOUBLE)), 9) AS ks,
+                   round(sqrt(-ln(0.0005::DOUBLE) / 2) * sqrt((na + nb)::DOUBLE / (na::DOUBLE * nb::DOUBLE)), 9) AS ks_limit
+            FROM cumulated GROUP BY transaction_type, booked_date, previous_date, na, nb),
+        bins AS (
+            SELECT transaction_type, booked_date, na, nb, sign(bucket) * floor(abs(bucket) / 100.0) AS bin,
+                   sum(a) + 0.5::DOUBLE AS a, sum(b) + 0.5::DOUBLE AS b
+            FROM both_dates GROUP BY ALL),
+        shares AS (
+            SELECT transaction_type, booked_date,
+                   a / (na + 0.5::DOUBLE * count(*) OVER w) AS p, b / (nb + 0.5::DOUBLE * count(*) OVER w) AS q
+            FROM bins WINDOW w AS (PARTITION BY transaction_type, booked_date)),
+        psi AS (
+            SELECT transaction_type, booked_date, round(sum((q - p) * ln(q / p)), 6) AS psi
+            FROM shares GROUP BY ALL)
+        SELECT ks.*, psi, ks > ks_limit AND psi >= 0.2 AS drifted
+        FROM ks JOIN psi USING (transaction_type, booked_date))
+        ORDER BY transaction_type, booked_date""",
     "clustered_layer": "SELECT * REPLACE (amount::DOUBLE AS amount) FROM bronze",
     "compaction": "SELECT * REPLACE (amount::DOUBLE AS amount) FROM bronze",
     "quality_report": "SELECT *, failing = 0 AS passed FROM (\n"

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from checks.layers import SampleLayers
 from ledgerstrata.functions.exprs import week_start
 from ledgerstrata.operators import analytics, audits, reconcile, sketches
+from ledgerstrata.operators.drift import drift, value_counts
 from ledgerstrata.operators.percentiles import silver_percentiles
 from ledgerstrata.plans import carries, jobs
 from ledgerstrata.plans.compaction import compact_layer, compact_published
@@ -225,6 +226,7 @@ QUERIES: dict[str, Callable[[SampleLayers], DataFrame]] = {
     "silver_weekly": lambda t: analytics.silver_weekly(t.silver_clean),
     "silver_top3_per_day": lambda t: analytics.silver_top3_per_day(t.silver_clean),
     "silver_liquidity_ratio": lambda t: analytics.silver_liquidity_ratio(t.silver_clean),
+    "silver_drift": lambda t: drift(value_counts(t.silver_clean)),
     "silver_day_over_day": lambda t: analytics.silver_day_over_day(t.silver_clean),
     "medallion_journey": lambda t: reconcile.medallion_journey(t.bronze, t.silver),
     "lifetime_balance": lambda t: analytics.lifetime_balance(t.silver_clean),
