@@ -21,6 +21,10 @@ _ROWS = 256
 _ELEMENTS = 100_000
 _BLOCK_MEMBERS = 256
 _BLOCK_HASHES = 2_000_000
+# Bands whose buckets are compared first in large clusters, and centres of a bucket sent to all blocks.
+_FIRST_BANDS = 4
+_CENTRES = 8
+_AT = "struct<_group:long,_block:int,_from:int,_to:int,_joined:long>"
 
 
 def _shingled(texts: Iterable[str | None], words: WordHasher, n: int) -> list[np.ndarray]:
@@ -95,9 +99,8 @@ def _set_builder(shingle: int):
                         batch.column(0).slice(a, b - a),
                         pa.array([s.tobytes() for s in sets[a:b]], pa.binary()),
                         batch.column(2).slice(a, b - a),
-                        batch.column(3).slice(a, b - a),
                     ],
-                    ["_id", "_set", "_cluster", "_blocks"],
+                    ["_id", "_set", "_at"],
                 )
 
     return lambda batches: released(build(batches))
@@ -110,27 +113,32 @@ def linked(
     percent: int,
     slots: int = SLOTS,
     margin: float = 6.0,
+    joined: list[int] | None = None,
 ) -> list[tuple[int, int]]:
     """A forest of links between two lists of positions (or within one, given twice).
 
     Pairs whose signatures agree in too few slots are left out: a pair at the threshold falls that
     low only ``margin`` standard deviations below its mean (1e-9). The others are compared on their
-    full sets, likely ones first, except where earlier links already join the two.
+    full sets, likely ones first, except where earlier links already join the two. ``joined`` names
+    the component of each position so far.
     """
     signed = np.concatenate([_signed(sets[a:b], slots) for a, b in _in_slices(sets)])
     least = percent / 100
     least = (least - margin * np.sqrt(least * (1 - least) / slots)) * slots
     size = np.array([len(s) for s in sets])
+    known = np.array(ids if joined is None else joined, np.int64)
     left, right = (np.array(side, np.int64) for side in sides)  # a block may be empty
     within = sides[0] == sides[1]
     near: list[tuple[int, int, int]] = []
     for k, i in enumerate(left):
         others = right[k + 1 :] if within else right
         small, large = np.minimum(size[i], size[others]), np.maximum(size[i], size[others])
-        others = others[100 * small >= percent * large]
+        others = others[(100 * small >= percent * large) & (known[others] != known[i])]
         agree = (signed[others] == signed[i]).sum(axis=1)
         near += [(-int(n), int(i), int(j)) for n, j in zip(agree, others) if n >= least]
     groups, links = UnionFind(), []
+    for i, component in zip(ids, known.tolist()):
+        groups.union(i, component)
     for _, i, j in sorted(near):
         if groups.find(ids[i]) == groups.find(ids[j]):
             continue
@@ -148,7 +156,8 @@ def _verifier(percent: int):
         sets = [np.frombuffer(s, np.uint64) for s in table.column("_set").to_pylist()]
         first, second = key[1].as_py(), key[2].as_py()
         sides = tuple([i for i, b in enumerate(own) if b == side] for side in (first, second))
-        links = linked(ids, sets, sides, percent)
+        joined = table.column("_joined").to_pylist()
+        links = linked(ids, sets, sides, percent, joined=joined)
         return pa.table(
             {"u": pa.array([max(x) for x in links], pa.int64()),
              "v": pa.array([min(x) for x in links], pa.int64())}
@@ -174,42 +183,177 @@ def _candidate_edges(reps: DataFrame) -> DataFrame:
     )
 
 
-def _verified_links(
-    texts: DataFrame, clusters: DataFrame, sizes: DataFrame, shingle: int, percent: int
-) -> DataFrame:
-    """Links within candidate clusters, compared on full sets in pairs of bounded blocks."""
-    blocks = (
-        clusters.join(sizes, clusters.node == sizes._rep)
-        .groupBy("component")
-        .agg(F.count("*").alias("_n"), F.sum("_size").alias("_total"))
-        .select(
-            "component",
-            F.greatest(
-                F.ceil(F.col("_n") / _BLOCK_MEMBERS), F.ceil(F.col("_total") / _BLOCK_HASHES)
-            ).cast("int").alias("_blocks"),
+def _parts_of(n, hashes):
+    """Into how many blocks of bounded size so many members are dealt."""
+    return F.greatest(F.ceil(n / _BLOCK_MEMBERS), F.ceil(hashes / _BLOCK_HASHES)).cast("int")
+
+
+def _dealt(rows: DataFrame, centres: DataFrame) -> DataFrame:
+    """Deal the members of each group over blocks, and send a few centres of the group to all of them.
+
+    Both have ``_id``, ``_size``, ``_group`` and ``_joined``. Where a group has one block, that
+    block alone holds all its pairs.
+    """
+    blocks = rows.groupBy("_group").agg(_parts_of(F.count("*"), F.sum("_size")).alias("_parts"))
+    block = F.pmod(F.xxhash64("_id"), F.col("_parts")).cast("int")
+    dealt = rows.join(blocks, "_group").select(
+        "_id", "_group", block.alias("_block"), block.alias("_from"), block.alias("_to"), "_joined"
+    )
+    salt = F.pmod(F.xxhash64(F.lit("centre"), "_id"), F.lit(_CENTRES))
+    few = centres.groupBy("_group", salt.alias("_salt")).agg(
+        F.min(F.struct("_id", "_joined")).alias("_centre")
+    )
+    return dealt.unionByName(
+        few.join(blocks, "_group").select(
+            "_centre._id",
+            "_group",
+            F.lit(None).cast("int").alias("_block"),
+            F.lit(0).alias("_from"),
+            (F.col("_parts") - 1).alias("_to"),
+            "_centre._joined",
         )
     )
-    members = clusters.join(blocks, "component").select(
-        F.col("node").alias("_id"), F.col("component").alias("_cluster"), "_blocks"
+
+
+def _links(texts: DataFrame, places: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links found at ``places``: a member of ``_block`` meets blocks ``_from`` to ``_to`` of its group.
+
+    Members without ``_block`` belong to each of those blocks. What ``_joined`` already joins is not
+    compared again.
+    """
+    members = places.groupBy("_id").agg(
+        F.collect_set(F.struct("_group", "_block", "_from", "_to", "_joined")).alias("_at")
     )
     sets = (
         texts.join(members, "_id")
-        .select("_id", "_text", "_cluster", "_blocks")
-        .mapInArrow(_set_builder(shingle), "_id long, _set binary, _cluster long, _blocks int")
+        .select("_id", "_text", "_at")
+        .mapInArrow(_set_builder(shingle), f"_id long, _set binary, _at array<{_AT}>")
     )
-    own = F.pmod(F.xxhash64("_id"), F.col("_blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    return (
-        sets.withColumn("_block", own)
-        .withColumn("_other", other)
-        .select(
-            "_id", "_set", "_cluster", "_block",
+    met = (
+        sets.select("_id", "_set", F.inline("_at"))
+        .withColumn("_other", F.explode(F.sequence("_from", "_to")))
+        .withColumn("_block", F.coalesce("_block", "_other"))
+    )
+    found = (
+        met.select(
+            "_id", "_set", "_joined", "_group", "_block",
             F.least("_block", "_other").alias("_first"),
             F.greatest("_block", "_other").alias("_second"),
         )
-        .groupBy("_cluster", "_first", "_second")
+        .groupBy("_group", "_first", "_second")
         .applyInArrow(_verifier(percent), "u long, v long")
     )
+    # Stored, so that no task runs two Python workers at once.
+    return cut_lineage(found)
+
+
+def _mixed_buckets(places: DataFrame, joined: DataFrame) -> DataFrame:
+    """Members of buckets that hold more than one component, and whether theirs is the largest there.
+
+    ``_n_main`` and ``_n_rest`` are the blocks needed for the largest component and for all others.
+    """
+    now = places.drop("_joined").join(
+        joined.select(F.col("node").alias("_id"), F.col("component").alias("_joined")), "_id", "left"
+    ).withColumn("_joined", F.coalesce("_joined", "_id"))
+    shares = now.groupBy("_group", "_joined").agg(
+        F.count("*").alias("_n"), F.sum("_size").alias("_total")
+    )
+    buckets = (
+        shares.groupBy("_group")
+        .agg(
+            F.max(F.struct("_n", "_joined", "_total")).alias("_most"),
+            F.sum("_n").alias("_n"),
+            F.sum("_total").alias("_total"),
+        )
+        .where("_n > _most._n")
+        .select(
+            "_group",
+            F.col("_most._joined").alias("_largest"),
+            _parts_of(F.col("_most._n"), F.col("_most._total")).alias("_n_main"),
+            _parts_of(
+                F.col("_n") - F.col("_most._n"), F.col("_total") - F.col("_most._total")
+            ).alias("_n_rest"),
+        )
+    )
+    return cut_lineage(
+        now.join(buckets, "_group")
+        .withColumn("_main", F.col("_joined") == F.col("_largest"))
+        .drop("_largest")
+    )
+
+
+def _crossed(mixed: DataFrame) -> DataFrame:
+    """Places at which all pairs of a mixed bucket meet, but those within its largest component."""
+    last = F.col("_n_main") + F.col("_n_rest") - 1
+    own = F.when(F.col("_main"), F.pmod(F.xxhash64("_id"), F.col("_n_main"))).otherwise(
+        F.col("_n_main") + F.pmod(F.xxhash64("_id"), F.col("_n_rest"))
+    )
+    return mixed.select(
+        "_id",
+        "_group",
+        own.cast("int").alias("_block"),
+        F.when(F.col("_main"), F.col("_n_main")).otherwise(0).cast("int").alias("_from"),
+        last.cast("int").alias("_to"),
+        "_joined",
+    )
+
+
+def _linked_components(
+    texts: DataFrame, reps: DataFrame, clusters: DataFrame, shingle: int, percent: int
+) -> DataFrame:
+    """Components (``node``, ``component``) of the links within candidate clusters.
+
+    A cluster that fits one block is compared there, and each set is sent once. Larger ones go by
+    rounds, and what one round has joined is not compared in the next:
+
+    1. Members that share one of the first ``_FIRST_BANDS`` buckets, in blocks, with some centres of
+       the bucket sent to all of its blocks.
+    2. In buckets (of any band) that still hold several components: members outside the largest one,
+       again in blocks, with some centres of the largest one.
+    3. In buckets that are still mixed, all pairs but those within the largest component.
+
+    So the sets of a cluster whose members link are sent a bounded number of times; only pairs that
+    share a bucket, and that no link or chain of links has joined, are met by the number of pairs.
+    """
+    sizes = reps.groupBy(F.col("_rep").alias("node")).agg(F.sum("_size").alias("_size"))
+    totals = clusters.join(sizes, "node").groupBy("component").agg(
+        _parts_of(F.count("*"), F.sum("_size")).alias("_parts")
+    )
+    members = cut_lineage(
+        clusters.join(totals, "component").join(sizes, "node").select(
+            F.col("node").alias("_id"),
+            "_size",
+            F.xxhash64("component").alias("_group"),
+            F.col("node").alias("_joined"),
+            (F.col("_parts") > 1).alias("_large"),
+        )
+    )
+    start = members.where("NOT _large").select(
+        "_id", "_group", *[F.lit(0).alias(c) for c in ("_block", "_from", "_to")], "_joined"
+    )
+    large = members.where("_large").drop("_group", "_large")
+    if large.isEmpty():
+        return connected_components(_links(texts, start, shingle, percent))
+    places = cut_lineage(
+        reps.select(F.col("_rep").alias("_id"), F.posexplode("_bands").alias("_band", "_group"))
+        .distinct()
+        .join(large, "_id")
+    )
+    first = places.where(F.col("_band") < _FIRST_BANDS).drop("_band")
+    links = _links(texts, start.unionByName(_dealt(first, first)), shingle, percent)
+    joined = connected_components(links)
+    places = places.drop("_band")
+    for exact in (False, True):
+        mixed = _mixed_buckets(places, joined)
+        if mixed.isEmpty():
+            break
+        at = _crossed(mixed) if exact else _dealt(mixed.where("NOT _main"), mixed.where("_main"))
+        # Components so far are links as well: each node to the least of its component.
+        so_far = joined.select(F.col("node").alias("u"), F.col("component").alias("v"))
+        joined = connected_components(
+            so_far.unionByName(_links(texts, at, shingle, percent))
+        )
+    return joined
 
 
 def near_duplicates(
@@ -232,8 +376,9 @@ def near_duplicates(
     2. SuperMinHash signatures of the classes are cut into ``bands``; with the defaults a pair at
        0.8 shares no band with probability 1e-7. Buckets give star-shaped candidate edges, so a
        bucket costs as many edges as it has members.
-    3. Candidate clusters are compared inside pairs of blocks of bounded size, dealt over all
-       tasks: signatures first, then full sets. A block sends on a forest of links, never all pairs.
+    3. Candidate clusters are compared inside blocks of bounded size, dealt over all tasks:
+       signatures first, then full sets. A block sends on a forest of links, never all pairs. Large
+       clusters go by rounds that compare only what is not joined yet (``_linked_components``).
     4. Components of those links are spread to all rows of each class.
 
     NULL, empty and blank texts have ``n_shingles`` 0 and are linked with nothing. Rows of equal ids
@@ -264,11 +409,8 @@ def near_duplicates(
             F.min_by("_bands", "_id").alias("_bands"),
         )
     )
-    sizes = reps.groupBy("_rep").agg(F.sum("_size").alias("_size"))
     clusters = connected_components(_candidate_edges(reps))
-    # Stored, so that no task runs two Python workers at once.
-    links = cut_lineage(_verified_links(texts, clusters, sizes, shingle, percent))
-    joined = connected_components(links)
+    joined = _linked_components(texts, reps, clusters, shingle, percent)
     classes = (
         reps.select("_key", "_rep")
         .join(joined.withColumnRenamed("node", "_rep"), "_rep", "left")
