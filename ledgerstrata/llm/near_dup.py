@@ -215,19 +215,21 @@ def _dealt(rows: DataFrame, centres: DataFrame) -> DataFrame:
     )
 
 
-def _links(texts: DataFrame, places: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links found at ``places``: a member of ``_block`` meets blocks ``_from`` to ``_to`` of its group.
-
-    Members without ``_block`` belong to each of those blocks. What ``_joined`` already joins is not
-    compared again.
-    """
-    members = places.groupBy("_id").agg(
+def _by_member(places: DataFrame) -> DataFrame:
+    """Places of each ``_id`` as one list ``_at``."""
+    return places.groupBy("_id").agg(
         F.collect_set(F.struct("_group", "_block", "_from", "_to", "_joined")).alias("_at")
     )
-    sets = (
-        texts.join(members, "_id")
-        .select("_id", "_text", "_at")
-        .mapInArrow(_set_builder(shingle), f"_id long, _set binary, _at array<{_AT}>")
+
+
+def _links(placed: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links found among ``placed`` texts (``_id``, ``_text`` and its places ``_at``).
+
+    At a place a member of ``_block`` meets blocks ``_from`` to ``_to`` of its group. Members without
+    ``_block`` belong to each of those blocks. What ``_joined`` already joins is not compared again.
+    """
+    sets = placed.select("_id", "_text", "_at").mapInArrow(
+        _set_builder(shingle), f"_id long, _set binary, _at array<{_AT}>"
     )
     met = (
         sets.select("_id", "_set", F.inline("_at"))
@@ -252,7 +254,7 @@ def _mixed_buckets(places: DataFrame, joined: DataFrame) -> DataFrame:
 
     ``_n_main`` and ``_n_rest`` are the blocks needed for the largest component and for all others.
     """
-    now = places.drop("_joined").join(
+    now = places.join(
         joined.select(F.col("node").alias("_id"), F.col("component").alias("_joined")), "_id", "left"
     ).withColumn("_joined", F.coalesce("_joined", "_id"))
     shares = now.groupBy("_group", "_joined").agg(
@@ -323,26 +325,40 @@ def _linked_components(
         clusters.join(totals, "component").join(sizes, "node").select(
             F.col("node").alias("_id"),
             "_size",
-            F.xxhash64("component").alias("_group"),
+            F.col("component").alias("_cluster"),
             F.col("node").alias("_joined"),
             (F.col("_parts") > 1).alias("_large"),
         )
     )
     start = members.where("NOT _large").select(
-        "_id", "_group", *[F.lit(0).alias(c) for c in ("_block", "_from", "_to")], "_joined"
+        "_id", F.xxhash64("_cluster").alias("_group"), *[F.lit(0).alias(c) for c in ("_block", "_from", "_to")], "_joined"
+    )
+    large = members.where("_large").select("_id", "_size", "_joined", "_cluster")
+    banded = reps.select(F.col("_rep").alias("_id"), "_bands")
+    first = banded.join(large, "_id").select(
+        "_id", "_size", "_joined", F.explode(F.slice("_bands", 1, _FIRST_BANDS)).alias("_group")
     )
-    large = members.where("_large").drop("_group", "_large")
-    if large.isEmpty():
-        return connected_components(_links(texts, start, shingle, percent))
+    # The only time that all texts are shuffled; later rounds read what is stored here.
+    path = scratch_path(texts.sparkSession, "candidates")
+    at = _by_member(start.unionByName(_dealt(first, first)))
+    texts.join(at, "_id").join(members.select("_id", "_large"), "_id").select(
+        "_id", "_text", "_at", "_large"
+    ).write.parquet(path)
+    stored = texts.sparkSession.read.parquet(path)
+    joined = connected_components(_links(stored, shingle, percent))
+    now = large.join(
+        joined.select(F.col("node").alias("_id"), "component"), "_id", "left"
+    ).withColumn("component", F.coalesce("component", "_id"))
+    several = now.groupBy("_cluster").agg(
+        F.min("component").alias("_least"), F.max("component").alias("_most")
+    ).where("_least < _most").select("_cluster")
+    open_ = cut_lineage(now.join(several, "_cluster").select("_id", "_size"))
+    if open_.isEmpty():
+        return joined
     places = cut_lineage(
-        reps.select(F.col("_rep").alias("_id"), F.posexplode("_bands").alias("_band", "_group"))
-        .distinct()
-        .join(large, "_id")
+        banded.join(open_, "_id").select("_id", "_size", F.explode("_bands").alias("_group"))
     )
-    first = places.where(F.col("_band") < _FIRST_BANDS).drop("_band")
-    links = _links(texts, start.unionByName(_dealt(first, first)), shingle, percent)
-    joined = connected_components(links)
-    places = places.drop("_band")
+    rest = stored.where("_large").select("_id", "_text")
     for exact in (False, True):
         mixed = _mixed_buckets(places, joined)
         if mixed.isEmpty():
@@ -350,9 +366,8 @@ def _linked_components(
         at = _crossed(mixed) if exact else _dealt(mixed.where("NOT _main"), mixed.where("_main"))
         # Components so far are links as well: each node to the least of its component.
         so_far = joined.select(F.col("node").alias("u"), F.col("component").alias("v"))
-        joined = connected_components(
-            so_far.unionByName(_links(texts, at, shingle, percent))
-        )
+        found = _links(rest.join(_by_member(at), "_id"), shingle, percent)
+        joined = connected_components(so_far.unionByName(found))
     return joined
 
 

@@ -121,9 +121,9 @@ def counted_sends(monkeypatch):
     """The number of sets that each call of ``_links`` sends to blocks."""
     sent, links = [], near_dup._links
 
-    def counting(texts, places, shingle, percent):
-        sent.append(places.selectExpr("coalesce(sum(_to - _from + 1), 0)").first()[0])
-        return links(texts, places, shingle, percent)
+    def counting(placed, shingle, percent):
+        sent.append(placed.selectExpr("inline(_at)").selectExpr("sum(_to - _from + 1)").first()[0])
+        return links(placed, shingle, percent)
 
     monkeypatch.setattr(near_dup, "_links", counting)
     return sent
