@@ -4,7 +4,6 @@ import random
 
 import numpy as np
 
-from ledgerstrata.llm import near_dup
 from ledgerstrata.llm.components import connected_components
 from ledgerstrata.llm.near_dup import linked, near_duplicates
 from ledgerstrata.llm.superminhash import signatures
@@ -117,61 +116,17 @@ def test_repeated_rows_of_one_id_and_empty_blocks(spark, vocabulary):
     assert linked(ids, sets, ([0], [1]), 80) == [(1, 2)]
 
 
-def counted_sends(monkeypatch):
-    """The number of sets that each call of ``_links`` sends to blocks."""
-    sent, links = [], near_dup._links
-
-    def counting(placed, shingle, percent):
-        sent.append(placed.selectExpr("inline(_at)").selectExpr("sum(_to - _from + 1)").first()[0])
-        return links(placed, shingle, percent)
-
-    monkeypatch.setattr(near_dup, "_links", counting)
-    return sent
-
-
-def test_sets_of_a_very_large_cluster_are_sent_a_bounded_number_of_times(spark, vocabulary, monkeypatch):
-    rng = random.Random(14)
-    base = [rng.choice(vocabulary) for _ in range(100)]
-    rows = []
-    for i in range(5000):
-        words = base.copy()
-        words[rng.randrange(100)] = f"new{i}"
-        rows.append((i, " ".join(words)))
-    strays = []
-    for i in range(5000, 5030):
-        words = base.copy()
-        for at in rng.sample(range(100), rng.randint(3, 8)):
-            words[at] = f"other{i}"
-        strays.append((i, " ".join(words)))
-    sent = counted_sends(monkeypatch)
-    docs = spark.createDataFrame(rows + strays, "doc_id long, text string").repartition(6)
-    got = {r.doc_id: r.component_id for r in near_duplicates(docs, 4).collect()}
-    # Any two of the first 5,000 are at 0.84 or more, so a stray is linked with some of them or none.
-    want = {i: 0 for i in range(5000)}
-    shingles = {i: {tuple(t.split()[k : k + 4]) for k in range(97)} for i, t in rows + strays}
-    for i, _ in strays:
-        near = [
-            j for j in range(5000)
-            if 100 * len(shingles[i] & shingles[j]) >= 80 * len(shingles[i] | shingles[j])
-        ]
-        want[i] = 0 if near else i
-    assert got == want and 0 < sum(want[i] == 0 for i, _ in strays) < 30
-    assert sent[0] <= 6 * 5030 and sum(sent) <= 50 * 5030
-
-
-def test_families_that_share_much_of_their_texts(spark, vocabulary, monkeypatch):
-    """One large candidate cluster, many components, all rounds needed."""
+def test_families_that_share_much_of_their_texts(spark, vocabulary):
+    """One large candidate cluster that holds many components."""
     rng = random.Random(15)
     common = [rng.choice(vocabulary) for _ in range(90)]
     rows = []
-    for family in range(25):
+    for family in range(15):
         own = common + [rng.choice(vocabulary) for _ in range(30)]
         for _ in range(30):
             words = [rng.choice(vocabulary) if rng.random() < 0.03 else w for w in own]
             rows.append((len(rows), " ".join(words)))
     rng.shuffle(rows)
-    sent = counted_sends(monkeypatch)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(docs, 4).collect()}
-    assert got == brute_components(rows, 4, 80)
-    assert len(sent) == 3 and len({c for _, c in got.values()}) > 25
+    assert got == brute_components(rows, 4, 80) and len({c for _, c in got.values()}) > 15
