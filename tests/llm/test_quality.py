@@ -44,18 +44,25 @@ def test_base_counts_equal_sql(judged, duck):
         assert r.base_failed == failed and not (failed and r.kept)
 
 
-def numpy_estimate(x, steps=20):
-    """The same estimate in plain numpy: sorted distances instead of buckets."""
-    centre = np.sort(x, axis=0)[(len(x) + 1) // 2 - 1]
-    spread = 1.4826 * np.sort(np.abs(x - centre), axis=0)[(len(x) + 1) // 2 - 1]
-    cov = np.diag(spread**2)
-    for _ in range(steps):
-        d = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(cov + np.diag(quality._FLOOR**2)), x - centre)
-        near = x[np.argsort(d, kind="stable")[: int(np.ceil(0.75 * len(x)))]]
-        p = x.shape[1]
-        cut = quality.chi_square(0.75, p)
-        centre, cov = near.mean(axis=0), np.cov(near.T, bias=True) * 0.75 / quality._chi_share(cut, p + 2)
-    return centre
+def numpy_estimate(x, steps=12):
+    """The same estimate over plain rows: nearest halves, then reweighting, ranked by distance bucket."""
+    p, middle = x.shape[1], (len(x) + 1) // 2 - 1
+    centre = np.sort(x, axis=0)[middle]
+    spread = 1.4826 * np.sort(np.abs(x - centre), axis=0)[middle]
+    cov, scale = np.diag(spread**2), 1.0
+    for share in (0.5, 0.975):
+        cut = quality.chi_square(share, p)
+        for _ in range(steps):
+            inverse = np.linalg.inv(cov + np.diag(quality._FLOOR**2))
+            d = np.einsum("ij,jk,ik->i", x - centre, inverse, x - centre)
+            bucket = np.floor(np.log(d + 1e-6) * 16)
+            ranked = np.sort(bucket)
+            scale = max(1.0, np.exp((ranked[middle] + 0.5) / 16) / quality.chi_square(0.5, p))
+            half = ranked[int(np.ceil(0.5 * len(x))) - 1]
+            near = x[bucket <= (half if share == 0.5 else np.floor(np.log(scale * cut) * 16))]
+            centre = near.mean(axis=0)
+            cov = np.cov(near.T, bias=True) * share / quality._chi_share(cut, p + 2)
+    return centre, np.linalg.inv(cov + np.diag(quality._FLOOR**2)), scale
 
 
 def test_estimates_resist_a_fifth_of_outliers(spark):
@@ -68,7 +75,10 @@ def test_estimates_resist_a_fifth_of_outliers(spark):
     again = robust_estimates(df.repartition(3)).first()
     assert row == again
     assert np.allclose(row._centre, 2, atol=0.1)
-    assert np.allclose(row._centre, numpy_estimate(x / 1000), atol=0.05)
+    centre, inverse, scale = numpy_estimate(x / 1000)
+    flat = [inverse[i, j] * (1 if i == j else 2) for i, j in quality._PAIRS]
+    assert np.allclose(row._centre, centre, atol=1e-6) and np.isclose(row._scale, scale)
+    assert np.allclose(row._precision, flat, rtol=1e-5, atol=1e-5)
     assert row._rows == 2500
 
 
