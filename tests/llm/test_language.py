@@ -1,9 +1,18 @@
 """Language identification on held-out rows, and its parts."""
 
+import math
+
 import numpy as np
 from pyspark.sql import functions as F
 
-from ledgerstrata.llm.language import _clusters, _unit, fit_language, gram_counts, predict_language
+from ledgerstrata.llm.language import (
+    LanguageModel,
+    _clusters,
+    _unit,
+    fit_language,
+    gram_counts,
+    predict_language,
+)
 from ledgerstrata.llm.queries import QUERIES
 
 
@@ -45,3 +54,34 @@ def test_odd_documents(spark, odd_docs):
     assert predict_language(odd_docs.limit(0), model).count() == 0
     nothing = fit_language(learned.limit(0))
     assert {r.lang_pred for r in predict_language(odd_docs, nothing).collect()} == {"und"}
+
+
+def plain_vector(text, idf):
+    """Normalised TF-IDF of hashed n-grams as a dictionary, one n-gram at a time."""
+    data = f" {text.lower()} ".encode()
+    kept = [c if 97 <= c <= 122 or c > 127 else 32 for c in data]
+    kept = [c for i, c in enumerate(kept) if i == 0 or c != 32 or kept[i - 1] != 32]
+    counts = {}
+    for n, mark in ((1, 0), (2, 1 << 25), (3, 1 << 26)):
+        for i in range(len(kept) - n + 1):
+            gram = int.from_bytes(bytes(kept[i : i + n]), "big") + mark
+            bucket = (gram * 0x9E3779B1 % 2**32) >> 20
+            counts[bucket] = counts.get(bucket, 0) + 1
+    vector = {k: math.log1p(n) * idf[k] for k, n in counts.items()}
+    length = math.sqrt(sum(v * v for v in vector.values()))
+    return {k: v / length for k, v in vector.items()}
+
+
+def test_predictions_equal_plain_cosines():
+    rng = np.random.default_rng(6)
+    idf = rng.uniform(1, 4, 4096).astype(np.float32)
+    centroids = _unit(rng.uniform(0, 1, (6, 4096)) ** 8).astype(np.float32)
+    names = ["a", "a", "b", "b", "c", "c"]
+    texts = ["the house, and the tree", "ÄÖ über 12 Straße", "x", "  a  b--c  " * 40, "λόγος καὶ ἔργον"]
+    vectors = [plain_vector(t, idf) for t in texts]
+    cosines = [[sum(v * c[k] for k, v in x.items()) for c in centroids.astype(float)] for x in vectors]
+    reach = np.array([max(row[i] for row in cosines) - 1e-3 for i in range(6)])
+    got = LanguageModel(idf, centroids, names, reach).predict(texts)
+    for row, (name, score, rejected) in zip(cosines, got):
+        best = int(np.argmax(row))
+        assert name == names[best] and abs(score - row[best]) < 1e-5 and rejected == (row[best] < reach[best])
