@@ -94,3 +94,54 @@ def test_query_columns(spark, sf_dir):
     assert got.columns[:4] == ["doc_id", "held_out", "score", "predicted"]
     assert got.where((F.col("score") >= 0.7) != (F.col("predicted") == 1)).count() == 0
     assert got.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+
+
+def plain_probability(counts, both, gram, shared, floor):
+    """Interpolated Kneser-Ney by its recursion, from counts of n-grams of each order."""
+    if not gram:
+        return floor
+    level = (both if len(gram) <= shared else counts)[len(gram)]
+    once, twice = (sum(n == k for n in level.values()) for k in (1, 2))
+    discount = once / (once + 2 * twice) if once and twice else 0.5
+    lower = plain_probability(counts, both, gram[1:], shared, floor)
+    after = [n for g, n in level.items() if g[:-1] == gram[:-1]]
+    if not after:
+        return lower
+    return (max(level.get(gram, 0) - discount, 0) + discount * len(after) * lower) / sum(after)
+
+
+def levels(words):
+    """N-grams of five letters, shorter ones at the start of a word, and continuation counts."""
+    out = {k: Counter() for k in range(1, 6)}
+    for word in words:
+        marked = f"\x02{word}\x03"
+        for end in range(2, len(marked) + 1):
+            gram = marked[max(0, end - 5) : end]
+            out[len(gram)][gram] += 1
+    raw = Counter({g: n for level in out.values() for g, n in level.items()})
+    return raw, out
+
+
+def continued(out):
+    for k in (5, 4, 3, 2):
+        for gram in list(out[k]):
+            out[k - 1][gram[1:]] += 1
+    return out
+
+
+def test_ratios_equal_plain_kneser_ney():
+    rng = random.Random(42)
+    draw = lambda letters, n: ["".join(rng.choices(letters, k=rng.randint(1, 7))) for _ in range(n)]
+    toxic, ordinary = draw("abcx", 60), draw("abcd", 120)
+    (raw_t, by_t), (raw_o, by_o) = levels(toxic), levels(ordinary)
+    _, by_both = levels(toxic + ordinary)
+    ratio = LogRatio(raw_t, raw_o)
+    t, o, both = map(continued, (by_t, by_o, by_both))
+    floor = 1 / (len({g[-1] for g in raw_t + raw_o}) + 1)
+    for word in toxic[:20] + ordinary[:20] + ["zebra", "xxxxxxxx"]:
+        marked, want = f"\x02{word}\x03", 0.0
+        for end in range(2, len(marked) + 1):
+            gram = marked[max(0, end - 5) : end]
+            p, q = (plain_probability(c, both, gram, 2, floor) for c in (t, o))
+            want += math.log(p) - math.log(q)
+        assert math.isclose(ratio(word), want, abs_tol=1e-9)
