@@ -10,7 +10,9 @@ Mahalanobis distance are rejected.
 
 A step is one aggregation: rows are counted by distance bucket, and the sums of a bucket are sums of
 whole numbers, so neither the order of tasks nor lost executors change a result, and a source with a
-third of all rows costs each task one row per bucket.
+third of all rows costs each task one row per bucket. Vectors are stored once and do not move in a
+step: the estimates, one row per group, are sent to them (up to ``SENT_ROWS`` groups; more are joined
+by a shuffle).
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerstrata.llm.text import WordHasher, mix, released
-from ledgerstrata.sources.scratch import cut_lineage, scratch_path
+from ledgerstrata.sources.scratch import drop_scratch, scratch_path
 
 _BLANKS = b" \t\n\v\f\r"
 _SYMBOLS = b"#*$%&|<>"
@@ -51,6 +53,8 @@ KEPT_SHARE = 0.5
 REWEIGHTED_SHARE = 0.975
 MIN_ROWS = 50
 CONFIDENCE = 0.99999
+# Rows of estimates or group names, of some hundred bytes each, that are sent to all executors at once.
+SENT_ROWS = 10_000
 _BUCKETS_PER_E = 16
 _STEPS = 12
 
@@ -226,16 +230,31 @@ def _distance() -> Column:
     return F.greatest(total, F.lit(0.0))
 
 
+def _stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """A table, written and read again, and its path; partitions without rows leave no file."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def _sent(df: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """How tables with as many rows as this stored one are joined: sent to all executors if they are few."""
+    return F.broadcast if df.count() <= SENT_ROWS else lambda other: other
+
+
 def robust_estimates(vectors: DataFrame, steps: int = _STEPS) -> DataFrame:
     """Reweighted minimum covariance determinant estimate of ``_x`` for each ``_group``, over all rows.
 
     Columns: ``_group``, ``_rows``, ``_centre``, ``_precision`` (inverse covariance, upper triangle
     with doubled off-diagonal entries) and ``_scale`` (squared distances of the middle row against
-    those of a normal sample). Each step stores one small row per group in the checkpoint folder.
+    those of a normal sample). Each step reads ``vectors`` again and stores one small row per group in
+    scratch storage; estimates of earlier steps are deleted.
     """
+    spark = vectors.sparkSession
     values = vectors.select("_group", F.posexplode("_x").alias("_k", "_value"))
     counts = values.groupBy("_group", "_k", "_value").agg(F.count("*").alias("_n"))
-    params = cut_lineage(counts.groupBy("_group").applyInPandas(_start, _PARAMS))
+    params, path = _stored(counts.groupBy("_group").applyInPandas(_start, _PARAMS), "estimates")
+    sent = _sent(params)
     sums = [F.sum(F.col("_x")[i]).alias(f"_s{i}") for i in range(_P)] + [
         F.sum(F.col("_x")[i] * F.col("_x")[j]).alias(f"_s{i}_{j}") for i, j in _PAIRS
     ]
@@ -243,15 +262,19 @@ def robust_estimates(vectors: DataFrame, steps: int = _STEPS) -> DataFrame:
     for reweighted in (False, True):
         for _ in range(steps):
             counted = (
-                vectors.join(params, "_group")
+                vectors.join(sent(params), "_group")
                 .withColumn("_bucket", bucket)
                 .groupBy("_group", "_bucket")
                 .agg(F.count("*").alias("_n"), *sums)
             )
-            moved = cut_lineage(counted.groupBy("_group").applyInPandas(_steps(reweighted), _PARAMS))
+            moved, moved_path = _stored(
+                counted.groupBy("_group").applyInPandas(_steps(reweighted), _PARAMS), "estimates"
+            )
             before = params.select("_group", "_rows", "_centre", "_precision")
-            params = moved
-            if moved.join(before, before.columns, "left_anti").isEmpty():
+            settled = moved.join(sent(before), before.columns, "left_anti").isEmpty()
+            drop_scratch(spark, path)
+            params, path = moved, moved_path
+            if settled:
                 break
     return params
 
@@ -306,18 +329,20 @@ def quality_verdicts(
         .otherwise(F.to_json(F.struct("_lang", F.lit(True).alias("_small"))))
         .alias("_group"),
     )
-    vectors = (
-        counted.where("NOT base_failed")
-        .join(cut_lineage(groups), "_own")
-        .select("_group", "_id", "_own", _vector().alias("_x"))
+    groups, _ = _stored(groups, "groups")
+    sent = _sent(groups)
+    vectors, vectors_path = _stored(
+        counted.where("NOT base_failed").join(sent(groups), "_own").select("_group", _vector().alias("_x")),
+        "vectors",
     )
-    estimates = robust_estimates(vectors.select("_group", "_x")).where(F.col("_rows") >= min_rows)
-    known = groups.join(estimates, "_group").drop("_group", "_rows")
+    estimates = robust_estimates(vectors).where(F.col("_rows") >= min_rows)
+    drop_scratch(spark, vectors_path)
+    known = groups.join(sent(estimates), "_group").drop("_group", "_rows")
     limit = chi_square(confidence, _P)
     distance = F.when(~F.col("base_failed"), F.round(_distance() / F.col("_scale"), 6))
     return (
         counted.withColumn("_x", _vector())
-        .join(known, "_own", "left")
+        .join(sent(known), "_own", "left")
         .select(
             F.col("_id").alias(id_column),
             *Counter.NAMES[:5],

@@ -82,6 +82,48 @@ def test_estimates_resist_a_fifth_of_outliers(spark):
     assert row._rows == 2500
 
 
+def tasks_of(spark, call):
+    """Tasks that Spark ran for a call."""
+    context, group = spark.sparkContext, f"tasks-{random.random()}"
+    context.setJobGroup(group, "counted")
+    call()
+    context.setLocalProperty("spark.jobGroup.id", None)
+    context._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    seen = context.statusTracker()
+    stages = {s for j in seen.getJobIdsForGroup(group) for s in seen.getJobInfo(j).stageIds}
+    return sum(i.numCompletedTasks for s in stages if (i := seen.getStageInfo(s)))
+
+
+def test_a_step_shuffles_sums_only(spark):
+    """Vectors stay where they are and estimates are sent to them: two shuffles a step, of sums."""
+    rng = np.random.default_rng(35)
+    rows = [("g" if i % 3 else "h", r.tolist()) for i, r in enumerate(rng.integers(0, 3000, (600, 7)))]
+    vectors = spark.createDataFrame(rows, "_group string, _x array<long>").repartition(2).localCheckpoint()
+    conf = {
+        "spark.sql.shuffle.partitions": "40",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        tasks = tasks_of(spark, lambda: robust_estimates(vectors, steps=2))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert tasks <= 5 * (2 * 40 + 20)
+
+
+def test_more_groups_than_are_sent_give_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(36)
+    rows = [(f"g{i % 5}", r.tolist()) for i, r in enumerate(rng.integers(0, 3000, (500, 7)))]
+    vectors = spark.createDataFrame(rows, "_group string, _x array<long>")
+    sent = sorted(robust_estimates(vectors).collect())
+    monkeypatch.setattr(quality, "SENT_ROWS", 4)
+    assert sorted(robust_estimates(vectors).collect()) == sent and len(sent) == 5
+
+
 def test_junk_is_rejected_and_prose_is_kept(spark, vocabulary):
     rng = random.Random(32)
     rows = []
