@@ -37,6 +37,8 @@ class UnionFind:
 
 # Nodes that one task remembers before it passes on what it has joined; bounds its memory.
 _NODES = 500_000
+# Nodes whose edges lie in one stored partition, where their number is known.
+_NODES_STORED = 20_000
 
 
 def _joined_in_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,21 +61,33 @@ def _joined_in_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     yield stars()
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def packed(df: DataFrame, nodes: int | None) -> DataFrame:
+    """Rows of a graph of ``nodes`` nodes in as many partitions as are of use, never in more than before.
+
+    Each stored partition is a file, and Hadoop's local file system starts processes for each file,
+    which for a moment share, and seem to double, the memory of the executor that starts them.
+    """
+    return df if nodes is None else df.coalesce(max(1, -(-nodes // _NODES_STORED)))
+
+
+def connected_components(
+    edges: DataFrame, max_rounds: int = 60, nodes: int | None = None
+) -> DataFrame:
     """``node`` and ``component`` (its smallest node) for every node of ``edges`` (``u``, ``v``).
 
     Each task first replaces its edges by a union-find forest. Rounds of large-star and small-star
     steps then bring every node beside the least node of its component; a round has two shuffles
     that send minima and edges, never a whole component to one task. Rounds grow with the logarithm
     of the longest path. Rows with a NULL end are left out; no edges give no rows. Stored rounds go
-    to the checkpoint folder.
+    to the checkpoint folder, in few files where ``nodes`` says how many nodes there are, about or at most.
     """
     both = edges.select(F.col("u").cast("long"), F.col("v").cast("long")).where("u <> v")
     # v is the smaller end from here on.
-    forest = cut_lineage(both.mapInArrow(_joined_in_task, "u long, v long").distinct())
+    forest = both.mapInArrow(_joined_in_task, "u long, v long").distinct()
+    forest = cut_lineage(packed(forest, nodes))
     state = None
     for _ in range(max_rounds):
-        forest = cut_lineage(_small_star(_large_star(forest)))
+        forest = cut_lineage(packed(_small_star(_large_star(forest)), nodes))
         row = forest.agg(
             F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
         ).first()

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerstrata.llm.components import UnionFind, connected_components
+from ledgerstrata.llm.components import UnionFind, connected_components, packed
 from ledgerstrata.llm.superminhash import band_keys, signatures
 from ledgerstrata.llm.text import WordHasher, blank_words, fingerprint, released, shingle_hashes
 from ledgerstrata.sources.scratch import cut_lineage, scratch_path
@@ -265,10 +265,11 @@ def near_duplicates(
         )
     )
     sizes = reps.groupBy("_rep").agg(F.sum("_size").alias("_size"))
-    clusters = connected_components(_candidate_edges(reps))
-    # Stored, so that no task runs two Python workers at once.
-    links = cut_lineage(_verified_links(texts, clusters, sizes, shingle, percent))
-    joined = connected_components(links)
+    nodes = sketches.count()
+    clusters = connected_components(_candidate_edges(reps), nodes=nodes)
+    # Stored, so that no task runs two Python workers at once; distinct() deals them out for few files.
+    links = _verified_links(texts, clusters, sizes, shingle, percent).distinct()
+    joined = connected_components(cut_lineage(packed(links, nodes)), nodes=nodes)
     classes = (
         reps.select("_key", "_rep")
         .join(joined.withColumnRenamed("node", "_rep"), "_rep", "left")

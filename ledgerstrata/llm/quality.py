@@ -12,7 +12,8 @@ A step is one aggregation: rows are counted by distance bucket, and the sums of
 whole numbers, so neither the order of tasks nor lost executors change a result, and a source with a
 third of all rows costs each task one row per bucket. Vectors are stored once and do not move in a
 step: the estimates, one row per group, are sent to them (up to ``SENT_ROWS`` groups; more are joined
-by a shuffle).
+by a shuffle). Estimates of a step are stored in as few files: Hadoop's local file system starts a
+process or more for each file, which for a moment shares, and seems to double, an executor's memory.
 """
 
 from __future__ import annotations
@@ -237,9 +238,9 @@ def _stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
-def _sent(df: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    """How tables with as many rows as this stored one are joined: sent to all executors if they are few."""
-    return F.broadcast if df.count() <= SENT_ROWS else lambda other: other
+def _sent(rows: int) -> Callable[[DataFrame], DataFrame]:
+    """How tables of so many rows are joined: sent to all executors if they are few."""
+    return F.broadcast if rows <= SENT_ROWS else lambda other: other
 
 
 def robust_estimates(vectors: DataFrame, steps: int = _STEPS) -> DataFrame:
@@ -254,7 +255,8 @@ def robust_estimates(vectors: DataFrame, steps: int = _STEPS) -> DataFrame:
     values = vectors.select("_group", F.posexplode("_x").alias("_k", "_value"))
     counts = values.groupBy("_group", "_k", "_value").agg(F.count("*").alias("_n"))
     params, path = _stored(counts.groupBy("_group").applyInPandas(_start, _PARAMS), "estimates")
-    sent = _sent(params)
+    n_groups = params.count()
+    sent, files = _sent(n_groups), max(1, math.ceil(n_groups / SENT_ROWS))
     sums = [F.sum(F.col("_x")[i]).alias(f"_s{i}") for i in range(_P)] + [
         F.sum(F.col("_x")[i] * F.col("_x")[j]).alias(f"_s{i}_{j}") for i, j in _PAIRS
     ]
@@ -267,9 +269,8 @@ def robust_estimates(vectors: DataFrame, steps: int = _STEPS) -> DataFrame:
                 .groupBy("_group", "_bucket")
                 .agg(F.count("*").alias("_n"), *sums)
             )
-            moved, moved_path = _stored(
-                counted.groupBy("_group").applyInPandas(_steps(reweighted), _PARAMS), "estimates"
-            )
+            moved = counted.groupBy("_group").applyInPandas(_steps(reweighted), _PARAMS)
+            moved, moved_path = _stored(moved.repartition(files), "estimates")
             before = params.select("_group", "_rows", "_centre", "_precision")
             settled = moved.join(sent(before), before.columns, "left_anti").isEmpty()
             drop_scratch(spark, path)
@@ -330,7 +331,7 @@ def quality_verdicts(
         .alias("_group"),
     )
     groups, _ = _stored(groups, "groups")
-    sent = _sent(groups)
+    sent = _sent(groups.count())
     vectors, vectors_path = _stored(
         counted.where("NOT base_failed").join(sent(groups), "_own").select("_group", _vector().alias("_x")),
         "vectors",

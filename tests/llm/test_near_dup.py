@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 
+from ledgerstrata.llm import components, near_dup
 from ledgerstrata.llm.components import connected_components
 from ledgerstrata.llm.near_dup import linked, near_duplicates
 from ledgerstrata.llm.superminhash import signatures
@@ -102,6 +103,42 @@ def test_components_of_paths_stars_and_loops(spark):
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_small_graphs_are_stored_in_few_files(spark, vocabulary, monkeypatch):
+    """Each file costs processes that share an executor's memory; rows decide, not shuffle partitions."""
+    rng = random.Random(14)
+    rows = []
+    for i in range(40):
+        words = [rng.choice(vocabulary) for _ in range(100)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:-1] + ["other"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    parts = []
+
+    def counted(df, cut=components.cut_lineage):
+        stored = cut(df)
+        parts.append(stored.rdd.getNumPartitions())
+        return stored
+
+    monkeypatch.setattr(components, "cut_lineage", counted)
+    monkeypatch.setattr(near_dup, "cut_lineage", counted)
+    conf = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+
+    def found():
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        try:
+            return {(r.doc_id, r.component_id) for r in near_duplicates(docs).collect()}
+        finally:
+            for k, v in before.items():
+                spark.conf.set(k, v)
+
+    wanted = {(i, i - i % 2) for i in range(80)}
+    assert found() == wanted and set(parts) == {1}
+    parts.clear()
+    monkeypatch.setattr(components, "_NODES_STORED", 20)
+    assert found() == wanted and set(parts) == {4}
+
+
 def test_repeated_rows_of_one_id_and_empty_blocks(spark, vocabulary):
     rng = random.Random(13)
     words = [rng.choice(vocabulary) for _ in range(60)]

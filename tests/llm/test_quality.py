@@ -115,6 +115,32 @@ def test_a_step_shuffles_sums_only(spark):
     assert tasks <= 5 * (2 * 40 + 20)
 
 
+def test_estimates_of_a_step_lie_in_one_file(spark, monkeypatch):
+    """Each file costs processes that share an executor's memory, however many partitions there are."""
+    rng = np.random.default_rng(37)
+    rows = [(f"g{i % 12}", r.tolist()) for i, r in enumerate(rng.integers(0, 3000, (600, 7)))]
+    vectors = spark.createDataFrame(rows, "_group string, _x array<long>")
+    files, drop = [], quality.drop_scratch
+
+    def counted(session, path):
+        files.append(len(session.read.parquet(path).inputFiles()))
+        return drop(session, path)
+
+    monkeypatch.setattr(quality, "drop_scratch", counted)
+    conf = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        last = robust_estimates(vectors, steps=3)
+        files.append(len(last.inputFiles()))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert last.count() == 12
+    assert len(files) >= 3 and set(files[1:]) == {1}
+
+
 def test_more_groups_than_are_sent_give_the_same(spark, monkeypatch):
     rng = np.random.default_rng(36)
     rows = [(f"g{i % 5}", r.tolist()) for i, r in enumerate(rng.integers(0, 3000, (500, 7)))]
